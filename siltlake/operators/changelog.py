@@ -28,7 +28,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,7 +110,7 @@ def now() -> dt.datetime:
 def load(spark: SparkSession, base: str) -> list[Commit]:
     """Commits in version order, expired ones too; a few hundred bytes each."""
     try:
-        rows = spark.read.schema(COMMIT_SCHEMA).parquet(f"{base}/commits").orderBy("seq").collect()
+        rows = spark.read.schema(COMMIT_SCHEMA).parquet(f"{base}/commits").collect()
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return []
@@ -120,7 +120,7 @@ def load(spark: SparkSession, base: str) -> list[Commit]:
             r[VERSION], r.committed_at, r.operation, r.kind, r.data, r.upserts, r.deletes,
             tuple(r.key), tuple(r.partition_by), tuple(tuple(c) for c in r.columns), r.floor, r.seq,
         )
-        for r in rows
+        for r in sorted(rows, key=lambda r: r.seq)
     }
     return [newest[v] for v in sorted(newest)]
 
@@ -155,12 +155,24 @@ def resolve(
 
 def record(spark: SparkSession, base: str, commit: Commit) -> Commit:
     """Append one commit row: the single write that makes a version visible."""
-    row = (
-        commit.version, commit.at, commit.operation, commit.kind, commit.data, commit.upserts,
-        commit.deletes, list(commit.key), list(commit.partition_by), list(commit.columns),
-        commit.floor, commit.seq,
+    def texts(values: Sequence[str]) -> Column:
+        return F.array(*map(F.lit, values)).cast("array<string>")
+
+    columns = [
+        F.struct(F.lit(n).alias("name"), F.lit(p).alias("physical"), F.lit(t).alias("type"))
+        for n, p, t in commit.columns
+    ]
+    cells = {
+        VERSION: F.lit(commit.version), "committed_at": F.lit(commit.at.isoformat(sep=" ")),
+        "operation": F.lit(commit.operation), "kind": F.lit(commit.kind), "data": F.lit(commit.data),
+        "upserts": F.lit(commit.upserts), "deletes": F.lit(commit.deletes), "key": texts(commit.key),
+        "partition_by": texts(commit.partition_by), "columns": F.array(*columns),
+        "floor": F.lit(commit.floor), "seq": F.lit(commit.seq),
+    }
+    row = spark.range(0, 1, 1, 1).select(
+        *[cells[f.name].cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(COMMIT_SCHEMA).fields]
     )
-    spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/commits")
+    row.write.mode("append").parquet(f"{base}/commits")
     return commit
 
 

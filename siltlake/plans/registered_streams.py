@@ -28,16 +28,16 @@ def configs() -> dict[str, config.Config]:
     return {p.stem: config.load_config(p) for p in config.config_files(CONFIG_DIR)}
 
 
-def _data(kind: str) -> Column:
-    user = F.when(~F.col("value").between(1, 1.995), F.concat(F.lit("user_"), F.col("user_id").cast("string")))
+def _data(kind: str, broken: bool = False) -> Column:
+    user = F.when((F.col("value") < 1) | (F.col("value") >= 2), F.concat(F.lit("user_"), F.col("user_id").cast("string")))
     day = F.to_date("ts")
     ms = F.round(F.col("value") * 100).cast("long")
     if kind == "api_metrics":
-        code = F.when(F.col("value").between(3, 3.995), F.lit("broken")).otherwise("500")
         return F.struct(
             F.col("ts").alias("timestamp"), day.alias("metric_date"),
             F.when(user.isNotNull(), F.lit("shop")).alias("service_name"),
-            F.lit("/api/v1/orders").alias("endpoint"), F.lit("GET").alias("method"), code.alias("status_code"),
+            F.lit("/api/v1/orders").alias("endpoint"), F.lit("GET").alias("method"),
+            F.lit("broken" if broken else 500).alias("status_code"),
             ms.alias("response_time_ms"), user.alias("user_id"), F.lit("failed").alias("error_message"),
         )
     if kind == "user_activity":
@@ -63,16 +63,19 @@ _KINDS = {
 
 def messages(events: DataFrame) -> DataFrame:
     """``(topic, value)``: every event as message bytes."""
-    topic, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    value, size = F.lit(None).cast("string"), F.col("value")
+    topic = value
     for kind, (log_class, to, types) in _KINDS.items():
         mine = F.col("event_type").isin(*types)
         topic = F.when(mine, to).otherwise(topic)
-        value = F.when(mine & (F.col("value") >= 3), envelope(kind, log_class, "1.0.0", _data(kind))).when(
-            mine & (F.col("value") < 2), envelope(kind, log_class, "1.0.0", _data(kind))
-        ).otherwise(value)
+        value = F.when(mine, envelope(kind, log_class, "1.0.0", _data(kind))).otherwise(value)
     value = (
-        F.when(F.col("value") < 1, F.concat(F.lit("no json "), F.col("event_id").cast("string")))
-        .when((F.col("value") >= 2) & (F.col("value") < 3), envelope("mystery", "Mystery", "1.0.0", F.struct("event_id")))
+        F.when(size < 1, F.concat(F.lit("no json "), F.col("event_id").cast("string")))
+        .when((size >= 2) & (size < 3), envelope("mystery", "Mystery", "1.0.0", F.struct("event_id")))
+        .when(
+            (F.col("event_type") == "error") & (size >= 3) & (size < 4),
+            envelope("api_metrics", "ApiMetrics", "1.0.0", _data("api_metrics", broken=True)),
+        )
         .otherwise(value)
     )
     return events.select(topic.alias("topic"), F.encode(value, "UTF-8").alias("value"))
@@ -145,7 +148,7 @@ def decoded_messages(spark, sf):
     return _plain(ingest.route(raw, [cfg])[config.table_of(cfg)])
 
 
-@register("""SELECT count(*) AS messages, count(*) FILTER (WHERE value >= 3 OR value BETWEEN 1 AND 1.995) AS with_type
+@register("""SELECT count(*) AS messages, count(*) FILTER (WHERE value >= 3 OR value >= 1 AND value < 2) AS with_type
     FROM events WHERE event_type IN ('click', 'view', 'purchase')""")
 def decoded_everything(spark, sf):
     """Plain decode keeps a row for every message: those that do not parse are all NULL."""

@@ -70,25 +70,29 @@ def _type(value: Column) -> Column:
     return F.from_json(value.cast("string"), "_log_type string")["_log_type"]
 
 
-def _missing(e: str, cfg: Config) -> Column:
-    """What a message of this type lacks: its data or the first required field; else NULL."""
+def _missing(e: Column, cfg: Config) -> Column:
+    """What a parsed message of this type lacks: its data or the first required field."""
     return F.coalesce(
-        F.when(F.col(f"{e}.data").isNull(), "missing data"),
-        *[F.when(F.col(f"{e}.data.`{n}`").isNull(), F.lit(f"missing {n}")) for n in required_of(cfg)],
+        F.when(e["data"].isNull(), "missing data"),
+        *[F.when(e["data"][n].isNull(), F.lit(f"missing {n}")) for n in required_of(cfg)],
         F.lit(None).cast("string"),
     )
 
 
+# A predicate on the fields of a parsed message would be pushed below the parse, which then
+# runs once per field. Inside a lambda the parsed message is a variable: it is computed once.
+
+
 def route_one(df: DataFrame, cfg: Config, stamped: bool = False) -> DataFrame:
     """The complete messages of one log type, as rows of its table.
 
     ``stamped`` adds ``_ingestion_timestamp`` and ``_ingestion_date``, fixed per micro-batch.
     """
+    parsed = F.array(parse(F.col("value"), schema_of(cfg)))
     rows = (
         df.where(_type(F.col("value")) == cfg["log_type"])
-        .select(parse(F.col("value"), schema_of(cfg)).alias("e"))
-        .where(_missing("e", cfg).isNull())
-        .select("e.data.*")
+        .select(F.inline(F.filter(parsed, lambda e: _missing(e, cfg).isNull())))
+        .select("data.*")
     )
     if stamped:
         rows = rows.withColumns(
@@ -109,23 +113,23 @@ def dead_letters(df: DataFrame, cfgs: Sequence[Config]) -> DataFrame:
     one place.
     """
     text = F.col("value").cast("string")
-    known = [c["log_type"] for c in cfgs]
-    tagged = df.select(text.alias("value"), _type(F.col("value")).alias("_type"))
-    for i, c in enumerate(cfgs):
-        # Only messages of this type are parsed under its schema.
-        tagged = tagged.withColumn(
-            f"_e{i}", F.when(F.col("_type") == c["log_type"], parse(F.col("value"), schema_of(c)))
-        )
-    reason = (
-        F.when(F.col("value").isNull() | (F.col("value") == ""), "empty")
-        .when(F.col("_type").isNull(), "no envelope")
-        .when(~F.col("_type").isin(known), F.concat(F.lit("unknown type "), F.col("_type")))
+
+    def reason(log_type: Column) -> Column:
+        out = F.when(text.isNull() | (text == ""), "empty").when(log_type.isNull(), "no envelope")
+        for c in cfgs:
+            # Only messages of this type are parsed under its schema.
+            parsed = F.array(parse(F.col("value"), schema_of(c)))
+            lacks = F.element_at(F.transform(parsed, lambda e: _missing(e, c)), 1)
+            out = out.when(log_type == c["log_type"], lacks)
+        return out.otherwise(F.concat(F.lit("unknown type "), log_type))
+
+    letter = F.transform(
+        F.array(_type(F.col("value"))), lambda t: F.struct(text.alias("value"), reason(t).alias("reason"))
+    )
+    return (
+        df.select(F.inline(F.filter(letter, lambda r: r["reason"].isNotNull())))
+        .withColumn("topic", F.lit(topic_of(cfgs[0])))
     )
-    for i, c in enumerate(cfgs):
-        reason = reason.when(F.col("_type") == c["log_type"], _missing(f"_e{i}", c))
-    return tagged.select(
-        "value", reason.alias("reason"), F.lit(topic_of(cfgs[0])).alias("topic")
-    ).where(F.col("reason").isNotNull())
 
 
 def start_sink(
