@@ -33,7 +33,8 @@ def changes(spark: SparkSession, base: str, v1: int, v2: int) -> DataFrame:
     between = [
         c for c in live(chain) if low < c.version <= high and c.data is not None and c.operation not in SILENT
     ]
-    if all(c.kind != "base" for c in between):
+    replaced = any(c.kind == "base" for c in between)
+    if not replaced:
         touched = scan(spark, base, between, b.physical_schema).select(*b.key).distinct()
         old = old.join(touched.toDF(*a.key_names), a.key_names, "left_semi")
         new = new.join(touched.toDF(*b.key_names), b.key_names, "left_semi")
@@ -41,12 +42,14 @@ def changes(spark: SparkSession, base: str, v1: int, v2: int) -> DataFrame:
     after = new.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(b.key_names)], F.struct("*").alias("after"))
     both = before.join(after, [f"_k{i}" for i in range(len(a.key))], "full")
     # Compare the columns both versions have: one that was added or dropped is a change of
-    # schema, not of the row.
-    names = {p: n for n, p, _ in b.columns}
+    # schema, not of the row. A column is the same under its physical name; across a
+    # replacement, where physical names start anew, under its name.
+    names = {(n if replaced else p): n for n, p, _ in b.columns}
     same = F.lit(True)
     for n, p, _ in a.columns:
-        if p in names:
-            same = same & F.col(f"before.`{n}`").eqNullSafe(F.col(f"after.`{names[p]}`"))
+        new_name = names.get(n if replaced else p)
+        if new_name is not None:
+            same = same & F.col(f"before.`{n}`").eqNullSafe(F.col(f"after.`{new_name}`"))
     kind = (
         F.when(F.col("before").isNull(), "insert")
         .when(F.col("after").isNull(), "delete")

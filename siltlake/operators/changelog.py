@@ -238,9 +238,10 @@ def state(spark: SparkSession, base: str, chain: Sequence[Commit], head: Commit)
         newest = changed
         if len(deltas) > 1:
             touched = touched.groupBy(*key).agg(F.max(VERSION).alias(VERSION))
+            # One max_by per column, not one of a struct, so that unused columns are pruned.
             newest = newest.groupBy(*key).agg(
-                F.max_by(F.struct(*[c for c in changed.columns if c not in key]), VERSION).alias("_r")
-            ).select(*key, "_r.*")
+                *[F.max_by(f"`{c}`", VERSION).alias(c) for c in changed.columns if c not in key]
+            )
         r, t = rows.alias("r"), touched.alias("t")
         same = F.col(f"t.{VERSION}") > F.col(f"r.{VERSION}")
         for k in key:

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from functools import reduce
 from pathlib import Path
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -244,7 +245,10 @@ def supervise(spark: SparkSession, started: Sequence[Started]) -> list[Started]:
                 s.error = str(s.query.exception())
         waiting = active
         if waiting:
-            spark.streams.awaitAnyTermination(5)
+            try:
+                spark.streams.awaitAnyTermination(5)
+            except StreamingQueryException:
+                pass  # noted from the query itself in the next round
             spark.streams.resetTerminated()
     return list(started)
 
