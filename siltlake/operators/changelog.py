@@ -192,7 +192,9 @@ def location(base: str, commit: Commit) -> str:
     return commit.data if commit.adopted else f"{base}/{commit.data}"
 
 
-def scan(spark: SparkSession, base: str, commits: Sequence[Commit], schema: T.StructType) -> DataFrame:
+def scan(
+    spark: SparkSession, base: str, commits: Sequence[Commit], schema: T.StructType, extra: Sequence[str] = ()
+) -> DataFrame:
     """Log rows of some commits, as physical columns plus ``_op`` and ``_version``.
 
     The schema is given, not inferred: no file is opened to plan the scan, and a column
@@ -210,7 +212,7 @@ def scan(spark: SparkSession, base: str, commits: Sequence[Commit], schema: T.St
         rows = reader.parquet(*[location(base, c) for c in members])
         if adopted is not None:
             rows = rows.withColumns({OP: F.lit(UPSERT), VERSION: F.lit(adopted).cast("long")})
-        scans.append(rows.select(*schema.names, OP, VERSION))
+        scans.append(rows.select(*[f"`{n}`" for n in schema.names], OP, VERSION, *extra))
     if not scans:
         return spark.createDataFrame([], T.StructType([*schema.fields, *LOG_FIELDS]))
     out = scans[0]
@@ -384,16 +386,8 @@ def partitions(spark: SparkSession, base: str, col: str) -> DataFrame:
 
 
 def _with_files(spark: SparkSession, base: str, commits: Sequence[Commit], columns: Sequence[str]) -> DataFrame:
-    schema = T.StructType([f for f in commits[-1].physical_schema.fields if f.name in columns])
-    out = None
-    for c in commits:
-        rows = (
-            spark.read.schema(commits[-1].physical_schema).parquet(location(base, c))
-            .select(
-                *schema.names, F.lit(c.version).cast("long").alias(VERSION),
-                F.col("_metadata.file_path").alias("file_path"),
-                F.col("_metadata.file_size").alias("file_bytes"),
-            )
-        )
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """Log rows with the file they come from; only the named columns are read."""
+    kept = ["_metadata.file_path", "_metadata.file_size"]
+    return scan(spark, base, commits, commits[-1].physical_schema, kept).select(
+        *columns, VERSION, "file_path", F.col("file_size").alias("file_bytes")
+    )

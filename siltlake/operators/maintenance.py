@@ -10,6 +10,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltlake.functions.sizing import settled
 from siltlake.operators.changelog import (
     DIRECTORY, Commit, files, live, load, location, record, resolve, state, successor, upserts, write_log,
 )
@@ -93,10 +94,9 @@ def orphans(
         "directory", "path", "length", "modificationTime"
     )
     if delete:
-        rows = out.collect()  # file names only
-        for directory in sorted({r.directory for r in rows}):
-            delete_path(spark, f"{base}/log/{directory}")
-        return spark.createDataFrame(rows, out.schema)
+        out = settled(out)
+        for row in out.select("directory").distinct().toLocalIterator():  # one per failed attempt
+            delete_path(spark, f"{base}/log/{row.directory}")
     return out
 
 

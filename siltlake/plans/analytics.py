@@ -4,16 +4,22 @@ Inputs use the e-commerce column names: customers ``(customer_id, first_name, la
 city, state)``, products ``(product_id, name, category, price)`` and orders ``(order_id,
 customer_id, product_id, quantity, total_amount, status, order_date)``; extra columns are
 pruned. Joins follow a pre-aggregation on the join key wherever the question allows it, so
-a key with many orders is summed up before it is shuffled. Join strategies are left to
+a key with many orders is summed up before it is shuffled, and top-k reports rank before
+they join, so that names are looked up for a few rows only. Other join strategies are left to
 Spark, which knows the sizes. Ties are broken by further columns to make results definite.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltlake.functions.envelope import full_name, money_avg, money_sum, month_of
+from siltlake.functions.sizing import Lookup, top_rows
+
+Expand = Callable[[DataFrame], DataFrame]
 
 
 def status_summary(orders: DataFrame) -> DataFrame:
@@ -61,40 +67,37 @@ def _spend(orders: DataFrame) -> DataFrame:
     )
 
 
+def _top_spenders(customers: DataFrame, orders: DataFrame, k: int) -> DataFrame:
+    """The ``k`` customers with the highest revenue, with ``n``, ``n_amounts`` and ``spent``."""
+    spend = _spend(orders).withColumn("spent", F.round("amount", 2))
+
+    def finish(rows: DataFrame, lookup: Lookup) -> DataFrame:
+        return rows.join(lookup(customers, "customer_id"), "customer_id").orderBy(F.desc("spent"), "customer_id").limit(k)
+
+    return top_rows(spend, F.col("spent"), k, finish)
+
+
 def top_customers(customers: DataFrame, orders: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` customers with the highest revenue."""
-    return (
-        customers.join(_spend(orders), "customer_id")
-        .select(
-            "customer_id", "first_name", "last_name", "city",
-            F.col("n").alias("order_count"), F.round("amount", 2).alias("total_spent"),
-        )
-        .orderBy(F.desc("total_spent"), "customer_id").limit(k)
+    return _top_spenders(customers, orders, k).select(
+        "customer_id", "first_name", "last_name", "city",
+        F.col("n").alias("order_count"), F.col("spent").alias("total_spent"),
     )
 
 
 def top_customers_named(customers: DataFrame, orders: DataFrame, k: int = 10) -> DataFrame:
     """The same with the full name in one column."""
-    return (
-        customers.join(_spend(orders), "customer_id")
-        .orderBy(F.desc(F.round("amount", 2)), "customer_id").limit(k)
-        .select(
-            full_name(F.col("first_name"), F.col("last_name")).alias("customer"), "city",
-            F.col("n").alias("num_orders"), F.round("amount", 2).alias("total_spent"),
-        )
+    return _top_spenders(customers, orders, k).select(
+        full_name(F.col("first_name"), F.col("last_name")).alias("customer"), "city",
+        F.col("n").alias("num_orders"), F.col("spent").alias("total_spent"),
     )
 
 
 def top_customers_valued(customers: DataFrame, orders: DataFrame, k: int = 10) -> DataFrame:
     """The same with state and average order value."""
-    spent = F.round("amount", 2)
-    return (
-        customers.join(_spend(orders), "customer_id")
-        .orderBy(F.desc(spent), "customer_id").limit(k)
-        .select(
-            "first_name", "last_name", "city", "state", F.col("n").alias("order_count"),
-            spent.alias("total_spent"), (spent / F.col("n_amounts")).alias("avg_order_value"),
-        )
+    return _top_spenders(customers, orders, k).select(
+        "first_name", "last_name", "city", "state", F.col("n").alias("order_count"),
+        F.col("spent").alias("total_spent"), (F.col("spent") / F.col("n_amounts")).alias("avg_order_value"),
     )
 
 
@@ -170,52 +173,67 @@ def revenue_by_state(customers: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def latest_orders(
-    customers: DataFrame, products: DataFrame, orders: DataFrame, status: str, k: int = 20
+    customers: DataFrame, products: DataFrame, orders: DataFrame, status: str, k: int = 20, expand: Expand | None = None
 ) -> DataFrame:
-    """The ``k`` latest orders of a status with customer and product names."""
-    return (
-        orders.where(F.col("status") == status)
-        .join(customers, "customer_id").join(products, "product_id")
-        .select(
-            full_name(F.col("first_name"), F.col("last_name")).alias("customer_name"),
-            F.col("name").alias("product_name"), "quantity", "total_amount", "status", "order_date",
-        )
-        .orderBy(F.desc("order_date"), "customer_name", "product_name", "quantity", "total_amount")
-        .limit(k)
-    )
+    """The ``k`` latest orders of a status with customer and product names.
 
+    ``expand`` turns order rows into rows that have product and quantity, where ``orders``
+    alone does not.
+    """
 
-def largest_orders(customers: DataFrame, products: DataFrame, orders: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` largest orders with customer and product names."""
-    return (
-        orders.join(customers, "customer_id").join(products, "product_id")
-        .select(
-            full_name(F.col("first_name"), F.col("last_name")).alias("customer"),
-            F.col("name").alias("product"), "total_amount",
+    def finish(rows: DataFrame, lookup: Lookup) -> DataFrame:
+        return (
+            rows.join(lookup(customers, "customer_id"), "customer_id")
+            .join(lookup(products, "product_id"), "product_id")
+            .select(
+                full_name(F.col("first_name"), F.col("last_name")).alias("customer_name"),
+                F.col("name").alias("product_name"), "quantity", "total_amount", "status", "order_date",
+            )
+            .orderBy(F.desc("order_date"), "customer_name", "product_name", "quantity", "total_amount")
+            .limit(k)
         )
-        .orderBy(F.desc("total_amount"), "customer", "product").limit(k)
-    )
 
+    return top_rows(orders.where(F.col("status") == status), F.col("order_date"), k, finish, expand)
 
-def _sold(orders: DataFrame) -> DataFrame:
-    """Orders, quantity and amount per product."""
-    return orders.groupBy("product_id").agg(
-        F.count("order_id").alias("n"), F.sum("quantity").alias("quantity"),
-        F.sum("total_amount").alias("amount"),
-    )
+
+def largest_orders(
+    customers: DataFrame, products: DataFrame, orders: DataFrame, k: int = 10, expand: Expand | None = None
+) -> DataFrame:
+    """The ``k`` largest orders with customer and product names; ``expand`` adds what
+    ``orders`` alone does not have."""
+
+    def finish(rows: DataFrame, lookup: Lookup) -> DataFrame:
+        return (
+            rows.join(lookup(customers, "customer_id"), "customer_id")
+            .join(lookup(products, "product_id"), "product_id")
+            .select(
+                full_name(F.col("first_name"), F.col("last_name")).alias("customer"),
+                F.col("name").alias("product"), "total_amount",
+            )
+            .orderBy(F.desc("total_amount"), "customer", "product").limit(k)
+        )
+
+    return top_rows(orders, F.col("total_amount"), k, finish, expand)
 
 
 def product_popularity(products: DataFrame, orders: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` products with the highest revenue."""
-    return (
-        products.join(_sold(orders), "product_id")
-        .orderBy(F.desc(F.round("amount", 2)), "product_id").limit(k)
-        .select(
-            "category", "name", F.col("n").alias("times_ordered"),
-            F.col("quantity").alias("total_quantity"), F.round("amount", 2).alias("total_revenue"),
-        )
+    sold = orders.groupBy("product_id").agg(
+        F.count("order_id").alias("n"), F.sum("quantity").alias("quantity"),
+        F.round(F.sum("total_amount"), 2).alias("amount"),
     )
 
+    def finish(rows: DataFrame, lookup: Lookup) -> DataFrame:
+        return (
+            rows.join(lookup(products, "product_id"), "product_id").orderBy(F.desc("amount"), "product_id").limit(k)
+            .select(
+                "category", "name", F.col("n").alias("times_ordered"),
+                F.col("quantity").alias("total_quantity"), F.col("amount").alias("total_revenue"),
+            )
+        )
+
+    return top_rows(sold, F.col("amount"), k, finish)
+
 
 def orders_by_month(orders: DataFrame) -> DataFrame:
     return (

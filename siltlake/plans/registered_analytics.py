@@ -299,7 +299,8 @@ def revenue_by_state(spark, sf):
     ORDER BY order_date DESC, customer_name, product_name, quantity, total_amount LIMIT 20""")
 def latest_delivered_orders(spark, sf):
     return a.latest_orders(
-        star.customers(spark, sf), star.products(spark, sf), star.order_lines(spark, sf), "F"
+        star.customers(spark, sf), star.products(spark, sf), star.orders(spark, sf), "F",
+        expand=lambda headers: star.sales(spark, sf).join(headers.drop("total_amount"), "order_id"),
     )
 
 
@@ -309,7 +310,8 @@ def latest_delivered_orders(spark, sf):
     ORDER BY total_amount DESC, customer, product LIMIT 10""")
 def largest_orders(spark, sf):
     return a.largest_orders(
-        star.customers(spark, sf), star.products(spark, sf), star.order_lines(spark, sf)
+        star.customers(spark, sf), star.products(spark, sf), star.sales(spark, sf),
+        expand=lambda lines: lines.join(star.orders(spark, sf).drop("total_amount"), "order_id"),
     )
 
 

@@ -97,12 +97,13 @@ def test_hidden_day_prunes_partitions(spark, tmp_path):
     assert "_day" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
 
 
-def test_top_k_and_pushdown_in_plans(spark):
-    plan = plan_of(analytics.top_customers(star.customers(spark, SF), star.orders(spark, SF)))
-    assert "TakeOrderedAndProject" in plan
-    # The orders are added up before they meet the customers.
-    assert plan.index("Join") < plan.index("partial_sum")
-    pending = star.orders(spark, SF).where("status = 'P'").select("order_id")
+def test_plans(spark):
+    customers, orders = star.customers(spark, SF), star.orders(spark, SF)
+    assert "TakeOrderedAndProject" in plan_of(sinks.preview(customers, ["customer_id"]))
+    # Orders are added up before they meet the customers: the plan prints joins first.
+    plan = plan_of(analytics.revenue_by_state(customers, orders))
+    assert plan.rindex("partial_sum(o_totalprice") > plan.rindex("Join")
+    pending = orders.where("status = 'P'").select("order_id")
     assert "EqualTo(o_orderstatus,P)" in plan_of(pending) and "o_totalprice" not in plan_of(pending)
 
 
