@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.operators.changelog import load, live, resolve, scan, state
+from siltlake.operators.changelog import OP, UPSERT, few, live, load, newest_rows, resolve, scan, state
 
 # Commits that change no row.
 SILENT = ("rewrite", "add column", "rename column", "drop column")
@@ -22,22 +23,26 @@ def changes(spark: SparkSession, base: str, v1: int, v2: int) -> DataFrame:
     same values is no change.
 
     Unless the table was replaced in between, only keys that the log between the versions
-    names can differ, so both states are cut down to those before they are compared.
+    names can differ. Their new images are the newest of those log rows, and the older state
+    is cut down to these keys, so the table is scanned once, for the old images.
     """
     chain = load(spark, base)
     low, high = sorted((v1, v2))
-    a, b = resolve(chain, version=v1), resolve(chain, version=v2)
+    a, b = resolve(chain, version=low), resolve(chain, version=high)
     if a.key != b.key:
         raise ValueError("the table was replaced under another key")
-    old, new = state(spark, base, chain, a), state(spark, base, chain, b)
     between = [
         c for c in live(chain) if low < c.version <= high and c.data is not None and c.operation not in SILENT
     ]
-    replaced = any(c.kind == "base" for c in between)
-    if not replaced:
-        touched = scan(spark, base, between, b.physical_schema).select(*b.key).distinct()
+    old, replaced = state(spark, base, chain, a), any(c.kind == "base" for c in between)
+    if replaced:
+        new = state(spark, base, chain, b)
+    else:
+        logged = scan(spark, base, between, b.physical_schema)
+        touched = few(logged.select(*b.key).distinct(), between)
         old = old.join(touched.toDF(*a.key_names), a.key_names, "left_semi")
-        new = new.join(touched.toDF(*b.key_names), b.key_names, "left_semi")
+        newest = newest_rows(logged, b.key, between).where(F.col(OP) == UPSERT)
+        new = newest.select(*[F.col(f"`{p}`").alias(n) for n, p, _ in b.columns])
     before = old.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(a.key_names)], F.struct("*").alias("before"))
     after = new.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(b.key_names)], F.struct("*").alias("after"))
     both = before.join(after, [f"_k{i}" for i in range(len(a.key))], "full")
@@ -55,7 +60,13 @@ def changes(spark: SparkSession, base: str, v1: int, v2: int) -> DataFrame:
         .when(F.col("after").isNull(), "delete")
         .when(~same, "update")
     )
-    return both.select(kind.alias("change"), "before", "after").where(F.col("change").isNotNull())
+    found = both.select(kind.alias("change"), "before", "after").where(F.col("change").isNotNull())
+    return found if v1 <= v2 else _reversed(found)
+
+
+def _reversed(changed: DataFrame) -> DataFrame:
+    turned = F.when(F.col("change") == "insert", "delete").when(F.col("change") == "delete", "insert").otherwise("update")
+    return changed.select(turned.alias("change"), F.col("after").alias("before"), F.col("before").alias("after"))
 
 
 def aggregate(rows: DataFrame, group: Mapping[str, Column], sums: Mapping[str, Column]) -> DataFrame:
@@ -104,8 +115,8 @@ class MaintainedAggregate:
         try:
             rows = self.spark.read.schema("version long, data string").parquet(f"{self.path}/versions")
             newest = rows.orderBy(F.desc("version")).head(1)
-        except Exception as e:
-            if "PATH_NOT_FOUND" in str(e):
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
         return (newest[0].version, newest[0].data) if newest else None

@@ -38,6 +38,8 @@ from siltlake.sources.tables import conform
 
 OP, VERSION, DIRECTORY = "_op", "_version", "_dir"
 RESERVED = (OP, VERSION, DIRECTORY)
+# Keys of this many change rows are broadcast; the commits say how many there are.
+BROADCAST_KEYS = 500_000
 UPSERT, DELETE = "U", "D"
 LOG_FIELDS = (T.StructField(OP, T.StringType()), T.StructField(VERSION, T.LongType()))
 
@@ -236,14 +238,10 @@ def state(spark: SparkSession, base: str, chain: Sequence[Commit], head: Commit)
     rows = scan(spark, base, plain, schema)
     if deltas:
         changed = scan(spark, base, deltas, schema)
-        touched = changed.select(*key, VERSION)
-        newest = changed
+        newest, touched = newest_rows(changed, key, deltas), changed.select(*key, VERSION)
         if len(deltas) > 1:
             touched = touched.groupBy(*key).agg(F.max(VERSION).alias(VERSION))
-            # One max_by per column, not one of a struct, so that unused columns are pruned.
-            newest = newest.groupBy(*key).agg(
-                *[F.max_by(f"`{c}`", VERSION).alias(c) for c in changed.columns if c not in key]
-            )
+        touched = few(touched, deltas)
         r, t = rows.alias("r"), touched.alias("t")
         same = F.col(f"t.{VERSION}") > F.col(f"r.{VERSION}")
         for k in key:
@@ -252,6 +250,21 @@ def state(spark: SparkSession, base: str, chain: Sequence[Commit], head: Commit)
     return rows.select(*[F.col(f"`{p}`").alias(n) for n, p, _ in head.columns])
 
 
+def newest_rows(changed: DataFrame, key: Sequence[str], commits: Sequence[Commit]) -> DataFrame:
+    """The last log row of each key; within one commit a key has one row already."""
+    if len(commits) <= 1:
+        return changed
+    # One max_by per column, not one of a struct, so that unused columns are pruned.
+    return changed.groupBy(*key).agg(
+        *[F.max_by(f"`{c}`", VERSION).alias(c) for c in changed.columns if c not in key]
+    )
+
+
+def few(keys: DataFrame, commits: Sequence[Commit]) -> DataFrame:
+    """``keys`` of some commits, broadcast if their row counts allow it."""
+    return F.broadcast(keys) if sum(c.upserts + c.deletes for c in commits) <= BROADCAST_KEYS else keys
+
+
 def write_log(
     df: DataFrame, base: str, version: int, partition_by: Sequence[str], placed: bool = False
 ) -> str:

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltlake.functions.sizing import is_small, settled
 from siltlake.operators.changelog import (
-    DELETE, OP, RESERVED, UPSERT, Commit, commit_rows, load, now, record, require_key, resolve,
+    BROADCAST_KEYS, DELETE, OP, RESERVED, UPSERT, Commit, commit_rows, load, now, record, require_key, resolve,
     state, successor, tombstones, upserts,
 )
 from siltlake.sinks.parquet import write_table
@@ -81,7 +82,8 @@ def append(df: DataFrame, base: str, at: dt.datetime | None = None) -> Commit:
     """Add rows; a row whose key the table already holds replaces the old one.
 
     When all keys are new, which is checked by a semi-join on the key columns, the commit is
-    marked ``fresh`` and readers take its rows as they are.
+    marked ``fresh`` and readers take its rows as they are. The check looks only at rows in
+    the new keys' range, so ever-growing keys touch little of the table.
     """
     spark = df.sparkSession
     chain = load(spark, base)
@@ -93,8 +95,13 @@ def append(df: DataFrame, base: str, at: dt.datetime | None = None) -> Commit:
 
     def kind(written: DataFrame) -> str:
         require_key(written, draft.key)
+        lead, new = draft.key[0], written.select(*draft.key)
+        low, high = written.agg(F.min(f"`{lead}`"), F.max(f"`{lead}`")).first()
         current = state(spark, base, chain, head).select(*head.key_names).toDF(*draft.key)
-        known = current.join(written.select(*draft.key), list(draft.key), "left_semi").head(1)
+        current = current.where(F.col(f"`{lead}`").between(F.lit(low), F.lit(high)))
+        if is_small(new, BROADCAST_KEYS):
+            new = F.broadcast(new)
+        known = current.join(new, list(draft.key), "left_semi").head(1)
         return "delta" if known else "fresh"
 
     return commit_rows(spark, base, draft, upserts(df, draft), kind)
@@ -142,7 +149,8 @@ def merge(
     without a match becomes an ``insert``. A key that the source repeats fails the job.
 
     Only rows the source touches can change, so the target is first cut down by a semi-join
-    on the source's keys: a small source is broadcast and the target is scanned in place.
+    on the source's keys: a small source is broadcast and the target is scanned in place. The
+    source is computed once.
     """
     chain = load(spark, base)
     head = resolve(chain)
@@ -160,8 +168,12 @@ def merge(
         ],
         *[F.col(f"_s.{c}").alias(c) for c in values if c not in on],
     )
+    once = settled(once)
+    keys = once.select(*on)
+    if is_small(keys, BROADCAST_KEYS):
+        keys = F.broadcast(keys)
     target = state(spark, base, chain, head)
-    touched = target.join(source.select(*on), list(on), "left_semi").withColumn("_hit", F.lit(True))
+    touched = target.join(keys, list(on), "left_semi").withColumn("_hit", F.lit(True))
     s, t = once.alias("s"), touched.alias("t")
     same = F.lit(True)
     for k in on:

@@ -102,7 +102,7 @@ def test_plans(spark):
     assert "TakeOrderedAndProject" in plan_of(sinks.preview(customers, ["customer_id"]))
     # Orders are added up before they meet the customers: the plan prints joins first.
     plan = plan_of(analytics.revenue_by_state(customers, orders))
-    assert plan.rindex("partial_sum(o_totalprice") > plan.rindex("Join")
+    assert plan.rindex("partial_sum(total_amount") > plan.rindex("Join")
     pending = orders.where("status = 'P'").select("order_id")
     assert "EqualTo(o_orderstatus,P)" in plan_of(pending) and "o_totalprice" not in plan_of(pending)
 
