@@ -69,7 +69,8 @@ def top_rows(
     def lookup(dim: DataFrame, key: str) -> DataFrame:
         return F.broadcast(dim.join(F.broadcast(chosen.select(key)), key, "left_semi"))
 
-    result = settled(finish(chosen, lookup))
-    if len(first) > k and result.count() < k:
+    result = finish(chosen, lookup)
+    found = result.collect()  # at most k rows
+    if len(first) > k and len(found) < k:
         return everything()
-    return result
+    return spark.createDataFrame(found, result.schema)

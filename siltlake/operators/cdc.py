@@ -72,11 +72,14 @@ def _reversed(changed: DataFrame) -> DataFrame:
 def aggregate(rows: DataFrame, group: Mapping[str, Column], sums: Mapping[str, Column]) -> DataFrame:
     """``n`` rows and exact sums per group; money adds up as a decimal."""
     return rows.groupBy(*[c.alias(n) for n, c in group.items()]).agg(
-        F.count("*").alias("n"),
-        *[F.sum(c.cast("decimal(18,2)")).alias(n) for n, c in sums.items()],
+        F.count("*").alias("n"), *[_exact_sum(c).alias(n) for n, c in sums.items()]
     )
 
 
+def _exact_sum(amount: Column) -> Column:
+    return F.sum(amount.cast("decimal(18,2)"))
+
+
 def refresh(
     view: DataFrame, changed: DataFrame, group: Mapping[str, Column], sums: Mapping[str, Column]
 ) -> DataFrame:
@@ -99,17 +102,49 @@ def refresh(
     )
 
 
+def refresh_groups(
+    view: DataFrame, changed: DataFrame, rows: DataFrame, group: Mapping[str, Column], values: Mapping[str, Column]
+) -> DataFrame:
+    """``view`` brought up to date for aggregates that cannot be corrected by a difference,
+    such as MIN and MAX: groups that a change left or entered are computed anew from
+    ``rows``, all others are kept."""
+    names = [c.alias(n) for n, c in group.items()]
+    left = changed.where(F.col("before").isNotNull()).select("before.*").select(*names)
+    entered = changed.where(F.col("after").isNotNull()).select("after.*").select(*names)
+    touched = left.unionByName(entered).distinct()
+
+    def same(a: DataFrame) -> Column:
+        out = F.lit(True)
+        for n in group:
+            out = out & a[n].eqNullSafe(touched[n])
+        return out
+
+    grouped = rows.withColumns({f"_g_{n}": c for n, c in group.items()})
+    hit = F.lit(True)
+    for n in group:
+        hit = hit & F.col(f"_g_{n}").eqNullSafe(touched[n])
+    anew = grouped.join(touched, hit, "left_semi").groupBy(*names).agg(
+        *[c.alias(n) for n, c in values.items()]
+    )
+    return view.join(touched, same(view), "left_anti").unionByName(anew)
+
+
 class MaintainedAggregate:
     """A stored aggregate of a versioned table, refreshed from the change rows.
 
+    It holds ``n`` and ``sums`` per group, corrected by the difference each change makes;
+    with ``values``, which are any aggregates, touched groups are computed anew instead.
+
     ``path`` holds one Parquet data set per refresh and a small ``versions`` data set that
     names the current one, written last.
     """
 
     def __init__(
-        self, spark: SparkSession, base: str, path: str, group: Mapping[str, Column], sums: Mapping[str, Column]
+        self, spark: SparkSession, base: str, path: str, group: Mapping[str, Column], sums: Mapping[str, Column] = {},
+        values: Mapping[str, Column] = {},
     ) -> None:
-        self.spark, self.base, self.path, self.group, self.sums = spark, base, path, group, sums
+        self.spark, self.base, self.path, self.group = spark, base, path, group
+        self.sums, self.values = sums, values
 
     def _current(self) -> tuple[int, str] | None:
         try:
@@ -131,9 +166,16 @@ class MaintainedAggregate:
         alive = {c.version for c in live(chain)}
         if done and done[0] in alive:
             changed = changes(self.spark, self.base, done[0], head.version)
-            view = refresh(self.read(), changed, self.group, self.sums)
+            if self.values:
+                rows = state(self.spark, self.base, chain, head)
+                view = refresh_groups(self.read(), changed, rows, self.group, self._all())
+            else:
+                view = refresh(self.read(), changed, self.group, self.sums)
         else:  # first build, or the version it stands at has been expired
-            view = aggregate(state(self.spark, self.base, chain, head), self.group, self.sums)
+            rows = state(self.spark, self.base, chain, head)
+            view = rows.groupBy(*[c.alias(n) for n, c in self.group.items()]).agg(
+                *[c.alias(n) for n, c in self._all().items()]
+            )
         data = f"at-{head.version:08d}-{uuid.uuid4().hex[:12]}"
         view.write.parquet(f"{self.path}/{data}")
         self.spark.createDataFrame([(head.version, data)], "version long, data string").coalesce(1).write.mode(
@@ -141,5 +183,8 @@ class MaintainedAggregate:
         ).parquet(f"{self.path}/versions")
         return self.read()
 
+    def _all(self) -> dict[str, Column]:
+        return {"n": F.count("*"), **{n: _exact_sum(c) for n, c in self.sums.items()}, **self.values}
+
     def read(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{self._current()[1]}")

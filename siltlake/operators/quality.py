@@ -102,10 +102,11 @@ def _profile_column(df: DataFrame, table: str, f: T.StructField) -> DataFrame:
     values = df.groupBy(F.col(f"`{f.name}`").alias("v")).agg(F.count("*").alias("n"))
     zero = F.lit(0).cast("long")
     return values.agg(
+        *_labels(table, f),
         F.coalesce(F.sum("n"), zero).alias("rows"),
         F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), zero).alias("nulls"),
         F.count("v").alias("distinct"),
-    ).select(*_labels(table, f), "rows", "nulls", "distinct")
+    )
 
 
 def describe_tables(

@@ -533,6 +533,22 @@ def maintained_monthly_revenue(spark, sf):
     return view.refresh().withColumn("revenue", F.col("revenue").cast("double"))
 
 
+@register(f"""SELECT o_orderstatus, count(*) AS n, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order
+    FROM ({_CANCELLED}) WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'C') GROUP BY 1""")
+def maintained_order_dates(spark, sf):
+    """First and last order per status: groups that changes touch are computed anew."""
+    base = _orders_by_status(spark, sf)
+    view = cdc.MaintainedAggregate(
+        spark, base, scratch(spark, "dates"), {"o_orderstatus": F.col("o_orderstatus")},
+        values={"first_order": F.min("o_orderdate"), "last_order": F.max("o_orderdate")},
+    )
+    view.refresh()
+    _cancel_old(spark, base)
+    view.refresh()
+    dml.delete(spark, base, (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "C"), at=AT[2])
+    return view.refresh()
+
+
 _TEXT_SCHEMA = (
     T.StructType().add("o_orderkey", "long").add("o_custkey", "long").add("o_orderstatus", "string")
     .add("o_totalprice", "double").add("o_orderpriority", "string")
