@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app: str = "siltlake", master: str | None = None, **conf: str) -> SparkSession:
-    """A session in UTC with adaptive execution; ``conf`` keys use ``_`` for ``.``."""
+    """A session in UTC with adaptive execution; ``conf`` keys use ``__`` for ``.``."""
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
@@ -22,18 +22,23 @@ def build_session(app: str = "siltlake", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Only a session that names none (local mode, tests) gets a temporary folder;
-    it is stored in the session so that later calls agree.
+    Only a local session that names none, as in tests, gets a temporary folder, the same one
+    for as long as it runs.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="siltlake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if context.applicationId not in _local_dirs:
+            _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="siltlake-")
+        folder = _local_dirs[context.applicationId]
     return folder.rstrip("/")
 
 
