@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from siltlake.plans.registry import ORACLES, QUERIES
 from conftest import SF
 from oracle import compare, connect
 
@@ -12,13 +13,13 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, con, name):
     compare(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name])
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
