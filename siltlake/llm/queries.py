@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltlake.llm import mixing, secret_scan
+from siltlake.llm import decontaminate, lengths, mixing, secret_scan
 from siltlake.llm.common import read
 from siltlake.llm.oracle_sql import MIXED, SECRETS
 from siltlake.plans.registry import Query
@@ -37,3 +37,22 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents replicated to the target weights and shuffled."""
     return mixing.replicate(read(spark, sf_dir, "documents"), WEIGHTS, seed=7)
+
+
+@_register()
+def op8_decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    docs = read(spark, sf_dir, "documents")
+    found = decontaminate.judged(decontaminate.contaminated(docs, read(spark, sf_dir, "benchmark")))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+#: A public byte-level BPE vocabulary: rank file and splitting pattern.
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+@_register()
+def op9_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histogram of encoded lengths of all documents with its suffix sums."""
+    return lengths.suffix_sums(lengths.histogram(read(spark, sf_dir, "documents"), RANKS, PATTERN))
