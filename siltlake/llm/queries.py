@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siltlake.llm import decontaminate, lengths, mixing, secret_scan
+from siltlake.llm import decontaminate, language, lengths, mixing, secret_scan, toxicity
 from siltlake.llm.common import read
 from siltlake.llm.oracle_sql import MIXED, SECRETS
 from siltlake.plans.registry import Query
@@ -56,3 +57,26 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 def op9_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histogram of encoded lengths of all documents with its suffix sums."""
     return lengths.suffix_sums(lengths.histogram(read(spark, sf_dir, "documents"), RANKS, PATTERN))
+
+
+TOXIC = 0.7
+
+
+@_register()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels outside the held-out fold."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    index = toxicity.fit(docs, labels.where(~language.fold(F.col("doc_id"), 3, 1)))
+    return toxicity.score(docs.select("doc_id", "text"), index).select(
+        "doc_id", language.fold(F.col("doc_id"), 3, 1).alias("held_out"), "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"), "evidence")
+
+
+@_register()
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from those outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents")
+    held_out = language.fold(F.col("doc_id"), 4, 2)
+    model = language.fit(docs.where(~held_out))
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
