@@ -69,10 +69,12 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         both = now.df.select("a", "b").union(now.df.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # A link (a, b), b < a, becomes (a, m(b)) and (b, m(b)), and a node points at its own least.
-        via = now.df.join(least.withColumnRenamed("a", "b"), "b")
+        # Written first: a join of two plain reads is one whose hot nodes Spark can split.
+        least = Saved(least, name)
+        via = now.df.join(least.df.withColumnRenamed("a", "b"), "b")
         nxt = Saved(
             via.select("a", F.col("m").alias("b"))
-            .union(least.select("a", F.col("m").alias("b")))
+            .union(least.df.select("a", F.col("m").alias("b")))
             .where("a != b")
             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
         # Done when every node has one link, to a node that has no lesser one.
@@ -80,6 +82,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         open_ends = nxt.df.join(nodes.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count()
         many = nodes.where("n > 1").limit(1).count()
         now.drop()
+        least.drop()
         now = nxt
         if not open_ends and not many:
             break

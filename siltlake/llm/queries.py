@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm import decontaminate, language, lengths, mixing, secret_scan, toxicity
+from siltlake.llm import decontaminate, language, lengths, mixing, near_docs, paragraphs, secret_scan, toxicity
 from siltlake.llm.common import read
 from siltlake.llm.oracle_sql import MIXED, SECRETS
 from siltlake.plans.registry import Query
@@ -80,3 +80,15 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit(docs.where(~held_out))
     return language.predict(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@_register()
+def op1_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of documents that repeat, exactly or nearly."""
+    return paragraphs.duplicates(read(spark, sf_dir, "documents"))
+
+
+@_register()
+def op2_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near duplicates of every document."""
+    return near_docs.classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "keep")
