@@ -25,7 +25,7 @@ BANDS, ROWS = 10, 3
 SIMILAR = 0.8
 SHINGLE = 5
 #: A passage is reported from this many words; sentences shorter than this many only bridge.
-MIN_WORDS, MIN_SENTENCE = 25, 8
+MIN_WORDS, MIN_SENTENCE = 20, 5
 
 _A = np.random.Generator(np.random.PCG64(77)).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
 PIECES = "doc_id {kind}, th long, starts array<int>, ends array<int>, words array<int>, lines array<boolean>, hashes array<long>"

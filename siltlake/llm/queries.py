@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm import decontaminate, language, lengths, mixing, near_docs, paragraphs, secret_scan, toxicity
+from siltlake.llm import decontaminate, language, lengths, mixing, near_docs, neighbours, paragraphs, personal, secret_scan, toxicity
 from siltlake.llm.common import read
 from siltlake.llm.oracle_sql import MIXED, SECRETS
 from siltlake.plans.registry import Query
@@ -92,3 +92,15 @@ def op1_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near duplicates of every document."""
     return near_docs.classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "keep")
+
+
+@_register()
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every twentieth embedding, by inner product."""
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@_register()
+def op10_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return personal.digest(personal.scan(read(spark, sf_dir, "documents")))
