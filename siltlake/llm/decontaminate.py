@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import row_key, saved
+from siltlake.llm.common import row_key, saved, unused
 from siltlake.llm.text import words_of
 
 WINDOW = 13
@@ -211,8 +211,10 @@ def judged(hits: DataFrame) -> DataFrame:
 
 def clean_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the contaminated ones, every column kept."""
-    hit = judged(contaminated(docs, items)).where("contaminated").select(F.col("row").alias("_row")).distinct()
-    return docs.join(hit, row_key(F.col("doc_id"), F.col("text")) == F.col("_row"), "left_anti")
+    row = unused(docs, "_row")
+    hit = saved(judged(contaminated(docs, items)).where("contaminated").select(F.col("row").alias(row)).distinct(), "windows")
+    keyed = docs.withColumn(unused(docs, "_key"), row_key(F.col("doc_id"), F.col("text")))
+    return keyed.join(hit, F.col(unused(docs, "_key")) == F.col(row), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def brute(text: str | None, items: list[tuple[str, str]], width: int = WINDOW) -> tuple[int, int, str]:

@@ -64,7 +64,7 @@ def dart_signatures(items: np.ndarray, weights: np.ndarray, first: np.ndarray, k
         darts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         step = 0
         while len(live):
-            dart = mix64(base[live] + np.uint64(0xD1342543DE82EF95) * np.uint64(step + 1))
+            dart = mix64(base[live] + np.uint64(0xD1342543DE82EF95 * (step + 1) % 2**64))
             time = time - np.log(_unit(dart)) / width[live]
             on = time <= until[owner[live]]
             live, time, dart = live[on], time[on], dart[on]

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import row_key, saved
+from siltlake.llm.common import row_key, saved, unused
 
 #: The patterns of the base kinds, in the order in which spans are listed.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -87,7 +87,7 @@ def ownership(found: DataFrame) -> DataFrame:
 def scan(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", max_owners: int = 1,
 ) -> DataFrame:
-    """One row per document: ``doc_id, base, added, n_live, n_example``.
+    """One row per document: ``doc_id, row, base, added, n_live, n_example``.
 
     ``base`` and ``added`` are arrays of ``(start, kind_no, end, kind)`` in order; a value held by
     at most ``max_owners`` owners counts as live, any other as an example. ``added`` are the live
@@ -109,7 +109,7 @@ def scan(
         F.element_at(F.array(*map(F.lit, KINDS)), x["kind_no"] + 1).alias("kind"))))
     all_judged = F.coalesce(F.col("judged"), F.array().cast("array<struct<start:int,kind_no:int,end:int,live:boolean>>"))
     return found.join(judged, "row", "left").select(
-        "doc_id", named(F.col("base")).alias("base"),
+        "doc_id", "row", named(F.col("base")).alias("base"),
         named(F.filter(all_judged, lambda x: (x["kind_no"] == mixed_no) & x["live"])).alias("added"),
         F.size(F.filter(all_judged, lambda x: x["live"])).cast("long").alias("n_live"),
         F.size(F.filter(all_judged, lambda x: ~x["live"] & (x["kind_no"] != mixed_no))).cast("long").alias("n_example"))
@@ -126,3 +126,28 @@ def digest(scanned: DataFrame) -> DataFrame:
     return scanned.select(
         "doc_id", *[count(k) for k in KINDS[:3]], F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
         listed(F.array_sort(F.concat("base", "added"))).alias("spans"), "n_live", "n_example")
+
+
+def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with ``mark`` in place of every base and added span, and ``n_chars`` of the new text.
+
+    Spans that overlap become one mark. Documents without a span stay as they are, null texts
+    too; all rows and columns are kept.
+    """
+    row, spans = unused(docs, "_row"), unused(docs, "_spans")
+    hits = scan(docs).select(F.col("row").alias(row), F.array_sort(F.concat("base", "added")).alias(spans)).where(F.size(spans) > 0)
+    hits = saved(hits.dropDuplicates([row]), "secrets")
+    text = F.col("text")
+    clean = F.aggregate(
+        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda s, x: F.struct(
+            F.greatest(s["at"], x["end"]).alias("at"),
+            F.when(x["start"] < s["at"], s["out"]).otherwise(
+                F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mark))).alias("out")),
+        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    found = F.col(spans).isNotNull()
+    columns = {"text": F.when(found, clean).otherwise(text)}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(found, F.length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    keyed = docs.withColumn(row, row_key(F.col("doc_id"), text)).join(hits, row, "left")
+    return keyed.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

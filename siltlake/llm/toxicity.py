@@ -258,3 +258,10 @@ def score(docs: DataFrame, index: Index, text: str = "text", k: int = NEAREST) -
                 names=schema.names)
 
     return docs.withColumn(body, F.col(text)).mapInArrow(vote, schema)
+
+
+def accepted(docs: DataFrame, index: Index, limit: float, text: str = "text") -> DataFrame:
+    """``docs`` whose score stays below ``limit``, with the columns they came with."""
+    body, place = unused(docs, "_text"), unused(docs, "_place")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(place), F.col(text).alias(body))
+    return score(packed, index, body).where(F.col("score") < limit).select(f"{place}.*")
