@@ -68,10 +68,10 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         # Each node's least neighbour on either side, itself included.
         both = now.df.select("a", "b").union(now.df.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        # A link (a, b), b < a, becomes (a, m(b)) and (b, m(b)), and a node points at its own least.
+        # A link (a, b) becomes (a, m(b)) and (b, m(a)), and a node points at its own least.
         # Written first: a join of two plain reads is one whose hot nodes Spark can split.
         least = Saved(least, name)
-        via = now.df.join(least.df.withColumnRenamed("a", "b"), "b")
+        via = both.join(least.df.withColumnRenamed("a", "b"), "b")
         nxt = Saved(
             via.select("a", F.col("m").alias("b"))
             .union(least.df.select("a", F.col("m").alias("b")))

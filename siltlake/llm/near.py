@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from siltlake.llm.common import Saved, components
 from siltlake.llm.text import counted, mix64, shingles_of, words_of
 
-ROUNDS = 6
+ROUNDS = 4
 #: Pairs per member that are few enough to verify at once.
-FEW = 4
+FEW = 32
 #: Rows of texts handed to Python at a time; pairs of long texts would fill its memory.
 PAIR_BATCH = 500
 
