@@ -46,5 +46,5 @@ def money_sum(amount: Column) -> Column:
 
 
 def money_avg(amount: Column) -> Column:
-    """Average from the sum in whole cents, so that the order of addition cannot show."""
-    return money_sum(amount) / F.count(amount)
+    """The average, rounded far below a cent so that the order of addition cannot show."""
+    return F.round(F.avg(amount), 6)

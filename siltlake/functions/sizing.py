@@ -1,76 +1,17 @@
-"""Materialising an intermediate result, and broadcasting what was found to be small."""
+"""Materialising an intermediate result."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from pyspark.sql import DataFrame
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from siltlake.session import shared_dir
-
-BROADCAST_ROWS = 100_000
+from siltlake.session import scratch
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the shared checkpoint folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
-
-
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; stops counting there."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
-
-
-Lookup = Callable[[DataFrame, str], DataFrame]
+    """``df`` computed once, written below the shared folder and read back with its size known.
 
-
-def top_rows(
-    rows: DataFrame,
-    by: Column,
-    k: int,
-    finish: Callable[[DataFrame, Lookup], DataFrame],
-    expand: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame:
-    """The ``k`` first rows by descending ``by``, joined to their dimensions by ``finish``.
-
-    ``finish(rows, lookup)`` inner-joins ``lookup(dimension, key)`` and keeps ``k`` rows;
-    ``expand`` is a join that comes before it. Ranking goes first: only rows that can be
-    among the first ``k`` are joined, which are the ``k`` highest or, with a tie at the
-    boundary, all that reach the k-th value. As long as those are few they are broadcast, and
-    so are the dimension rows they name, so no dimension is shuffled. Inner joins may drop
-    some of them; if fewer than ``k`` are left, all rows are joined after all: the result is
-    always that of joining first.
+    Adaptive execution then chooses joins by that size.
     """
-
-    def everything() -> DataFrame:
-        return finish(expand(rows) if expand else rows, lambda dim, key: dim)
-
-    spark = rows.sparkSession
-    ranked = rows.withColumn("_by", by)
-    first = ranked.orderBy(F.desc("_by")).limit(k + 1).collect()
-    if len(first) > k and first[k - 1]["_by"] is None:
-        return everything()
-    if len(first) <= k or first[k - 1]["_by"] != first[k]["_by"]:
-        chosen = spark.createDataFrame(first[:k], ranked.schema)
-    else:
-        chosen = settled(ranked.where(F.col("_by") >= first[k - 1]["_by"]))
-        if not is_small(chosen):
-            return everything()
-    chosen = F.broadcast(chosen.drop("_by"))
-    if expand:
-        chosen = settled(expand(chosen))
-        if not is_small(chosen):
-            return everything()
-
-    def lookup(dim: DataFrame, key: str) -> DataFrame:
-        return F.broadcast(dim.join(F.broadcast(chosen.select(key)), key, "left_semi"))
-
-    result = finish(chosen, lookup)
-    found = result.collect()  # at most k rows
-    if len(first) > k and len(found) < k:
-        return everything()
-    return spark.createDataFrame(found, result.schema)
+    path = scratch(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.operators.changelog import OP, UPSERT, few, live, load, newest_rows, resolve, scan, state
+from siltlake.operators.changelog import OP, UPSERT, live, load, newest_rows, resolve, scan, state
 
 # Commits that change no row.
 SILENT = ("rewrite", "add column", "rename column", "drop column")
@@ -39,7 +39,7 @@ def changes(spark: SparkSession, base: str, v1: int, v2: int) -> DataFrame:
         new = state(spark, base, chain, b)
     else:
         logged = scan(spark, base, between, b.physical_schema)
-        touched = few(logged.select(*b.key).distinct(), between)
+        touched = logged.select(*b.key).distinct()
         old = old.join(touched.toDF(*a.key_names), a.key_names, "left_semi")
         newest = newest_rows(logged, b.key, between).where(F.col(OP) == UPSERT)
         new = newest.select(*[F.col(f"`{p}`").alias(n) for n, p, _ in b.columns])

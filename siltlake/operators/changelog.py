@@ -38,8 +38,6 @@ from siltlake.sources.tables import conform
 
 OP, VERSION, DIRECTORY = "_op", "_version", "_dir"
 RESERVED = (OP, VERSION, DIRECTORY)
-# Keys of this many change rows are broadcast; the commits say how many there are.
-BROADCAST_KEYS = 500_000
 UPSERT, DELETE = "U", "D"
 LOG_FIELDS = (T.StructField(OP, T.StringType()), T.StructField(VERSION, T.LongType()))
 
@@ -241,7 +239,6 @@ def state(spark: SparkSession, base: str, chain: Sequence[Commit], head: Commit)
         newest, touched = newest_rows(changed, key, deltas), changed.select(*key, VERSION)
         if len(deltas) > 1:
             touched = touched.groupBy(*key).agg(F.max(VERSION).alias(VERSION))
-        touched = few(touched, deltas)
         r, t = rows.alias("r"), touched.alias("t")
         same = F.col(f"t.{VERSION}") > F.col(f"r.{VERSION}")
         for k in key:
@@ -260,11 +257,6 @@ def newest_rows(changed: DataFrame, key: Sequence[str], commits: Sequence[Commit
     )
 
 
-def few(keys: DataFrame, commits: Sequence[Commit]) -> DataFrame:
-    """``keys`` of some commits, broadcast if their row counts allow it."""
-    return F.broadcast(keys) if sum(c.upserts + c.deletes for c in commits) <= BROADCAST_KEYS else keys
-
-
 def write_log(
     df: DataFrame, base: str, version: int, partition_by: Sequence[str], placed: bool = False
 ) -> str:

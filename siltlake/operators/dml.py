@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltlake.functions.sizing import is_small, settled
+from siltlake.functions.sizing import settled
 from siltlake.operators.changelog import (
-    BROADCAST_KEYS, DELETE, OP, RESERVED, UPSERT, Commit, commit_rows, load, now, record, require_key, resolve,
+    DELETE, OP, RESERVED, UPSERT, Commit, commit_rows, load, now, record, require_key, resolve,
     state, successor, tombstones, upserts,
 )
 from siltlake.sinks.parquet import write_table
@@ -99,8 +99,6 @@ def append(df: DataFrame, base: str, at: dt.datetime | None = None) -> Commit:
         low, high = written.agg(F.min(f"`{lead}`"), F.max(f"`{lead}`")).first()
         current = state(spark, base, chain, head).select(*head.key_names).toDF(*draft.key)
         current = current.where(F.col(f"`{lead}`").between(F.lit(low), F.lit(high)))
-        if is_small(new, BROADCAST_KEYS):
-            new = F.broadcast(new)
         known = current.join(new, list(draft.key), "left_semi").head(1)
         return "delta" if known else "fresh"
 
@@ -149,8 +147,8 @@ def merge(
     without a match becomes an ``insert``. A key that the source repeats fails the job.
 
     Only rows the source touches can change, so the target is first cut down by a semi-join
-    on the source's keys: a small source is broadcast and the target is scanned in place. The
-    source is computed once.
+    on the source's keys, which are written first: Spark sees their size and broadcasts few of
+    them itself, so that the target is scanned in place. The source is computed once.
     """
     chain = load(spark, base)
     head = resolve(chain)
@@ -170,8 +168,6 @@ def merge(
     )
     once = settled(once)
     keys = once.select(*on)
-    if is_small(keys, BROADCAST_KEYS):
-        keys = F.broadcast(keys)
     target = state(spark, base, chain, head)
     touched = target.join(keys, list(on), "left_semi").withColumn("_hit", F.lit(True))
     s, t = once.alias("s"), touched.alias("t")

@@ -62,7 +62,7 @@ def rewrite(
     order = [head.logical(p) for p in head.partition_by]
     order += [c for c in (sort_by or head.key_names) if c not in order]
     rows = state(spark, base, chain, head)
-    rows = rows.coalesce(1) if n == 1 else rows.repartitionByRange(n, *order)
+    rows = rows.repartitionByRange(n, *order)
     draft = successor(chain, "rewrite", "base", at)
     rows = upserts(rows.sortWithinPartitions(*order), head)
     data = write_log(rows, base, draft.version, draft.partition_by, placed=True)

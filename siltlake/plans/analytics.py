@@ -4,9 +4,9 @@ Inputs use the e-commerce column names: customers ``(customer_id, first_name, la
 city, state)``, products ``(product_id, name, category, price)`` and orders ``(order_id,
 customer_id, product_id, quantity, total_amount, status, order_date)``; extra columns are
 pruned. Joins follow a pre-aggregation on the join key wherever the question allows it, so
-a key with many orders is summed up before it is shuffled, and top-k reports rank before
-they join, so that names are looked up for a few rows only. Other join strategies are left to
-Spark, which knows the sizes. Ties are broken by further columns to make results definite.
+a key with many orders is summed up before it is shuffled. Top-k reports are one lazy plan each:
+join, then keep the first rows of every task. Join strategies are left to Spark, which knows the
+sizes at run time. Ties are broken by further columns to make results definite.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltlake.functions.envelope import full_name, money_avg, money_sum, month_of
-from siltlake.functions.sizing import Lookup, top_rows
 
 Expand = Callable[[DataFrame], DataFrame]
 
@@ -62,19 +61,16 @@ def status_metrics(orders: DataFrame) -> DataFrame:
 def _spend(orders: DataFrame) -> DataFrame:
     """Orders and amount per customer; sums stay unrounded until the end."""
     return orders.groupBy("customer_id").agg(
-        F.count("order_id").alias("n"), F.count("total_amount").alias("n_amounts"),
-        F.sum("total_amount").alias("amount"),
+        F.count("order_id").alias("n"), F.sum("total_amount").alias("amount"),
+        money_avg(F.col("total_amount")).alias("average"),
     )
 
 
 def _top_spenders(customers: DataFrame, orders: DataFrame, k: int) -> DataFrame:
-    """The ``k`` customers with the highest revenue, with ``n``, ``n_amounts`` and ``spent``."""
+    """The ``k`` customers with the highest revenue, with ``n``, ``average`` and ``spent``."""
     spend = _spend(orders).withColumn("spent", F.round("amount", 2))
 
-    def finish(rows: DataFrame, lookup: Lookup) -> DataFrame:
-        return rows.join(lookup(customers, "customer_id"), "customer_id").orderBy(F.desc("spent"), "customer_id").limit(k)
-
-    return top_rows(spend, F.col("spent"), k, finish)
+    return spend.join(customers, "customer_id").orderBy(F.desc("spent"), "customer_id").limit(k)
 
 
 def top_customers(customers: DataFrame, orders: DataFrame, k: int = 10) -> DataFrame:
@@ -97,7 +93,7 @@ def top_customers_valued(customers: DataFrame, orders: DataFrame, k: int = 10) -
     """The same with state and average order value."""
     return _top_spenders(customers, orders, k).select(
         "first_name", "last_name", "city", "state", F.col("n").alias("order_count"),
-        F.col("spent").alias("total_spent"), (F.col("spent") / F.col("n_amounts")).alias("avg_order_value"),
+        F.col("spent").alias("total_spent"), F.col("average").alias("avg_order_value"),
     )
 
 
@@ -181,19 +177,17 @@ def latest_orders(
     alone does not.
     """
 
-    def finish(rows: DataFrame, lookup: Lookup) -> DataFrame:
-        return (
-            rows.join(lookup(customers, "customer_id"), "customer_id")
-            .join(lookup(products, "product_id"), "product_id")
-            .select(
-                full_name(F.col("first_name"), F.col("last_name")).alias("customer_name"),
-                F.col("name").alias("product_name"), "quantity", "total_amount", "status", "order_date",
-            )
-            .orderBy(F.desc("order_date"), "customer_name", "product_name", "quantity", "total_amount")
-            .limit(k)
+    rows = orders.where(F.col("status") == status)
+    return (
+        (expand(rows) if expand else rows)
+        .join(customers, "customer_id").join(products, "product_id")
+        .select(
+            full_name(F.col("first_name"), F.col("last_name")).alias("customer_name"),
+            F.col("name").alias("product_name"), "quantity", "total_amount", "status", "order_date",
         )
-
-    return top_rows(orders.where(F.col("status") == status), F.col("order_date"), k, finish, expand)
+        .orderBy(F.desc("order_date"), "customer_name", "product_name", "quantity", "total_amount")
+        .limit(k)
+    )
 
 
 def largest_orders(
@@ -202,18 +196,15 @@ def largest_orders(
     """The ``k`` largest orders with customer and product names; ``expand`` adds what
     ``orders`` alone does not have."""
 
-    def finish(rows: DataFrame, lookup: Lookup) -> DataFrame:
-        return (
-            rows.join(lookup(customers, "customer_id"), "customer_id")
-            .join(lookup(products, "product_id"), "product_id")
-            .select(
-                full_name(F.col("first_name"), F.col("last_name")).alias("customer"),
-                F.col("name").alias("product"), "total_amount",
-            )
-            .orderBy(F.desc("total_amount"), "customer", "product").limit(k)
+    return (
+        (expand(orders) if expand else orders)
+        .join(customers, "customer_id").join(products, "product_id")
+        .select(
+            full_name(F.col("first_name"), F.col("last_name")).alias("customer"),
+            F.col("name").alias("product"), "total_amount",
         )
-
-    return top_rows(orders, F.col("total_amount"), k, finish, expand)
+        .orderBy(F.desc("total_amount"), "customer", "product").limit(k)
+    )
 
 
 def product_popularity(products: DataFrame, orders: DataFrame, k: int = 20) -> DataFrame:
@@ -223,16 +214,13 @@ def product_popularity(products: DataFrame, orders: DataFrame, k: int = 20) -> D
         F.round(F.sum("total_amount"), 2).alias("amount"),
     )
 
-    def finish(rows: DataFrame, lookup: Lookup) -> DataFrame:
-        return (
-            rows.join(lookup(products, "product_id"), "product_id").orderBy(F.desc("amount"), "product_id").limit(k)
-            .select(
-                "category", "name", F.col("n").alias("times_ordered"),
-                F.col("quantity").alias("total_quantity"), F.col("amount").alias("total_revenue"),
-            )
+    return (
+        sold.join(products, "product_id").orderBy(F.desc("amount"), "product_id").limit(k)
+        .select(
+            "category", "name", F.col("n").alias("times_ordered"),
+            F.col("quantity").alias("total_quantity"), F.col("amount").alias("total_revenue"),
         )
-
-    return top_rows(sold, F.col("amount"), k, finish)
+    )
 
 
 def orders_by_month(orders: DataFrame) -> DataFrame:

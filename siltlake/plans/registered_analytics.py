@@ -215,13 +215,13 @@ def status_by_revenue(spark, sf):
 
 
 @register(f"""SELECT status, count(*) AS order_count, round(sum(total_amount), 2) AS total_revenue,
-    round(sum(total_amount), 2) / count(total_amount) AS avg_order_value FROM {ORDERS} GROUP BY status""")
+    round(avg(total_amount), 6) AS avg_order_value FROM {ORDERS} GROUP BY status""")
 def status_averages(spark, sf):
     return a.status_averages(star.orders(spark, sf))
 
 
 @register(f"""SELECT status, count(*) AS order_count, round(sum(total_amount), 2) AS total_revenue,
-    round(sum(total_amount), 2) / count(total_amount) AS avg_order_value,
+    round(avg(total_amount), 6) AS avg_order_value,
     min(order_date) AS first_order, max(order_date) AS last_order FROM {ORDERS} GROUP BY status""")
 def status_metrics(spark, sf):
     return a.status_metrics(star.orders(spark, sf))
@@ -247,7 +247,7 @@ def top_customers_named(spark, sf):
 
 @register(f"""SELECT first_name, last_name, city, state, count(order_id) AS order_count,
     round(sum(total_amount), 2) AS total_spent,
-    round(sum(total_amount), 2) / count(total_amount) AS avg_order_value
+    round(avg(total_amount), 6) AS avg_order_value
     FROM {CUSTOMERS} c JOIN {ORDERS} o ON c.customer_id = o.customer_id
     GROUP BY c.customer_id, first_name, last_name, city, state
     ORDER BY total_spent DESC, c.customer_id LIMIT 10""")
@@ -260,13 +260,13 @@ def customers_by_state(spark, sf):
     return a.customers_by_state(star.customers(spark, sf))
 
 
-@register(f"""SELECT category, count(*) AS product_count, round(sum(price), 2) / count(price) AS avg_price
+@register(f"""SELECT category, count(*) AS product_count, round(avg(price), 6) AS avg_price
     FROM {PRODUCTS} GROUP BY category ORDER BY 2 DESC, 1""")
 def products_by_category(spark, sf):
     return a.products_by_category(star.products(spark, sf))
 
 
-@register(f"""SELECT category, count(*) AS product_count, round(sum(price), 2) / count(price) AS avg_price,
+@register(f"""SELECT category, count(*) AS product_count, round(avg(price), 6) AS avg_price,
     min(price) AS min_price, max(price) AS max_price FROM {PRODUCTS} GROUP BY category ORDER BY 3 DESC, 1""")
 def category_prices(spark, sf):
     return a.category_prices(star.products(spark, sf))

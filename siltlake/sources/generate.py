@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 FIRST_NAMES = (
     "John", "Jane", "Bob", "Alice", "Charlie", "Diana", "Eve", "Frank", "Grace", "Henry",
 )
-FIRST_NAMES_ALTERNATE = (
-    "John", "Jane", "Bob", "Alice", "Chris", "Christine", "Eve", "Frank", "Grace", "Henry",
-)
 LAST_NAMES = (
     "Smith", "Johnson", "Williams", "Brown", "Jones",
     "Garcia", "Miller", "Davis", "Rodriguez", "Martinez",

@@ -1,51 +1,44 @@
-"""Ranking before joining gives what joining before ranking gives."""
+"""Top-k reports are one lazy plan: building one runs no job, and ties and gaps are as joined."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from siltlake.functions import sizing
-from siltlake.functions.sizing import top_rows
-
-
-def plainly(facts, dim, k):
-    return facts.join(dim, "d").orderBy(F.desc("v"), "id").limit(k).collect()
-
-
-def ranked(facts, dim, k, expand=None):
-    def finish(rows, lookup):
-        return rows.join(lookup(dim, "d"), "d").orderBy(F.desc("v"), "id").limit(k)
-
-    return top_rows(facts, F.col("v"), k, finish, expand).collect()
-
-
-@pytest.mark.parametrize("case", ["distinct", "tied", "dangling", "few", "nulls", "many ties"])
-def test_same_rows(spark, monkeypatch, case):
-    facts = spark.range(300).select("id", (F.col("id") % 7).alias("d"), F.col("id").cast("double").alias("v"))
-    dim = spark.range(7).select(F.col("id").alias("d"), (F.col("id") * 10).alias("name"))
+from conftest import SF
+from siltlake.plans import analytics, star
+
+
+def test_building_runs_no_job(spark):
+    customers, products = star.customers(spark, SF), star.products(spark, SF)
+    heads, sales = star.orders(spark, SF), star.sales(spark, SF)
+    spark.sparkContext.setJobGroup("building", "top-k")
+    expand = lambda rows: rows.join(sales.drop("total_amount"), "order_id")
+    analytics.top_customers(customers, heads)
+    analytics.top_customers_named(customers, heads)
+    analytics.top_customers_valued(customers, heads)
+    analytics.product_popularity(products, sales)
+    analytics.latest_orders(customers, products, heads, "F", expand=expand)
+    analytics.largest_orders(customers, products, heads, expand=expand)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("case", ["distinct", "tied", "dangling", "few", "nulls"])
+def test_top_customers(spark, case):
+    orders = spark.range(300).select(
+        F.col("id").alias("order_id"), (F.col("id") % 70).alias("customer_id"), F.col("id").cast("double").alias("total_amount"))
     if case == "tied":
-        facts = facts.withColumn("v", F.floor(F.col("id") / 25).cast("double"))
-    if case == "dangling":  # the highest rows have no match
-        facts = facts.withColumn("d", F.when(F.col("id") > 250, 99).otherwise(F.col("d")))
+        orders = orders.withColumn("total_amount", F.lit(1.0))
     if case == "few":
-        facts = facts.where("id < 4")
+        orders = orders.where("order_id < 4")
     if case == "nulls":
-        facts = facts.withColumn("v", F.when(F.col("id") < 5, F.col("v")))
-    if case == "many ties":
-        facts = facts.withColumn("v", F.lit(1.0))
-        monkeypatch.setattr(sizing, "is_small", lambda df: False)
-    assert ranked(facts, dim, 10) == plainly(facts, dim, 10)
-
-
-def test_expansion_comes_before_the_cut(spark):
-    heads = spark.range(50).select("id", F.floor(F.col("id") / 8).alias("v"))
-    lines = spark.range(200).select((F.col("id") % 40).alias("id"), (F.col("id") % 3).alias("d"), F.col("id").alias("line"))
-    dim = spark.range(3).select(F.col("id").alias("d"), F.lit("x").alias("name"))
-
-    def finish(rows, lookup):
-        return rows.join(lookup(dim, "d"), "d").orderBy(F.desc("v"), "id", "line").limit(12)
-
-    def expand(rows):
-        return lines.join(rows, "id")
-
-    want = finish(expand(heads), lambda d, key: d).select("id", "line", "v").collect()
-    assert top_rows(heads, F.col("v"), 12, finish, expand).select("id", "line", "v").collect() == want
+        orders = orders.withColumn("total_amount", F.when(F.col("order_id") % 2 == 0, F.col("total_amount")))
+    known = 60 if case == "dangling" else 70
+    customers = spark.range(known).select(F.col("id").alias("customer_id"), *[F.lit(c).alias(c) for c in ("first_name", "last_name", "city", "state")])
+    sums = {}
+    for r in orders.collect():
+        if r["customer_id"] < known:
+            sums.setdefault(r["customer_id"], []).append(r["total_amount"])
+    total = {c: (sum(x for x in v if x is not None) if any(x is not None for x in v) else None) for c, v in sums.items()}
+    want = sorted(total.items(), key=lambda x: (x[1] is None, -(x[1] or 0), x[0]))[:10]
+    got = analytics.top_customers(customers, orders).collect()
+    assert [(r["customer_id"], r["total_spent"]) for r in got] == want
