@@ -15,12 +15,12 @@ from siltlake.operators.changelog import OP, UPSERT, live, load, newest_rows, re
 SILENT = ("rewrite", "add column", "rename column", "drop column")
 
 
-def changes(spark: SparkSession, base: str, v1: int, v2: int) -> DataFrame:
+def changes(spark: SparkSession, base: str, v1: int, v2: int, as_newest: bool = False) -> DataFrame:
     """Rows that differ between two versions: ``change``, then old and new images.
 
     ``change`` is insert, update or delete; the images are the structs ``before`` and
-    ``after`` under each version's own columns. A key that was touched but ends with the
-    same values is no change.
+    ``after`` under each version's own columns, or with ``as_newest`` both under those of the
+    later version. A key that was touched but ends with the same values is no change.
 
     Unless the table was replaced in between, only keys that the log between the versions
     names can differ. Their new images are the newest of those log rows, and the older state
@@ -43,18 +43,24 @@ def changes(spark: SparkSession, base: str, v1: int, v2: int) -> DataFrame:
         old = old.join(touched.toDF(*a.key_names), a.key_names, "left_semi")
         newest = newest_rows(logged, b.key, between).where(F.col(OP) == UPSERT)
         new = newest.select(*[F.col(f"`{p}`").alias(n) for n, p, _ in b.columns])
-    before = old.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(a.key_names)], F.struct("*").alias("before"))
+    names = {(n if replaced else p): n for n, p, _ in a.columns}
+    image = F.struct("*")
+    if as_newest:
+        image = F.struct(*[
+            (F.col(f"`{names[n if replaced else p]}`") if (n if replaced else p) in names else F.lit(None)).cast(t).alias(n)
+            for n, p, t in b.columns
+        ])
+    before = old.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(a.key_names)], image.alias("before"))
     after = new.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(b.key_names)], F.struct("*").alias("after"))
     both = before.join(after, [f"_k{i}" for i in range(len(a.key))], "full")
-    # Compare the columns both versions have: one that was added or dropped is a change of
-    # schema, not of the row. A column is the same under its physical name; across a
-    # replacement, where physical names start anew, under its name.
-    names = {(n if replaced else p): n for n, p, _ in b.columns}
+    # A column is the same under its physical name; across a replacement, where physical names
+    # start anew, under its name. One that was added held NULL before, so a value in it is a
+    # change; one that was dropped is a change of schema, not of the row.
     same = F.lit(True)
-    for n, p, _ in a.columns:
-        new_name = names.get(n if replaced else p)
-        if new_name is not None:
-            same = same & F.col(f"before.`{n}`").eqNullSafe(F.col(f"after.`{new_name}`"))
+    for n, p, _ in b.columns:
+        old_name = names.get(n if replaced else p)
+        was = F.lit(None) if old_name is None else F.col(f"before.`{n if as_newest else old_name}`")
+        same = same & F.col(f"after.`{n}`").eqNullSafe(was)
     kind = (
         F.when(F.col("before").isNull(), "insert")
         .when(F.col("after").isNull(), "delete")
@@ -69,44 +75,118 @@ def _reversed(changed: DataFrame) -> DataFrame:
     return changed.select(turned.alias("change"), F.col("after").alias("before"), F.col("before").alias("after"))
 
 
-def aggregate(rows: DataFrame, group: Mapping[str, Column], sums: Mapping[str, Column]) -> DataFrame:
-    """``n`` rows and exact sums per group; money adds up as a decimal."""
+#: The type that amounts add up in unless the caller names another.
+EXACT = "decimal(38,18)"
+
+
+def aggregate(rows: DataFrame, group: Mapping[str, Column], sums: Mapping[str, Column], exact: str = EXACT) -> DataFrame:
+    """``n`` rows and exact sums per group, added up in the decimal type ``exact``.
+
+    An amount that the type would change fails the job. A group without an amount sums to NULL.
+    """
+    return _partial(rows, group, sums, exact).select(*group, "n", *sums)
+
+
+def _partial(rows: DataFrame, group: Mapping[str, Column], sums: Mapping[str, Column], exact: str) -> DataFrame:
+    """``aggregate`` with the number of amounts behind each sum, as it is stored."""
     return rows.groupBy(*[c.alias(n) for n, c in group.items()]).agg(
-        F.count("*").alias("n"), *[_exact_sum(c).alias(n) for n, c in sums.items()]
+        F.count("*").alias("n"), *[c.alias(n) for n, c in _sums(sums, exact).items()]
     )
 
 
-def _exact_sum(amount: Column) -> Column:
-    return F.sum(amount.cast("decimal(18,2)"))
+def _held(name: str) -> str:
+    return f"_held_{name}"
+
+
+def _sums(sums: Mapping[str, Column], exact: str) -> dict[str, Column]:
+    out = {}
+    for name, amount in sums.items():
+        value = amount.try_cast(exact)
+        out[name] = F.sum(
+            F.when(amount.isNull() | (value == amount), value)
+            .otherwise(F.raise_error(F.lit(f"an amount of {name} does not fit {exact}")).cast(exact))
+        )
+        out[_held(name)] = F.count(amount)
+    return out
 
 
 def refresh(
-    view: DataFrame, changed: DataFrame, group: Mapping[str, Column], sums: Mapping[str, Column]
+    view: DataFrame, changed: DataFrame, group: Mapping[str, Column], sums: Mapping[str, Column], exact: str = EXACT
 ) -> DataFrame:
-    """``view`` (from ``aggregate``) brought up to date by rows from ``changes``.
+    """A stored view brought up to date by rows from ``changes``, both images under the newest names.
 
     Each change adds its new image and takes away its old one. Counts and decimal sums stay
-    exact under this; a group that loses its last row disappears. Changed rows are added up
-    per group first, so a group that changed a lot is not gathered row by row.
+    exact under this; a group that loses its last row disappears, and a sum that loses its last
+    amount is NULL. Changed rows are added up per group first, so a group that changed a lot is
+    not gathered row by row.
     """
-    plus = aggregate(changed.where(F.col("after").isNotNull()).select("after.*"), group, sums)
-    minus = aggregate(changed.where(F.col("before").isNotNull()).select("before.*"), group, sums)
-    names = ["n", *sums]
+    plus = _partial(changed.where(F.col("after").isNotNull()).select("after.*"), group, sums, exact)
+    minus = _partial(changed.where(F.col("before").isNotNull()).select("before.*"), group, sums, exact)
+    names = ["n", *sums, *map(_held, sums)]
     signed = view.unionByName(plus).unionByName(
         minus.select(*group, *[(-F.col(n)).alias(n) for n in names])
     )
-    return (
+    total = (
         signed.groupBy(*group)
         .agg(*[F.sum(n).cast(view.schema[n].dataType).alias(n) for n in names])
         .where(F.col("n") > 0)
     )
+    return total.select(
+        *group, "n", *[F.when(F.col(_held(s)) > 0, F.col(s)).alias(s) for s in sums], *map(_held, sums)
+    )
+
+
+def refresh_extremes(
+    view: DataFrame, changed: DataFrame, rows: DataFrame, group: Mapping[str, Column],
+    lows: Mapping[str, Column], highs: Mapping[str, Column],
+) -> DataFrame:
+    """A view of ``n``, minima and maxima brought up to date by rows from ``changes``.
+
+    New values are merged in. Only a group that lost the extreme it stood at, and gained none
+    as far out, is computed anew from ``rows``.
+    """
+    plus = _extremes(changed.where(F.col("after").isNotNull()).select("after.*"), group, lows, highs)
+    minus = _extremes(changed.where(F.col("before").isNotNull()).select("before.*"), group, lows, highs)
+    names = ["n", *lows, *highs]
+
+    def tagged(part: DataFrame, tag: str) -> DataFrame:
+        return part.select(*group, *[F.col(n).alias(f"{tag}_{n}") for n in names])
+
+    sides = tagged(view, "is").unionByName(tagged(plus, "in"), True).unionByName(tagged(minus, "out"), True)
+    side = sides.groupBy(*group).agg(*[F.max(c).alias(c) for c in sides.columns if c not in group])
+    lost = F.lit(False)
+    for n in lows:
+        lost = lost | (F.col(f"out_{n}") <= F.col(f"is_{n}")) & ~F.coalesce(F.col(f"in_{n}") <= F.col(f"is_{n}"), F.lit(False))
+    for n in highs:
+        lost = lost | (F.col(f"out_{n}") >= F.col(f"is_{n}")) & ~F.coalesce(F.col(f"in_{n}") >= F.col(f"is_{n}"), F.lit(False))
+    count = [F.coalesce(F.col(f"{tag}_n"), F.lit(0)) for tag in ("is", "in", "out")]
+    side = side.withColumns({"_n": count[0] + count[1] - count[2], "_lost": F.coalesce(lost, F.lit(False))}).where("_n > 0")
+    merged = side.where("not _lost").select(
+        *group, F.col("_n").alias("n"),
+        *[F.least(f"is_{n}", f"in_{n}").alias(n) for n in lows],
+        *[F.greatest(f"is_{n}", f"in_{n}").alias(n) for n in highs],
+    )
+    keyed = rows.withColumns({f"_g_{n}": c for n, c in group.items()})
+    gone = side.where("_lost").select(*[F.col(n).alias(f"_lost_{n}") for n in group])
+    hit = F.lit(True)
+    for n in group:
+        hit = hit & F.col(f"_g_{n}").eqNullSafe(F.col(f"_lost_{n}"))
+    anew = _extremes(keyed.join(gone, hit, "left_semi"), {n: F.col(f"_g_{n}") for n in group}, lows, highs)
+    return merged.unionByName(anew)
+
+
+def _extremes(
+    rows: DataFrame, group: Mapping[str, Column], lows: Mapping[str, Column], highs: Mapping[str, Column]
+) -> DataFrame:
+    return rows.groupBy(*[c.alias(n) for n, c in group.items()]).agg(
+        F.count("*").alias("n"), *[F.min(c).alias(n) for n, c in lows.items()], *[F.max(c).alias(n) for n, c in highs.items()]
+    )
 
 
 def refresh_groups(
     view: DataFrame, changed: DataFrame, rows: DataFrame, group: Mapping[str, Column], values: Mapping[str, Column]
 ) -> DataFrame:
-    """``view`` brought up to date for aggregates that cannot be corrected by a difference,
-    such as MIN and MAX: groups that a change left or entered are computed anew from
+    """``view`` brought up to date for aggregates that cannot be corrected by a difference: groups that a change left or entered are computed anew from
     ``rows``, all others are kept."""
     names = [c.alias(n) for n, c in group.items()]
     left = changed.where(F.col("before").isNotNull()).select("before.*").select(*names)
@@ -132,8 +212,10 @@ def refresh_groups(
 class MaintainedAggregate:
     """A stored aggregate of a versioned table, refreshed from the change rows.
 
-    It holds ``n`` and ``sums`` per group, corrected by the difference each change makes;
-    with ``values``, which are any aggregates, touched groups are computed anew instead.
+    It holds ``n`` and ``sums`` per group, corrected by the difference each change makes, or
+    ``n`` and the minima ``lows`` and maxima ``highs``, where only groups that lost an extreme
+    are computed anew. With ``values``, which are any aggregates, or with both sums and extremes,
+    every touched group is. Columns are named as in the table's current version.
 
     ``path`` holds one Parquet data set per refresh and a small ``versions`` data set that
     names the current one, written last.
@@ -141,10 +223,11 @@ class MaintainedAggregate:
 
     def __init__(
         self, spark: SparkSession, base: str, path: str, group: Mapping[str, Column], sums: Mapping[str, Column] = {},
-        values: Mapping[str, Column] = {},
+        values: Mapping[str, Column] = {}, lows: Mapping[str, Column] = {}, highs: Mapping[str, Column] = {},
+        exact: str = EXACT,
     ) -> None:
         self.spark, self.base, self.path, self.group = spark, base, path, group
-        self.sums, self.values = sums, values
+        self.sums, self.values, self.lows, self.highs, self.exact = sums, values, lows, highs, exact
 
     def _current(self) -> tuple[int, str] | None:
         try:
@@ -165,12 +248,14 @@ class MaintainedAggregate:
             return self.read()
         alive = {c.version for c in live(chain)}
         if done and done[0] in alive:
-            changed = changes(self.spark, self.base, done[0], head.version)
-            if self.values:
-                rows = state(self.spark, self.base, chain, head)
-                view = refresh_groups(self.read(), changed, rows, self.group, self._all())
+            changed = changes(self.spark, self.base, done[0], head.version, as_newest=True)
+            rows, extremes = state(self.spark, self.base, chain, head), self.lows or self.highs
+            if self.values or extremes and self.sums:
+                view = refresh_groups(self._stored(), changed, rows, self.group, self._all())
+            elif extremes:
+                view = refresh_extremes(self._stored(), changed, rows, self.group, self.lows, self.highs)
             else:
-                view = refresh(self.read(), changed, self.group, self.sums)
+                view = refresh(self._stored(), changed, self.group, self.sums, self.exact)
         else:  # first build, or the version it stands at has been expired
             rows = state(self.spark, self.base, chain, head)
             view = rows.groupBy(*[c.alias(n) for n, c in self.group.items()]).agg(
@@ -184,7 +269,11 @@ class MaintainedAggregate:
         return self.read()
 
     def _all(self) -> dict[str, Column]:
-        return {"n": F.count("*"), **{n: _exact_sum(c) for n, c in self.sums.items()}, **self.values}
+        lows, highs = ({n: f(c) for n, c in m.items()} for f, m in ((F.min, self.lows), (F.max, self.highs)))
+        return {"n": F.count("*"), **_sums(self.sums, self.exact), **lows, **highs, **self.values}
 
-    def read(self) -> DataFrame:
+    def _stored(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{self._current()[1]}")
+
+    def read(self) -> DataFrame:
+        return self._stored().drop(*map(_held, self.sums))

@@ -19,9 +19,8 @@ from siltlake.sinks.parquet import write_table
 
 
 def _first(df_schema: T.StructType, operation: str, key, partition_by, at) -> Commit:
-    reserved = [n for n in df_schema.names if n in RESERVED]
-    if reserved:
-        raise ValueError(f"reserved column names: {reserved}")
+    for i, n in enumerate(df_schema.names):
+        _require_free(n, df_schema.names[:i])
     unknown = [c for c in [*key, *partition_by] if c not in df_schema.names]
     if unknown or not key:
         raise ValueError(f"key and partition columns must exist, unknown: {unknown}")
@@ -212,6 +211,12 @@ def require_no_null(df: DataFrame, key: Sequence[str]) -> None:
 # --- schema evolution ------------------------------------------------------------------
 
 
+def _require_free(name: str, taken: Sequence[str]) -> None:
+    """Names that differ only in case are one name to Spark."""
+    if name.lower() in {n.lower() for n in [*taken, *RESERVED]}:
+        raise ValueError(f"column {name} exists or is reserved")
+
+
 def _reshape(spark: SparkSession, base: str, operation: str, columns, at) -> Commit:
     chain = load(spark, base)
     return record(spark, base, successor(chain, operation, "schema", at, columns=tuple(columns)))
@@ -221,12 +226,11 @@ def add_column(spark: SparkSession, base: str, name: str, type: str, at: dt.date
     """ADD COLUMN: NULL in every earlier row; no data is written."""
     chain = load(spark, base)
     head = resolve(chain)
-    if name in head.schema.names or name in RESERVED:
-        raise ValueError(f"column {name} exists or is reserved")
+    _require_free(name, head.schema.names)
     ddl = T.StructType.fromDDL(f"c {type}")["c"].dataType.simpleString()
-    used = {p for c in chain for _, p, _ in c.columns}
+    used = {p.lower() for c in chain for _, p, _ in c.columns}
     physical = name
-    while physical in used:  # files may still hold an older column of this name
+    while physical.lower() in used:  # files may still hold an older column of this name
         physical = f"{physical}__{chain[-1].version + 1}"
     return _reshape(spark, base, "add column", [*head.columns, (name, physical, ddl)], at)
 
@@ -235,8 +239,7 @@ def rename_column(spark: SparkSession, base: str, old: str, new: str, at: dt.dat
     """RENAME COLUMN: the files keep the physical name."""
     head = resolve(load(spark, base))
     head.physical(old)
-    if new in head.schema.names or new in RESERVED:
-        raise ValueError(f"column {new} exists or is reserved")
+    _require_free(new, [n for n in head.schema.names if n != old])
     columns = [(new if n == old else n, p, t) for n, p, t in head.columns]
     return _reshape(spark, base, "rename column", columns, at)
 

@@ -7,7 +7,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltlake.functions.sizing import settled
@@ -100,10 +100,11 @@ def orphans(
     return out
 
 
-def retain(df: DataFrame, date_col: str, days: int) -> DataFrame:
-    """Rows of the last ``days`` days up to the newest date in the table.
+def retain(df: DataFrame, date_col: str, days: int, as_of: dt.date | Column) -> DataFrame:
+    """Rows of the last ``days`` days up to ``as_of``; later ones stay, undated ones go.
 
-    The bound is a scalar subquery, so on a date-partitioned table it prunes partitions.
+    The bound is a constant or a scalar subquery, so on a date-partitioned table it prunes
+    partitions.
     """
-    newest = df.agg(F.max(F.col(date_col).cast("date")).alias("newest"))
-    return df.where(F.col(date_col).cast("date") > F.date_sub(newest.scalar(), days))
+    end = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    return df.where(F.col(date_col).cast("date") > F.date_sub(end, days))

@@ -261,4 +261,5 @@ def retained_metrics(spark, sf):
     """The newest days of an ingested table, pruned by its date partitions."""
     cfg = configs()["api_metrics"]
     rows = ingest.read_ingested(spark, cfg, _ingested(spark, sf, "api_metrics"))
-    return retain(rows, "metric_date", config.retention_of(cfg) // 2).groupBy("metric_date").agg(F.count("*").alias("n"))
+    newest = rows.agg(F.max("metric_date")).scalar()
+    return retain(rows, "metric_date", config.retention_of(cfg) // 2, newest).groupBy("metric_date").agg(F.count("*").alias("n"))

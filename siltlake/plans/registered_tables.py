@@ -125,7 +125,7 @@ def conform_violations(spark, sf):
 @register("SELECT * FROM customer")
 def overwritten_table(spark, sf):
     path = scratch(spark, "overwrite")
-    sinks.write_table(read_table(spark, "customer", sf).limit(0), path)
+    sinks.write_table(read_table(spark, "customer", sf).withColumn("c_custkey", -F.col("c_custkey")), path)
     return sinks.write_table(read_table(spark, "customer", sf), path)
 
 
@@ -364,7 +364,8 @@ def replaced_table(spark, sf):
 def replaced_partitioned_table(spark, sf):
     """A partitioned versioned table, read with a filter that prunes directories."""
     base = scratch(spark, "orders")
-    dml.create_or_replace(read_table(spark, "orders", sf).limit(0), base, ["o_orderkey"], at=AT[0])
+    old = read_table(spark, "orders", sf).withColumn("o_orderkey", -F.col("o_orderkey"))
+    dml.create_or_replace(old, base, ["o_orderkey"], at=AT[0])
     dml.create_or_replace(read_table(spark, "orders", sf), base, ["o_orderkey"], ["o_orderstatus"], at=AT[1])
     return log.read_version(spark, base).where(F.col("o_orderstatus") == "F")
 
@@ -435,7 +436,8 @@ def rewritten_table(spark, sf):
 def retained_events(spark, sf):
     path = scratch(spark, "retain")
     sinks.write_by_day(read_table(spark, "events", sf), path, "ts")
-    return maintenance.retain(spark.read.parquet(path), "_day", 7).drop("_day")
+    days = spark.read.parquet(path)
+    return maintenance.retain(days, "_day", 7, days.agg(F.max("_day")).scalar()).drop("_day")
 
 
 # --- merge, changes, quality, maintained aggregates, text files -------------------------
@@ -489,6 +491,18 @@ def changed_rows(spark, sf):
     )
 
 
+@register("""SELECT 'update' AS change, p_partkey, CAST(NULL AS VARCHAR) AS old_stock, CAST(p_size AS VARCHAR) AS new_stock
+    FROM part WHERE p_type = 'ECONOMY' AND p_size IS NOT NULL""")
+def changed_rows_of_added_column(spark, sf):
+    """The only difference of these rows is a value in a column that the older version lacks."""
+    base = _parts(spark, sf)
+    dml.add_column(spark, base, "stock", "string", at=AT[1])
+    dml.update(spark, base, F.col("p_type") == "ECONOMY", {"stock": F.col("p_size").cast("string")}, at=AT[2])
+    return cdc.changes(spark, base, 1, 3, as_newest=True).select(
+        "change", "after.p_partkey", F.col("before.stock").alias("old_stock"), F.col("after.stock").alias("new_stock")
+    )
+
+
 @register("""SELECT 'quantity in range' AS rule, count(*) FILTER (WHERE NOT (l_quantity BETWEEN 1 AND 40)) AS failed_rows
     FROM lineitem
     UNION ALL SELECT 'ship date known', count(*) FILTER (WHERE l_shipdate IS NULL) FROM lineitem
@@ -516,7 +530,7 @@ def _monthly(spark, base) -> cdc.MaintainedAggregate:
         "order_month": F.trunc(F.col("o_orderdate").cast("date"), "month"), "o_orderstatus": F.col("o_orderstatus"),
     }
     return cdc.MaintainedAggregate(
-        spark, base, scratch(spark, "monthly"), group, {"revenue": F.col("o_totalprice")}
+        spark, base, scratch(spark, "monthly"), group, {"revenue": F.col("o_totalprice")}, exact="decimal(18,2)"
     )
 
 
@@ -533,14 +547,27 @@ def maintained_monthly_revenue(spark, sf):
     return view.refresh().withColumn("revenue", F.col("revenue").cast("double"))
 
 
+@register("""SELECT p_type, count(*) AS n, round(sum(CASE WHEN p_type = 'ECONOMY' THEN p_retailprice * 1.1::DOUBLE
+    ELSE p_retailprice END), 4) AS value FROM part GROUP BY 1""")
+def maintained_part_value(spark, sf):
+    """Amounts that an update leaves with more than two digits add up as they are."""
+    base = _parts(spark, sf)
+    view = cdc.MaintainedAggregate(
+        spark, base, scratch(spark, "value"), {"p_type": F.col("p_type")}, {"value": F.col("p_retailprice")}
+    )
+    view.refresh()
+    dml.update(spark, base, "p_type = 'ECONOMY'", {"p_retailprice": F.col("p_retailprice") * 1.1}, at=AT[1])
+    return view.refresh().withColumn("value", F.round(F.col("value").cast("double"), 4))
+
+
 @register(f"""SELECT o_orderstatus, count(*) AS n, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order
     FROM ({_CANCELLED}) WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'C') GROUP BY 1""")
 def maintained_order_dates(spark, sf):
-    """First and last order per status: groups that changes touch are computed anew."""
+    """First and last order per status: groups that lost one are computed anew."""
     base = _orders_by_status(spark, sf)
     view = cdc.MaintainedAggregate(
         spark, base, scratch(spark, "dates"), {"o_orderstatus": F.col("o_orderstatus")},
-        values={"first_order": F.min("o_orderdate"), "last_order": F.max("o_orderdate")},
+        lows={"first_order": F.col("o_orderdate")}, highs={"last_order": F.col("o_orderdate")},
     )
     view.refresh()
     _cancel_old(spark, base)

@@ -9,11 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app: str = "siltlake", master: str | None = None, **conf: str) -> SparkSession:
-    """A session in UTC with adaptive execution; ``conf`` keys use ``__`` for ``.``."""
+    """A session in UTC with adaptive execution, where bad values are errors; ``conf`` keys use ``__`` for ``.``."""
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.ansi.enabled", "true")
     )
     if master:
         builder = builder.master(master)

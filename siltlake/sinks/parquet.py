@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def laid_out(df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
@@ -16,6 +17,12 @@ def laid_out(df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[
     the partition columns would give it to one task.
     """
     if partition_by:
+        # A directory cannot be named by an empty text: it would read back as NULL.
+        texts = [c for c in partition_by if isinstance(df.schema[c].dataType, T.StringType)]
+        df = df.withColumns({
+            c: F.when(F.col(f"`{c}`") == "", F.raise_error(F.lit(f"empty text in partition column {c}")).cast("string"))
+            .otherwise(F.col(f"`{c}`")) for c in texts
+        })
         df = df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)

@@ -122,8 +122,8 @@ def orders_for(ids: DataFrame, customers: DataFrame, products: DataFrame, seed:
 
 
 def _dense(df: DataFrame, key: str) -> int:
-    n, low, high = df.agg(F.count(key), F.min(key), F.max(key)).first()
-    if n == 0 or low != 1 or high != n:
+    n, distinct, low, high = df.agg(F.count(key), F.count_distinct(key), F.min(key), F.max(key)).first()
+    if n == 0 or low != 1 or high != n or distinct != n:
         raise ValueError(f"{key} must be the dense ids 1..n, got {n} ids in {low}..{high}")
     return n
 

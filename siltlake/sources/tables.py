@@ -28,7 +28,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to ``schema`` in its declared order.
 
     A NULL in a non-null column, or a value that does not fit its type, fails the job
-    with the column's name. Columns the schema does not list are dropped; one that
+    with the column's name. A number does not fit an integral or decimal type that would
+    change it: 3.7 is no int. Columns the schema does not list are dropped; one that
     ``df`` lacks becomes a typed NULL, which only a nullable column accepts.
     """
     have = {f.name: f.dataType for f in df.schema.fields}
@@ -37,8 +38,12 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         raise ValueError(f"non-null columns are missing: {missing}")
     out: list[Column] = []
     for f in schema.fields:
-        value = F.col(f"`{f.name}`") if f.name in have else F.lit(None)
-        value = value.cast(f.dataType)
+        given = F.col(f"`{f.name}`") if f.name in have else F.lit(None)
+        value = given.cast(f.dataType)
+        if f.name in have and _may_lose(have[f.name], f.dataType):
+            value = F.when(_kept(given, have[f.name], f.dataType), value).otherwise(
+                F.raise_error(F.lit(f"value of {f.name} changes as {f.dataType.simpleString()}")).cast(f.dataType)
+            )
         if not f.nullable:
             value = F.coalesce(
                 value, F.raise_error(F.lit(f"NULL in non-null column {f.name}")).cast(f.dataType)
@@ -47,17 +52,31 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*out)
 
 
+def _may_lose(given: T.DataType, wanted: T.DataType) -> bool:
+    """Whether a cast between two types of number may round; between texts and others it is parsing."""
+    return given != wanted and isinstance(given, T.NumericType) and isinstance(wanted, (T.IntegralType, T.DecimalType))
+
+
+def _kept(value: Column, given: T.DataType, wanted: T.DataType) -> Column:
+    """Whether the cast value, cast back, is the value again."""
+    return value.try_cast(wanted).try_cast(given).eqNullSafe(value)
+
+
 def violations(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows that would break ``conform``, counted per column in one pass.
 
     Returns ``(column, nulls, misfits)``: NULLs in non-null columns and values that the
-    declared type cannot hold.
+    declared type cannot hold, or only by changing them.
     """
+    have = {f.name: f.dataType for f in df.schema.fields}
     cells = []
     for f in schema.fields:
-        c = F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)
+        c = F.col(f"`{f.name}`") if f.name in have else F.lit(None)
         nulls = F.lit(0).cast("long") if f.nullable else F.count_if(c.isNull())
-        misfit = F.count_if(c.isNotNull() & c.try_cast(f.dataType).isNull())
+        lost = c.isNotNull() & c.try_cast(f.dataType).isNull()
+        if f.name in have and _may_lose(have[f.name], f.dataType):
+            lost = lost | ~_kept(c, have[f.name], f.dataType)
+        misfit = F.count_if(lost)
         cells.append(
             F.struct(F.lit(f.name).alias("column"), nulls.alias("nulls"), misfit.alias("misfits"))
         )

@@ -180,3 +180,20 @@ def test_csv_dead_letters(spark, tmp_path):
     good, bad = split_corrupt(read_csv(spark, str(path), T.StructType().add("k", "integer").add("v", "string")), ["v"])
     assert [tuple(r) for r in good.collect()] == [(1, "a")]
     assert {tuple(r) for r in bad.collect()} == {("x,b", "malformed"), ('{"k":3}', "missing v")}
+
+
+def test_values_that_a_cast_would_change_are_refused(spark, tmp_path):
+    df = spark.sql("SELECT 3.7D AS x UNION ALL SELECT 4D")
+    schema = T.StructType([T.StructField("x", T.IntegerType())])
+    assert [r.misfits for r in violations(df, schema).collect()] == [1]
+    with pytest.raises(Exception, match="value of x changes"):
+        conform(df, schema).collect()
+    assert conform(df.where("x = 4"), schema).first().x == 4
+    with pytest.raises(Exception, match="empty text in partition column"):
+        sinks.write_table(spark.sql("SELECT 1 AS a, '' AS b"), str(tmp_path / "t"), partition_by=["b"])
+
+
+def test_dimension_ids_must_be_distinct(spark):
+    twice = spark.sql("SELECT explode(array(1L, 1L, 3L)) AS product_id, 2D AS price")
+    with pytest.raises(ValueError, match="dense"):
+        gen.gen_orders(spark, 10, gen.gen_customers(spark, 5), twice)
