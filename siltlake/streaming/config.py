@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Mapping
+from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -49,13 +50,36 @@ def required_of(cfg: Config) -> list[str]:
     return [f["name"] for f in cfg["fields"] if f.get("required")]
 
 
-def table_of(cfg: Config) -> str:
-    """Table name without its namespace; the lower-cased log name by default."""
-    return cfg.get("warehouse", {}).get("table_name", cfg["name"].lower()).split(".")[-1]
+@dataclass(frozen=True)
+class Target:
+    """Where the rows of a log type land."""
+
+    database: str
+    table: str
+    partition_by: tuple[str, ...]
+    sort_by: tuple[str, ...]
+    retention_days: int | None
+
+    @property
+    def full_name(self) -> str:
+        return ".".join(f"`{part.replace('`', '``')}`" for part in (self.database, self.table))
+
+
+def target_of(cfg: Config, database: str = "analytics_logs") -> Target:
+    """The config's table, its own database or ``database``; named after the log by default.
+
+    Options may stand in the table section or, in newer configs, beside the name.
+    """
+    own, older = cfg.get("warehouse", {}), cfg.get(TABLE_SECTION, {})
+    named, _, table = (own.get("table_name") or cfg["name"].lower()).rpartition(".")
+    return Target(
+        named or database, table, tuple(older.get("partition_fields") or own.get("partition_by", ())),
+        tuple(older.get("sort_fields") or own.get("sort_by", ())), own.get("retention_days"),
+    )
 
 
-def namespace_of(cfg: Config, default: str = "analytics_logs") -> str:
-    return cfg.get("warehouse", {}).get("table_name", "").rpartition(".")[0] or default
+def table_of(cfg: Config) -> str:
+    return target_of(cfg).table
 
 
 def topic_of(cfg: Config) -> str:
@@ -63,28 +87,29 @@ def topic_of(cfg: Config) -> str:
 
 
 def partition_of(cfg: Config) -> list[str]:
-    return list(
-        cfg.get(TABLE_SECTION, {}).get("partition_fields") or cfg.get("warehouse", {}).get("partition_by", [])
-    )
+    return list(target_of(cfg).partition_by)
 
 
 def sort_of(cfg: Config) -> list[str]:
-    return list(cfg.get(TABLE_SECTION, {}).get("sort_fields") or cfg.get("warehouse", {}).get("sort_by", []))
+    return list(target_of(cfg).sort_by)
 
 
 def retention_of(cfg: Config) -> int | None:
-    return cfg.get("warehouse", {}).get("retention_days")
+    return target_of(cfg).retention_days
 
 
 def ensure_table(spark: SparkSession, cfg: Config, location: str) -> str:
-    """Create the config's namespace and Parquet table unless they exist; returns its name."""
-    namespace, fields, parts = namespace_of(cfg), schema_of(cfg), partition_of(cfg)
-    table = f"`{namespace}`.`{table_of(cfg)}`"
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields.fields)
-    partitioned = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {partitioned} "
-        f"OPTIONS (compression 'snappy') LOCATION '{location}'"
-    )
-    return table
+    """Register the config's Parquet table over ``location`` unless it exists; returns its name.
+
+    Files that already lie there stay: a session with an empty catalog finds them again.
+    """
+    target = target_of(cfg)
+    if not spark.catalog.tableExists(target.full_name):
+        quoted = location.replace("\\", "\\\\").replace("'", "\\'")
+        clauses = [f"create table {target.full_name} ({schema_of(cfg).toDDL()}) using parquet"]
+        if target.partition_by:
+            clauses.append("partitioned by (" + ", ".join(f"`{c}`" for c in target.partition_by) + ")")
+        clauses.append(f"options (compression 'snappy') location '{quoted}'")
+        spark.sql("create database if not exists `" + target.database.replace("`", "``") + "`")
+        spark.sql(" ".join(clauses))
+    return target.full_name

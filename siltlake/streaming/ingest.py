@@ -28,6 +28,8 @@ from siltlake.streaming.config import (
 from siltlake.sinks.parquet import write_table
 
 DEAD_LETTERS = "dead_letters"
+#: Files that a micro-batch adds to a table partition at most.
+TASKS_PER_PARTITION = 4
 
 
 def stream_source(
@@ -107,11 +109,12 @@ def route(df: DataFrame, cfgs: Iterable[Config]) -> dict[str, DataFrame]:
     return {table_of(c): route_one(df, c) for c in cfgs}
 
 
-def dead_letters(df: DataFrame, cfgs: Sequence[Config]) -> DataFrame:
+def dead_letters(df: DataFrame, cfgs: Sequence[Config], parked: Iterable[str] = ()) -> DataFrame:
     """Messages of a topic that no table takes: ``(value, reason, topic)``.
 
     Together with ``route`` this is a partition of the input: every message goes to exactly
-    one place.
+    one place. Those of the ``parked`` types, whose configs are disabled, wait in the topic:
+    once enabled, a config reads it from the start.
     """
     text = F.col("value").cast("string")
 
@@ -122,6 +125,8 @@ def dead_letters(df: DataFrame, cfgs: Sequence[Config]) -> DataFrame:
             parsed = F.array(parse(F.col("value"), schema_of(c)))
             lacks = F.element_at(F.transform(parsed, lambda e: _missing(e, c)), 1)
             out = out.when(log_type == c["log_type"], lacks)
+        for name in parked:
+            out = out.when(log_type == name, F.lit(None).cast("string"))
         return out.otherwise(F.concat(F.lit("unknown type "), log_type))
 
     letter = F.transform(
@@ -141,13 +146,13 @@ def start_sink(
     name: str | None = None,
     once: bool = True,
     trigger: str = "1 minute",
-    tasks_per_partition: int | None = None,
+    tasks_per_partition: int | None = TASKS_PER_PARTITION,
 ) -> StreamingQuery:
     """Append a stream to Parquet, exactly once per checkpoint.
 
     ``tasks_per_partition`` bounds the files a micro-batch adds to a partition: rows are
     shuffled to that many tasks per partition value, by row hash, so that one value holding
-    much of the batch still has several writers. Without it nothing is shuffled and every
+    much of the batch still has several writers. With None nothing is shuffled and every
     input task writes its own files.
     """
     if tasks_per_partition and partition_by:
@@ -162,6 +167,9 @@ def start_sink(
     return writer.start(path)
 
 
+DISABLED = "disabled"
+
+
 @dataclass
 class Started:
     """A query of the ingest, or why it did not start or stopped."""
@@ -170,16 +178,19 @@ class Started:
     query: StreamingQuery | None = None
     error: str | None = None
 
+    @property
+    def failed(self) -> bool:
+        return self.error not in (None, DISABLED)
+
 
 def read_configs(folder: str | Path) -> tuple[list[Config], list[Started]]:
-    """Enabled configs of a folder; a file that cannot be read is reported, not raised."""
+    """Configs of a folder, disabled ones too; a file that cannot be read is reported, not raised."""
     good, bad = [], []
     for path in config_files(folder):
         try:
             cfg = load_config(path)
             schema_of(cfg), topic_of(cfg)
-            if enabled(cfg):
-                good.append(cfg)
+            good.append(cfg)
         except Exception as e:
             bad.append(Started(path.name, error=f"{type(e).__name__}: {e}"))
     return good, bad
@@ -193,24 +204,28 @@ def run_ingest(
     checkpoints: str,
     once: bool = True,
     stamped: bool = False,
+    prepare: Callable[[Config], object] | None = None,
     **sink,
 ) -> list[Started]:
     """Start one query per enabled config and one dead-letter query per topic.
 
-    A config that fails to start is reported in its entry and does not keep the others from
-    running.
+    ``prepare`` runs before a config's query. A config that fails there or at its start is
+    reported in its entry and does not keep the others from running.
     """
-    started, topics = [], defaultdict(list)
+    started, topics, parked = [], defaultdict(list), defaultdict(list)
     for cfg in cfgs:
         entry = Started(cfg.get("name", "?"))
         started.append(entry)
         try:
             if not enabled(cfg):
-                entry.error = "disabled"
+                entry.error = DISABLED
+                parked[topic_of(cfg)].append(cfg["log_type"])
                 continue
             schema_of(cfg)
             topics[topic_of(cfg)].append(cfg)
             table = table_of(cfg)
+            if prepare is not None:
+                prepare(cfg)
             entry.query = start_sink(
                 route_one(source(cfg), cfg, stamped), f"{out}/{table}", f"{checkpoints}/{table}",
                 partition_of(cfg), once=once, **sink,
@@ -222,7 +237,7 @@ def run_ingest(
         started.append(entry)
         try:
             entry.query = start_sink(
-                dead_letters(source(members[0]), members), f"{out}/{DEAD_LETTERS}/{topic}",
+                dead_letters(source(members[0]), members, parked[topic]), f"{out}/{DEAD_LETTERS}/{topic}",
                 f"{checkpoints}/{DEAD_LETTERS}.{topic}", once=once,
             )
         except Exception as e:
@@ -230,11 +245,18 @@ def run_ingest(
     return started
 
 
-def supervise(spark: SparkSession, started: Sequence[Started]) -> list[Started]:
+def supervise(
+    spark: SparkSession, started: Sequence[Started], report: Callable[[Started], object] | None = None
+) -> list[Started]:
     """Wait until every query has ended, noting the error of each that failed.
 
-    A failure is seen when it happens, whichever query it is, not once earlier ones end.
+    A failure is seen, and handed to ``report``, when it happens, whichever query it is, not
+    once earlier ones end; those that did not start come first.
     """
+    if report is not None:
+        for s in started:
+            if s.failed:
+                report(s)
     waiting = [s for s in started if s.query is not None]
     while waiting:
         active = []
@@ -243,6 +265,8 @@ def supervise(spark: SparkSession, started: Sequence[Started]) -> list[Started]:
                 active.append(s)
             elif s.query.exception() is not None:
                 s.error = str(s.query.exception())
+                if report is not None:
+                    report(s)
         waiting = active
         if waiting:
             try:

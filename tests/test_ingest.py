@@ -96,7 +96,7 @@ def test_config_folder(spark, tmp_path):
     (tmp_path / "c.json").write_text("{ not json")
     (tmp_path / "d.json").write_text(json.dumps({**cfg, config.TABLE_SECTION: {"enabled": False}}))
     good, bad = ingest.read_configs(tmp_path)
-    assert [c["name"] for c in good] == ["UserEvents"]
+    assert [config.enabled(c) for c in good] == [True, False]
     assert [b.name for b in bad] == ["c.json"]
 
 
@@ -147,6 +147,15 @@ def test_a_failing_query_is_seen_while_others_run(spark, tmp_path):
     forever.stop()
 
 
+def test_a_disabled_type_waits_in_the_topic(spark, tmp_path):
+    frame(spark, [*GOOD, *BAD]).write.parquet(str(tmp_path / "in" / TOPIC))
+    off = {**configs()["user_events"], config.TABLE_SECTION: {"enabled": False}}
+    done = run(spark, tmp_path, [off, configs()["user_activity"]])
+    assert [s.name for s in done if s.error] == ["UserEvents"] and not any(s.failed for s in done)
+    letters = ingest.read_dead_letters(spark, [TOPIC], str(tmp_path / "out"))
+    assert letters.where("value LIKE '%UserEvents%' AND reason LIKE 'unknown type%'").count() == 0
+
+
 def test_kafka_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         ingest.stream_source(spark, configs()["user_events"])

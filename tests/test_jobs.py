@@ -2,6 +2,7 @@ import json
 
 from siltlake.jobs import ingest_logs, load_shop
 from siltlake.plans.registered_streams import configs
+from siltlake.streaming import config
 from test_ingest import GOOD, TOPIC, frame
 
 
@@ -22,12 +23,18 @@ def test_ingest_job(spark, tmp_path):
     cfg = {**configs()["user_events"], "warehouse": {"table_name": "job_logs.user_events"}}
     (folder / "user_events.json").write_text(json.dumps(cfg))
     (folder / "broken.json").write_text("{")
+    no_such = {**configs()["user_activity"], "warehouse": {"table_name": "job_logs.odd", "partition_by": ["nowhere"]}}
+    no_such.pop(config.TABLE_SECTION, None)
+    (folder / "no_such_column.json").write_text(json.dumps(no_such))
+    told = []
     frame(spark, GOOD).write.parquet(str(tmp_path / "in" / TOPIC))
     done = ingest_logs.ingest(
-        spark, str(folder), str(tmp_path / "out"), str(tmp_path / "ckpt"), once=True, replay_dir=str(tmp_path / "in")
+        spark, str(folder), str(tmp_path / "out"), str(tmp_path / "ckpt"), once=True, replay_dir=str(tmp_path / "in"),
+        report=lambda s: told.append(s.name),
     )
     assert {s.name: s.error is None for s in done} == {
-        "broken.json": False, "UserEvents": True, f"dead_letters.{TOPIC}": True,
+        "broken.json": False, "UserActivity": False, "UserEvents": True, f"dead_letters.{TOPIC}": True,
     }
+    assert sorted(told) == ["UserActivity", "broken.json"]
     spark.catalog.refreshTable("job_logs.user_events")
     assert spark.table("job_logs.user_events").count() == len(GOOD)
