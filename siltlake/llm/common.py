@@ -78,13 +78,14 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
             .where("a != b")
             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
         # Done when every node has one link, to a node that has no lesser one.
-        nodes = nxt.df.groupBy("a").agg(F.count("*").alias("n"))
-        open_ends = nxt.df.join(nodes.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count()
-        many = nodes.where("n > 1").limit(1).count()
+        ends = nxt.df.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+            nxt.df.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        unfinished = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where(
+            "up > 1 or up = 1 and down = 1").limit(1).count()
         now.drop()
         least.drop()
         now = nxt
-        if not open_ends and not many:
+        if not unfinished:
             break
     out = now.df
     return out.select(F.col("a").alias("node"), F.col("b").alias("root")).union(

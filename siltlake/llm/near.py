@@ -92,8 +92,9 @@ def links(
     buckets: Saved, texts: DataFrame, similarity: Callable[[Counts, Counts], float] = jaccard, least: float = 0.8, size: int = 5,
     name: str = "near",
 ) -> DataFrame:
-    """``(a, b)`` verified links whose components are those of all pairs that share a bucket and
-    are at least ``least`` alike. ``texts(id, text)`` holds every id of ``buckets`` once."""
+    """``(a, b)`` links whose components are those of all pairs that share a bucket and are at
+    least ``least`` alike: nodes with their class so far, and the links verified last.
+    ``texts(id, text)`` holds every id of ``buckets`` once."""
     spark = texts.sparkSession
 
     def alike(batches):
@@ -109,7 +110,7 @@ def links(
         return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(alike, "a long, b long")
 
     rows = buckets
-    found: list[Saved] = []
+    found: DataFrame | None = None
     degree = Saved(rows.df.groupBy("id").agg(F.sum("others").alias("degree")), name)
     comp = None
     for turn in range(ROUNDS + 1):
@@ -134,7 +135,7 @@ def links(
                 y = at.select("bucket", F.col("id").alias("b"), F.col("class").alias("cb"))
                 pairs = x.join(y, "bucket").where("ca != cb and a < b").select("a", "b").distinct()
                 with batches_of(spark, PAIR_BATCH):
-                    found.append(Saved(verified(pairs), name))
+                    found = found.union(Saved(verified(pairs), name).df)
                 break
         led = at.join(degree.df, "id").groupBy("bucket").agg(F.max(F.struct("degree", "id")).alias("top"), F.max_by(
             "class", F.struct("degree", "id")).alias("top_class"))
@@ -144,18 +145,13 @@ def links(
             .select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
         )
         with batches_of(spark, PAIR_BATCH):
-            found.append(Saved(verified(pairs), name))
+            new = Saved(verified(pairs), name).df
         rest = Saved(at.drop("class").join(led.df.select("bucket", F.col("leader").alias("id")), ["bucket", "id"], "left_anti"), name)
         if rows is not buckets:
             rows.drop()
         led.drop()
         rows = rest
-        every = found[0].df
-        for more in found[1:]:
-            every = every.union(more.df)
-        comp = components(every, name)
+        comp = components(new if found is None else found.union(new), name)
+        found = comp.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     degree.drop()
-    every = found[0].df
-    for more in found[1:]:
-        every = every.union(more.df)
-    return every
+    return found
