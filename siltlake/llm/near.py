@@ -1,12 +1,13 @@
 """From banded signatures to verified links: shared by paragraph and document deduplication.
 
-Members of a bucket are not paired with each other. In each round every bucket names a leader,
-the member that meets most others in all its buckets, and only pairs of a member with a leader
-are verified. Verified links make components, and a bucket whose members all lie in one
-component is finished; else its leader, whose pairs there are all tested, leaves it and another
-leads. When the pairs left between different components are no more than a few per member,
-or after ``ROUNDS``, they are all verified. So no pair that shares a bucket stays untested
-unless its members are already in one class, and a group of copies costs its size, not its square.
+Members of a bucket are not paired with each other. Every bucket names a leader, the member that
+meets most others in all its buckets, and only pairs of a member with a leader are verified.
+Members take the label of the greatest leader they are linked to, and a bucket whose members all
+have one label is finished; else its leader, whose pairs there are all tested, leaves it. Later
+rounds deal the labels of a bucket to ``SLOTS`` slots, each with a leader of its own. When the
+pairs left between different labels are no more than a few per member, or after ``ROUNDS``, they
+are all verified. So no pair that shares a bucket stays untested unless its members are already
+in one class, and a group of copies costs its size, not its square.
 """
 
 from __future__ import annotations
@@ -19,12 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import Saved, components
+from siltlake.llm.common import Saved
 from siltlake.llm.text import counted, mix64, shingles_of, words_of
 
-ROUNDS = 4
+ROUNDS = 2
 #: Pairs per member that are few enough to verify at once.
 FEW = 32
+#: Leaders of a bucket in later rounds.
+SLOTS = 8
 #: Rows of texts handed to Python at a time; pairs of long texts would fill its memory.
 PAIR_BATCH = 500
 
@@ -76,8 +79,25 @@ def bands_of(signature: np.ndarray, rows: int) -> np.ndarray:
     return mix64(key + np.arange(k // rows, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
 
 
+def sketch_of(signature: np.ndarray) -> pa.Array:
+    """A byte per coordinate, to tell unlike texts apart without reading them."""
+    return pa.array([row.tobytes() for row in mix64(signature).astype(np.uint8)], pa.binary())
+
+
+def sketch_rows(column: pa.Array) -> np.ndarray:
+    """The sketches of an Arrow column, a row each; all are of one length."""
+    column = column.cast(pa.large_binary())
+    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[at[0]:at[-1]].reshape(len(column), -1)
+
+
+def enough(coordinates: int, least: float) -> int:
+    """Coordinates that a pair of similarity ``least`` shares but for a chance of about 2e-5."""
+    return int(coordinates * least - 4.2 * (coordinates * least * (1 - least)) ** 0.5)
+
+
 def members(signed: DataFrame, name: str) -> Saved:
-    """``(bucket, id, others)`` of the buckets with more than one id, from ``signed(id, keys)``, ids once.
+    """``(bucket, id, others)`` of the buckets with more than one id, from ``signed(id, keys, sketch)``, ids once.
 
     Intermediates are written where a join follows: Spark splits hot buckets of plain reads.
     """
@@ -88,70 +108,95 @@ def members(signed: DataFrame, name: str) -> Saved:
     return out
 
 
+def labelled(found: DataFrame, name: str) -> Saved:
+    """``(node, label)``: of each linked node the greatest leader it was verified with, then that
+    leader's own. Nodes of one label are in one class; a class may still have several labels."""
+    tops = found.select(F.col("a").alias("node"), "head").union(found.select(F.col("b").alias("node"), "head"))
+    one = Saved(tops.groupBy("node").agg(F.max("head").alias("head")).select("node", F.col("head.id").alias("label")), name)
+    two = Saved(one.df.join(one.df.select(F.col("node").alias("label"), F.col("label").alias("next")), "label").select(
+        "node", F.col("next").alias("label")), name)
+    one.drop()
+    return two
+
+
 def links(
-    buckets: Saved, texts: DataFrame, similarity: Callable[[Counts, Counts], float] = jaccard, least: float = 0.8, size: int = 5,
+    buckets: Saved, sketches: DataFrame, texts: DataFrame, similarity: Callable[[Counts, Counts], float] = jaccard, least: float = 0.8, size: int = 5,
     name: str = "near",
 ) -> DataFrame:
-    """``(a, b)`` links whose components are those of all pairs that share a bucket and are at
-    least ``least`` alike: nodes with their class so far, and the links verified last.
-    ``texts(id, text)`` holds every id of ``buckets`` once."""
+    """``(a, b)`` verified links whose components are those of all pairs that share a bucket and are
+    at least ``least`` alike. ``sketches(id, sketch)`` and ``texts(id, text)`` hold every id of
+    ``buckets`` once. Pairs whose sketches share too few coordinates are not read any further."""
     spark = texts.sparkSession
 
+    def each_once(ids: pa.Array, column: pa.Array) -> list[Counts]:
+        _, first, back = np.unique(ids.to_numpy(), return_index=True, return_inverse=True)
+        counts = shingle_counts(column.take(pa.array(first)), size)
+        return [counts[i] for i in back]
+
+    def close(batches):
+        for batch in batches:
+            if batch.num_rows:
+                one, two = (sketch_rows(batch.column(i)) for i in (3, 4))
+                yield batch.select([0, 1, 2]).filter(pa.array((one == two).sum(axis=1) >= enough(one.shape[1], least)))
+
     def alike(batches):
         for batch in batches:
-            own = shingle_counts(batch.column(2), size)
-            other = shingle_counts(batch.column(3), size)
-            yield batch.select([0, 1]).filter(pa.array(
+            own, other = (each_once(batch.column(i), batch.column(i + 3)) for i in (0, 1))
+            yield batch.select([0, 1, 2]).filter(pa.array(
                 [similarity(x, y) >= least - 1e-12 for x, y in zip(own, other, strict=True)], pa.bool_()))
 
+    kind = "a long, b long, head struct<degree: long, id: long>"
+
     def verified(pairs: DataFrame) -> DataFrame:
+        """Links of ``pairs(a, b, head, sa, sb)``, each with its greatest ``head``."""
+        likely = Saved(pairs.mapInArrow(close, kind).groupBy("a", "b").agg(F.max("head").alias("head")), name)
         left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
         right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-        return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(alike, "a long, b long")
+        with batches_of(spark, PAIR_BATCH):
+            out = Saved(likely.df.join(left, "a").join(right, "b").select("a", "b", "head", "ta", "tb").mapInArrow(alike, kind), name).df
+        likely.drop()
+        return out
 
-    rows = buckets
+    degree = Saved(buckets.df.groupBy("id").agg(F.sum("others").alias("degree")).join(sketches.select("id", "sketch"), "id"), name)
+    rows = Saved(buckets.df.select("bucket", "id").join(degree.df, "id"), name)
+    degree.drop()
     found: DataFrame | None = None
-    degree = Saved(rows.df.groupBy("id").agg(F.sum("others").alias("degree")), name)
-    comp = None
+    labels: Saved | None = None
     for turn in range(ROUNDS + 1):
-        at = rows.df.select("bucket", "id")
-        if comp is None:
-            at = at.withColumn("class", F.col("id"))
-        else:
-            at = at.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("root", "id")).drop("root")
-        if turn:
+        at = rows.df.withColumn("class", F.col("id"))
+        if labels is not None:
+            at = rows.df.join(labels.df.select(F.col("node").alias("id"), "label"), "id", "left").select(
+                "bucket", "id", "degree", "sketch", F.coalesce("label", "id").alias("class"))
             open_ = at.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("bucket")
             left = Saved(at.join(open_, "bucket", "left_semi"), name)
             per = left.df.groupBy("bucket", "class").agg(F.count("*").alias("n"))
             per = per.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
             total = per.agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")).first()
-            if rows is not buckets:
-                rows.drop()
+            rows.drop()
+            labels.drop()
             rows, at = left, left.df
             if not total["n"]:
                 break
             if total["pairs"] <= FEW * total["n"] or turn == ROUNDS:
-                x = at.select("bucket", F.col("id").alias("a"), F.col("class").alias("ca"))
-                y = at.select("bucket", F.col("id").alias("b"), F.col("class").alias("cb"))
-                pairs = x.join(y, "bucket").where("ca != cb and a < b").select("a", "b").distinct()
-                with batches_of(spark, PAIR_BATCH):
-                    found = found.union(Saved(verified(pairs), name).df)
+                x = at.select("bucket", F.col("id").alias("a"), F.col("class").alias("ca"), F.col("sketch").alias("sa"))
+                y = at.select("bucket", F.col("id").alias("b"), F.struct("degree", "id").alias("head"), F.col("class").alias("cb"), F.col("sketch").alias("sb"))
+                pairs = x.join(y, "bucket").where("ca != cb and a < b").select("a", "b", "head", "sa", "sb")
+                found = found.union(verified(pairs))
                 break
-        led = at.join(degree.df, "id").groupBy("bucket").agg(F.max(F.struct("degree", "id")).alias("top"), F.max_by(
-            "class", F.struct("degree", "id")).alias("top_class"))
-        led = Saved(led.select("bucket", F.col("top.id").alias("leader"), "top_class"), name)
+        slot = F.pmod(F.xxhash64("class"), F.lit(SLOTS if turn else 1)).alias("slot")
+        led = at.groupBy("bucket", slot).agg(
+            F.max(F.struct("degree", "id")).alias("head"), *[F.max_by(c, F.struct("degree", "id")).alias(f"head_{c}") for c in ("class", "sketch")])
+        led = Saved(led.drop("slot"), name)
         pairs = (
-            at.join(led.df, "bucket").where("id != leader and class != top_class")
-            .select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
+            at.join(led.df, "bucket").where("class != head_class")
+            .select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b"), "head", "sketch", "head_sketch")
         )
-        with batches_of(spark, PAIR_BATCH):
-            new = Saved(verified(pairs), name).df
-        rest = Saved(at.drop("class").join(led.df.select("bucket", F.col("leader").alias("id")), ["bucket", "id"], "left_anti"), name)
-        if rows is not buckets:
-            rows.drop()
+        new = verified(pairs)
+        found = new if found is None else found.union(new)
+        rest = Saved(at.drop("class").join(led.df.select("bucket", F.col("head.id").alias("id")), ["bucket", "id"], "left_anti"), name)
+        rows.drop()
         led.drop()
         rows = rest
-        comp = components(new if found is None else found.union(new), name)
-        found = comp.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    degree.drop()
-    return found
+        labels = labelled(found, name)
+    rows.drop()
+    return found.select("a", "b")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltlake.llm.common import Saved, components, saved, unused
-from siltlake.llm.near import bands_of, links, members, weighted_jaccard
+from siltlake.llm.near import bands_of, links, members, sketch_of, weighted_jaccard
 from siltlake.llm.text import counted, mix64, shingles_of, words_of
 
 #: 16 bands of 4 coordinates find a pair of similarity 0.8 with probability 0.9998.
@@ -85,20 +85,21 @@ def dart_signatures(items: np.ndarray, weights: np.ndarray, first: np.ndarray, k
 
 
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
-    """``(id, keys)`` for ``docs(id, text)``: the buckets of each text with words."""
+    """``(id, keys, sketch)`` for ``docs(id, text)``: the buckets and the sketch of each text with words."""
 
     def sign(batches):
         for batch in batches:
             ids = batch.column(0)
             for low, high, words in words_of(batch.column(1)):
                 items, counts, first = counted(*shingles_of(words, shingle))
-                keys = bands_of(dart_signatures(items, counts.astype(np.float64), first, bands * rows), rows)
+                darts = dart_signatures(items, counts.astype(np.float64), first, bands * rows)
+                keys, sketches = bands_of(darts, rows), sketch_of(darts)
                 worded = np.flatnonzero(words.count > 0)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(low, high - low).take(pa.array(worded)), pa.array(list(keys[worded]), pa.list_(pa.int64()))],
-                    names=["id", "keys"])
+                    [ids.slice(low, high - low).take(pa.array(worded)), pa.array(list(keys[worded]), pa.list_(pa.int64())),
+                     sketches.take(pa.array(worded))], names=["id", "keys", "sketch"])
 
-    return docs.select("id", "text").mapInArrow(sign, "id long, keys array<long>")
+    return docs.select("id", "text").mapInArrow(sign, "id long, keys array<long>, sketch binary")
 
 
 def _has_words(text):
@@ -121,18 +122,17 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("id"), _has_words(F.col(text)).alias("worded"))
     ids = rows.where("worded")
-    sigs = Saved(signed(ids).groupBy("id").agg(F.first("keys").alias("keys")), "darts")
+    sigs = Saved(signed(ids).groupBy("id").agg(F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "darts")
     buckets = members(sigs.df, "darts")
-    sigs.drop()
     # The text of a colliding id comes from its least document, so that copies move no text.
     first = ids.groupBy("id").agg(F.min("doc_id").alias("first"))
     wanted = first.join(buckets.df.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("wid"), "first")
     texts = Saved(
         ids.join(wanted, (F.col("id") == F.col("wid")) & F.col("doc_id").eqNullSafe(F.col("first")))
         .select("id", "text").groupBy("id").agg(F.first("text").alias("text")), "darts")
-    comp = saved(components(links(buckets, texts.df, weighted_jaccard, similar, SHINGLE, "darts"), "darts"), "darts")
-    texts.drop()
-    buckets.drop()
+    comp = saved(components(links(buckets, sigs.df, texts.df, weighted_jaccard, similar, SHINGLE, "darts"), "darts"), "darts")
+    for done in (sigs, texts, buckets):
+        done.drop()
     sized = ids.groupBy("id").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     rooted = sized.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     rooted = saved(rooted, "darts")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from siltlake.llm.common import Saved, components, saved
-from siltlake.llm.near import bands_of, jaccard, links, members
+from siltlake.llm.near import bands_of, jaccard, links, members, sketch_of
 from siltlake.llm.text import Words, mix64, shingles_of, words_of
 
 #: 10 bands of 3 minima find a pair of similarity 0.8 with probability 0.9992, of 0.9 with 1 - 5e-6.
@@ -97,7 +97,7 @@ def _pieces(docs: DataFrame) -> DataFrame:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """``(id, keys)`` of every line occurrence."""
+    """``(id, keys, sketch)`` of every line occurrence."""
 
     def sign(batches):
         for batch in batches:
@@ -118,17 +118,18 @@ def _signed(docs: DataFrame) -> DataFrame:
                 heads, size = heads[where], size[where]
                 at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
                 lines = Words(words.hashes[np.repeat(heads, size) + at], np.append(0, np.cumsum(size)), at, at, words.data, at)
-                keys = bands_of(minhash(*shingles_of(lines, SHINGLE)), ROWS)
-                yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), pa.array(list(keys), pa.list_(pa.int64()))], names=["id", "keys"])
+                signature = minhash(*shingles_of(lines, SHINGLE))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids.view(np.int64)), pa.array(list(bands_of(signature, ROWS)), pa.list_(pa.int64())), sketch_of(signature)],
+                    names=["id", "keys", "sketch"])
 
-    return docs.select("text").mapInArrow(sign, "id long, keys array<long>")
+    return docs.select("text").mapInArrow(sign, "id long, keys array<long>, sketch binary")
 
 
 def _line_classes(docs: DataFrame, pieces: DataFrame, similar: float) -> DataFrame:
     """``(id, root)`` of lines that have a near duplicate that is not equal."""
-    sigs = Saved(_signed(docs).groupBy("id").agg(F.first("keys").alias("keys")), "paragraphs")
+    sigs = Saved(_signed(docs).groupBy("id").agg(F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "paragraphs")
     buckets = members(sigs.df, "paragraphs")
-    sigs.drop()
     wanted = Saved(buckets.df.select(F.col("id").alias("wid")).distinct(), "paragraphs")
     one = pieces.select("doc_id", "th", F.explode(F.arrays_zip("hashes", "starts", "ends", "lines")).alias("p")).where("p.lines").select(
         F.col("p.hashes").alias("id"), F.struct("doc_id", "th", F.col("p.starts").alias("start"), F.col("p.ends").alias("end")).alias("at"))
@@ -140,8 +141,8 @@ def _line_classes(docs: DataFrame, pieces: DataFrame, similar: float) -> DataFra
         .select("text", F.explode("wanted").alias("w"))
         .select(F.col("w.id").alias("id"), F.substring("text", F.col("w.start") + 1, F.col("w.end") - F.col("w.start")).alias("text"))
         .groupBy("id").agg(F.first("text").alias("text")), "paragraphs")
-    found = saved(components(links(buckets, texts.df, jaccard, similar, SHINGLE, "paragraphs"), "paragraphs"), "paragraphs")
-    for done in (buckets, wanted, per_doc, texts):
+    found = saved(components(links(buckets, sigs.df, texts.df, jaccard, similar, SHINGLE, "paragraphs"), "paragraphs"), "paragraphs")
+    for done in (sigs, buckets, wanted, per_doc, texts):
         done.drop()
     return found
 
