@@ -3,8 +3,8 @@
 Seeds are e-mail and IP addresses, card and phone numbers found by their form. The one or two
 words before them are patterns. A pattern is trusted by the share of its occurrences, in the
 whole corpus and before any word at all, that precede a known identifier; what trusted patterns
-precede becomes known in turn, and so on for a few rounds over the graph of patterns and
-values. Identifier-like tokens that end up known are reported beside the seeds.
+precede becomes known in turn, and so on over the graph of patterns and values until nothing
+new is known. Identifier-like tokens that end up known are reported beside the seeds.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from siltlake.llm.common import Saved, row_key, saved
 
 KINDS = ("email", "ip", "card", "phone", "context")
-ROUNDS = 3
 #: A pattern needs this share of known identifiers, and this many different ones.
 TRUST, SUPPORT = 0.5, 3
 #: Patterns counted in one pass over the documents; more take more passes.
@@ -167,12 +166,15 @@ def occurrences(docs: DataFrame, wanted: DataFrame, text: str = "text", block: i
     return every.groupBy("pattern").agg(F.sum("total").alias("total"))
 
 
-def bootstrap(edges: DataFrame, totals: DataFrame, rounds: int = ROUNDS, trust: float = TRUST, support: int = SUPPORT) -> DataFrame:
-    """``value`` of what trusted patterns discover, from ``edges(pattern, value, seed, n)``."""
-    edges, totals = Saved(edges.join(totals, "pattern"), "personal"), totals
+def bootstrap(edges: DataFrame, totals: DataFrame, trust: float = TRUST, support: int = SUPPORT) -> DataFrame:
+    """``value`` of what trusted patterns discover, from ``edges(pattern, value, seed, n)``.
+
+    What is known only grows, so a round that leaves its number unchanged is the last.
+    """
+    edges = Saved(edges.join(totals, "pattern"), "personal")
     known = saved(edges.df.where("seed").select("value").distinct(), "personal")
-    seeds = known
-    for _ in range(rounds):
+    seeds, size = known, known.count()
+    while True:
         # The share of a pattern's places that hold something known; hot patterns are summed first.
         trusted = saved(
             edges.df.join(known, "value").groupBy("pattern").agg(
@@ -180,7 +182,9 @@ def bootstrap(edges: DataFrame, totals: DataFrame, rounds: int = ROUNDS, trust:
             .where((F.col("values") >= support) & (F.col("hits") >= trust * F.col("total"))).select("pattern"), "personal")
         more = edges.df.where("not seed").join(trusted, "pattern", "left_semi").select("value")
         known = saved(seeds.union(more).distinct(), "personal")
-    return known.join(seeds, "value", "left_anti")
+        before, size = size, known.count()
+        if size == before:
+            return known.join(seeds, "value", "left_anti")
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -196,7 +200,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     edges = saved(
         one.select(F.explode("f.patterns").alias("pattern"), F.col("f.value").alias("value"), (F.col("f.kind") < 4).alias("seed"))
         .groupBy("pattern", "value").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "personal")
-    wanted = edges.groupBy("pattern").agg(F.count("*").alias("values"), F.count_if("seed").alias("seeds")).where(f"values >= {SUPPORT} and seeds > 0 and seeds < values or seeds >= {SUPPORT}")
+    # Fewer values can never be trusted; a pattern without a seed may be, by values that others discover.
+    wanted = edges.groupBy("pattern").agg(F.count("*").alias("values")).where(F.col("values") >= SUPPORT)
     totals = saved(occurrences(docs, wanted.select("pattern"), text), "personal")
     new = bootstrap(edges, totals)
     hits = saved(one.where("f.kind = 4").select("row", F.col("f.value").alias("value"), F.col("f.start").alias("start"), F.col("f.end").alias("end")), "personal")

@@ -222,6 +222,18 @@ def test_personal(spark, odd, none):
     assert personal.base_spans("@" * 50 + "1.2.3.4.5.6.7.8 " + "9" * 5000)[0][1:] == (1, 57)
 
 
+def test_personal_reaches_what_only_discoveries_point_to(spark):
+    texts = [f"customer reference u{i}@mail.org" for i in range(12)] + [f"customer reference QX-1000{i}" for i in range(9)]
+    texts += [f"ticket QX-1000{i}" for i in range(9)] + ["ticket ZT-50005"]  # two hops: no seed follows "ticket"
+    chain = ["alpha", "bravo", "delta", "gamma", "omega", "sigma"]
+    texts += [f"ref alpha s{i}@mail.org" for i in range(3)]
+    texts += [f"ref {w} CH-{k + d}000{i}" for k, w in enumerate(chain) for d in ((1,) if k == 0 else (0, 1)) for i in range(3)]
+    texts += [f"lone XX-2000{i}" for i in range(5)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["n_context"] for r in personal.digest(personal.scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert {t for i, t in rows if got[i]} == {t for t in texts if "@" not in t and not t.startswith("lone")}
+
+
 def test_pipeline(spark, tmp_path, odd):
     docs = read(spark, SF, "documents")
     columns = docs.columns
