@@ -166,8 +166,8 @@ def duplicates(
     keyed = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("text")).where("text is not null")
     pieces = saved(_pieces(keyed), "paragraphs")
     classes = _line_classes(keyed, pieces, similar)
-    one = pieces.select("doc_id", "th", F.explode(F.arrays_zip("hashes", "starts", "ends", "words", "lines")).alias("p")).select(
-        F.col("p.hashes").alias("id"), "doc_id", "th", F.col("p.starts").alias("start"), F.col("p.ends").alias("end"),
+    one = _numbered(pieces).select("doc_id", "th", "copy", F.explode(F.arrays_zip("hashes", "starts", "ends", "words", "lines")).alias("p")).select(
+        F.col("p.hashes").alias("id"), "doc_id", "th", "copy", F.col("p.starts").alias("start"), F.col("p.ends").alias("end"),
         F.col("p.words").alias("n_words"), F.col("p.lines").alias("line"))
     place = F.struct("doc_id", "th", "start")
     # Per distinct piece: where it is first, and how often it occurs; then per class.
@@ -177,30 +177,42 @@ def duplicates(
     whole = saved(each.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1"), "paragraphs")
     known = saved(each.select("id", "root").join(whole, "root").select("id", "root", "first"), "paragraphs")
     hit = saved(one.join(known, "id"), "paragraphs")
-    hit = hit.withColumn("is_first", (F.col("first.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("first.th") == F.col("th")) & (F.col("first.start") == F.col("start")))
+    hit = hit.withColumn("is_first", (F.col("first.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("first.th") == F.col("th")) & (F.col("first.start") == F.col("start"))
+                         & (F.col("copy") == 1))
     lines = hit.where(F.col("line") & (F.col("n_words") >= min_words))
     return _spans(hit.where(~F.col("line") | (F.col("n_words") < min_words)), lines, min_words)
 
 
+def _numbered(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with ``copy``, which counts the rows that repeat id and text from one."""
+    repeats = saved(pieces.groupBy("doc_id", "th").agg(F.count("*").alias("n")).where("n > 1").select(
+        F.col("doc_id").alias("d"), F.col("th").alias("t"), "n"), "paragraphs")
+    on = pieces["doc_id"].eqNullSafe(repeats["d"]) & (pieces["th"] == repeats["t"])
+    body = [c for c in pieces.columns if c not in ("doc_id", "th")]
+    again = pieces.join(repeats, on).groupBy("doc_id", "th").agg(F.max("n").alias("n"), *[F.first(c).alias(c) for c in body])
+    return pieces.join(repeats, on, "left_anti").withColumn("copy", F.lit(1).cast("long")).unionByName(
+        again.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n"))
+
+
 def _spans(small: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
     """Long lines as they are, and runs of smaller pieces that lie close together."""
-    # Within a document pieces are few; rows that repeat a document fall together and are counted.
-    doc = W.partitionBy("doc_id", "th", "is_first").orderBy("start", F.desc("end"))
-    once = small.groupBy("doc_id", "th", "start", "end", "is_first").agg(
+    # Within a document pieces are few; rows that repeat a document are told apart by their copy.
+    doc = W.partitionBy("doc_id", "th", "copy", "is_first").orderBy("start", F.desc("end"))
+    once = small.groupBy("doc_id", "th", "copy", "start", "end", "is_first").agg(
         F.first("n_words").alias("n_words"), F.min("root").alias("root"), F.min("first.doc_id").alias("first_doc_id"))
     before = F.max("end").over(doc.rowsBetween(W.unboundedPreceding, -1))
     run = once.withColumn("fresh", F.coalesce(F.col("start") - before > _BRIDGE, F.lit(True)).cast("int")).withColumn(
         "covered", F.coalesce(F.col("end") <= before, F.lit(False)))
     runs = (
-        run.withColumn("run", F.sum("fresh").over(doc)).where(~F.col("covered")).groupBy("doc_id", "th", "is_first", "run")
+        run.withColumn("run", F.sum("fresh").over(doc)).where(~F.col("covered")).groupBy("doc_id", "th", "copy", "is_first", "run")
         .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"),
              F.min_by("root", "start").alias("class_id"), F.min_by("first_doc_id", "start").alias("first_doc_id"))
         .where(F.col("n_words") >= min_words)
     )
     # A run inside a listed line says nothing new; lines are joined per document.
-    own = lines.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "end")).alias("own"))
+    own = lines.groupBy("doc_id", "th", "copy").agg(F.collect_set(F.struct("start", "end")).alias("own"))
     inside = F.exists(F.coalesce("own", F.array().cast("array<struct<start:int,end:int>>")), lambda x: (x["start"] <= F.col("start")) & (x["end"] >= F.col("end")))
-    on = runs["doc_id"].eqNullSafe(own["doc_id"]) & (runs["th"] == own["th"])
+    on = runs["doc_id"].eqNullSafe(own["doc_id"]) & (runs["th"] == own["th"]) & (runs["copy"] == own["copy"])
     runs = runs.join(own, on, "left").where(~inside).select(
         runs["doc_id"], "start", "end", F.col("n_words").cast("int").alias("n_words"), "class_id", "first_doc_id", (~F.col("is_first")).alias("removed"))
     return lines.select(

@@ -112,6 +112,15 @@ def test_passages(spark, odd, none):
     assert paragraphs.duplicates(odd).where("n_words < 20").count() == 0 and paragraphs.duplicates(none).count() == 0
 
 
+def test_passages_of_repeated_rows(spark):
+    line = " ".join(f"w{i}" for i in range(80))
+    short = "\n".join(" ".join(f"s{k}x{i}" for i in range(12)) for k in range(2))  # two lines that only make a passage together
+    rows = [(1, line)] * 3 + [(None, short)] * 2 + [(3, "nothing that repeats in this line")]
+    got = paragraphs.duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["start"], r["end"], r["removed"]) for r in got) == [
+        (0, 0, len(short), False), (0, 0, len(short), True), (1, 0, len(line), False), (1, 0, len(line), True), (1, 0, len(line), True)]
+
+
 def test_neighbours_brute(spark):
     rows = sorted((r["vec_id"], r["embedding"]) for r in read(spark, SF, "embeddings").collect())
     ids, v = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64)
