@@ -58,7 +58,7 @@ def trigrams(texts: list[str]) -> Iterator[np.ndarray]:
         letter = codes > 0
         keep = letter.copy()
         keep[1:] |= letter[:-1]
-        keep[:-1] |= letter[1:] & ~letter[:-1] & (np.append(False, ~letter[:-1])[:-1])
+        keep[:-1] |= letter[1:] & ~letter[:-1] & (np.append(True, ~letter[:-1])[:-1])
         place = np.flatnonzero(keep)
         seq = codes[place]
         grams = (seq[:-2] << 42) | (seq[1:-1] << 21) | seq[2:]

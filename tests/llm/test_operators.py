@@ -199,6 +199,12 @@ def test_language(spark, odd, none):
     assert {r["lang_pred"] for r in language.predict(odd, language.fit(none)).collect()} == {"und"}
 
 
+def test_trigrams_do_not_depend_on_place():
+    for text in ("a", "word", " a", "1 b c", "é"):
+        alone, later = next(language.trigrams([text])), list(language.trigrams(["other", text]))[1]
+        assert len(alone) and alone.tolist() == later.tolist()
+
+
 def test_toxicity(spark, odd, none):
     rows = [(i, f"plain words number{i} " + ("awful" if i % 4 == 0 else "nice")) for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
