@@ -145,6 +145,14 @@ def test_neighbours_odd(spark):
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_neighbours_of_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [0.1, 0.2]), (1, [3.0, 4.0]), (2, [2.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, F.col("vec_id") == 0, k=2, factor=1.0, shard_rows=2, block_rows=1).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == [
+        (0, 1, 1, 3.0), (0, 1, 1, 4.0), (0, 2, 2, 1.0), (0, 2, 2, 2.0)]
+
+
 def test_contamination_brute(spark, odd, none):
     docs, items = read(spark, SF, "documents"), read(spark, SF, "benchmark")
     pairs = [(str(r["item_id"]), r["text"]) for r in items.collect()]
