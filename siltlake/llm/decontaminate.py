@@ -31,7 +31,7 @@ HITS = "row string, n_words long, starts array<long>, ends array<long>, items ar
 class Windows:
     """The windows of one block of items, and the word that each is looked up by."""
 
-    def __init__(self, items: list[tuple[str, np.ndarray]], width: int):
+    def __init__(self, items: list[tuple[str | None, np.ndarray]], width: int):
         found: dict[bytes, int] = {}
         self.items: list[list[str]] = []
         self.words: list[np.ndarray] = []
@@ -43,7 +43,7 @@ class Windows:
                 if no == len(self.words):
                     self.words.append(window)
                     self.items.append([])
-                if item not in self.items[no]:
+                if item is not None and item not in self.items[no]:
                     self.items[no].append(item)
         self.vocabulary = np.unique(np.concatenate(self.words)) if self.words else np.zeros(0, np.uint64)
 
@@ -88,7 +88,7 @@ class Windows:
 
 def _blocks(items: DataFrame, item_id: str, text: str, width: int, block_words: int) -> Iterator[Windows]:
     """Windows of all items, block by block; the driver holds one block at a time."""
-    rows = items.select(F.col(item_id).cast("string").alias("id"), F.col(text).alias("text")).where("text is not null and id is not null")
+    rows = items.select(F.col(item_id).cast("string").alias("id"), F.col(text).alias("text")).where("text is not null")
     block, words = [], 0
     for row in rows.toLocalIterator():
         for _, _, found in words_of(pa.array([row["text"]], pa.string())):
@@ -164,8 +164,8 @@ def contaminated(
     of a window are disjoint and ascending, and ``items`` are the ids, as sorted strings, of the
     items with one. A document counts as often as its row is repeated.
 
-    Null and empty texts have no words and no hits; items without words, text or id have no
-    windows; an item shorter than ``width`` words is one window; items that share a window are
+    Null and empty texts have no words and no hits; items without words or text have no
+    windows; those without an id hit like others but are not named; an item shorter than ``width`` words is one window; items that share a window are
     all named; empty tables give no hits or no rows; other columns are ignored. What is broadcast
     is one block of at most ``block_words`` words and one item; a larger benchmark takes more
     blocks, each a pass over the documents, and their spans are merged per document.
@@ -192,7 +192,7 @@ def contaminated(
                 F.element_at(done, -1)["starts"].alias("starts"),
                 F.greatest(F.element_at(done, -1)["ends"], x["ends"]).alias("ends")))),
         ).otherwise(F.concat(done, F.array(x))))
-    merged = spans.join(names, "row").select("row", joined.alias("s"), "items")
+    merged = spans.join(names, "row", "left").select("row", joined.alias("s"), "items")
     return parts[0].select("doc_id", "row", "n_words").join(merged, "row", "left").select(
         "doc_id", "row", "n_words", F.coalesce(F.col("s")["starts"], F.array().cast("array<long>")).alias("starts"),
         F.coalesce(F.col("s")["ends"], F.array().cast("array<long>")).alias("ends"),

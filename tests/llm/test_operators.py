@@ -153,6 +153,17 @@ def test_neighbours_of_repeated_ids(spark):
         (0, 1, 1, 3.0), (0, 1, 1, 4.0), (0, 2, 2, 1.0), (0, 2, 2, 2.0)]
 
 
+def test_contamination_by_items_without_id(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, text), (2, "the second text"), (3, "another one")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, text), (5, "second text")], "item_id long, text string")
+    for size in (1_000_000, 1):
+        got = decontaminate.judged(decontaminate.contaminated(docs, items, block_words=size)).collect()
+        assert sorted((r["doc_id"], r["n_hit"], r["items"], r["contaminated"]) for r in got) == [
+            (1, 20, [], True), (2, 2, ["5"], True), (3, 0, [], False)]
+    assert [r["doc_id"] for r in decontaminate.clean_rows(docs, items).collect()] == [3]
+
+
 def test_contamination_brute(spark, odd, none):
     docs, items = read(spark, SF, "documents"), read(spark, SF, "benchmark")
     pairs = [(str(r["item_id"]), r["text"]) for r in items.collect()]
