@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from siltlake.llm.common import unused, without
+from siltlake.llm.common import saved, unused, without
 
 #: Learning rows per class, about: of a larger class a share is drawn by a hash of the id.
 PER_CLASS = 10_000
@@ -148,8 +148,10 @@ def fit(
     """Learn from the documents that ``labels(doc_id, label)`` marks 0 or 1.
 
     Labels are counted in full; of a class with more than ``per_class`` rows about that many are
-    used, by a hash of the id, and weighted back. That bounds what the driver builds and
-    broadcasts. Ids with conflicting labels count as 1; null ids and labels are no examples.
+    used, by a hash of the id, and weighted back. Rows that repeat id and text are one example;
+    where ids repeat with other texts and a class still has more than twice ``per_class`` rows,
+    about that many are used, by a hash of id and text, and weighted back too. That bounds what
+    the driver builds and broadcasts. Ids with conflicting labels count as 1; null ids and labels are no examples.
     Without labels the prior is one half and there are no examples.
     """
     marked = (
@@ -162,7 +164,11 @@ def fit(
     draw = F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     wanted = F.when(F.col("_y") == 1, F.lit(share.get(1, 1.0))).otherwise(F.lit(share.get(0, 1.0)))
     chosen = F.broadcast(marked.where(draw < wanted))  # about 2 x per_class rows
-    learning = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t")).join(chosen, "_id").select("_id", "_y", "_t")
+    every = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t")).join(chosen, "_id")
+    each = saved(every.groupBy("_id", "_y", F.xxhash64("_t").alias("_h")).agg(F.first("_t").alias("_t")), "toxicity")
+    part_of = {r["_y"]: min(1.0, 2 * per_class / r["n"]) for r in each.groupBy("_y").agg(F.count("*").alias("n")).collect()}
+    again = F.pmod(F.xxhash64(F.col("_id").cast("string"), "_h", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    learning = each.where(again < F.when(F.col("_y") == 1, F.lit(part_of.get(1, 1.0))).otherwise(F.lit(part_of.get(0, 1.0)))).select("_id", "_y", "_t")
 
     def count(batches):
         seen: dict[str, list[int]] = {}
@@ -223,7 +229,7 @@ def fit(
     kind = learning.schema["_id"].dataType.simpleString()
     examples = learning.mapInArrow(vectors, f"_id {kind}, _y int, ids array<long>, tf array<long>").collect()  # the bounded sample
     index = Index(idf, vocabulary, sizes.get(1, 0) / total if total else 0.5)
-    return index.build([(r["_id"], dict(zip(r["ids"], r["tf"], strict=True)), r["_y"], 1.0 / share[r["_y"]]) for r in examples])
+    return index.build([(r["_id"], dict(zip(r["ids"], r["tf"], strict=True)), r["_y"], 1.0 / share[r["_y"]] / part_of[r["_y"]]) for r in examples])
 
 
 def score(docs: DataFrame, index: Index, text: str = "text", k: int = NEAREST) -> DataFrame:

@@ -247,6 +247,17 @@ def test_toxicity(spark, odd, none):
     assert toxicity.accepted(odd, toxicity.fit(odd, labels.limit(0)), 0.7).columns == odd.columns
 
 
+def test_toxicity_learns_from_bounded_rows(spark):
+    rows = [(i, f"plain words number{i} " + ("awful" if i % 4 == 0 else "nice")) for i in range(200)]
+    kind = "doc_id long, text string"
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    once = toxicity.fit(spark.createDataFrame(rows, kind), labels)
+    repeated = toxicity.fit(spark.createDataFrame(rows + [rows[0]] * 300, kind), labels)
+    assert repeated.members.sum() == once.members.sum() == 200 and repeated.votes.sum() == once.votes.sum() == 50
+    many = toxicity.fit(spark.createDataFrame(rows + [(0, f"awful text {i}") for i in range(3000)], kind), labels, per_class=100)
+    assert many.members.sum() < 500 and abs(many.votes.sum() - 3050) < 800
+
+
 def test_personal(spark, odd, none):
     base = {r["doc_id"]: r for r in personal.digest(personal.scan(odd)).collect()}
     assert base[8]["spans"] == "email:5:11,ip:15:23" and base[1]["spans"] == "" and personal.scan(none).count() == 0
