@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +24,8 @@ from siltlake.llm.common import Saved, row_key, saved
 KINDS = ("email", "ip", "card", "phone", "context")
 #: A pattern needs this share of known identifiers, and this many different ones.
 TRUST, SUPPORT = 0.5, 3
-#: Patterns counted in one pass over the documents; more take more passes.
-BLOCK = 100_000
+#: Bits of the filter that rules out most unwanted patterns, and patterns that a task counts before it hands them on.
+BITS, FLUSH = 1 << 22, 200_000
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _TOKEN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789@._+#-"
@@ -127,43 +129,51 @@ def extracted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     return rows.mapInArrow(find, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row string, found {FOUND}")
 
 
-def occurrences(docs: DataFrame, wanted: DataFrame, text: str = "text", block: int = BLOCK) -> DataFrame:
-    """``(pattern, total)``: how often each wanted pattern's words stand in the corpus, before anything."""
-    spark = docs.sparkSession
-
-    def pass_over(part: frozenset) -> DataFrame:
-        shared = spark.sparkContext.broadcast(part)
-
-        def count(batches):
-            known, total = shared.value, Counter()
-            firsts = {p.split(" ")[0] for p in known}
-            for batch in batches:
-                for value in batch.column(0):
-                    words = _WORD.findall((value.as_py() or "").lower())
-                    for word, n in Counter(words).items():
-                        if word in known:
-                            total[word] += n
-                    for i, word in enumerate(words[:-1]):
-                        if word in firsts:
-                            pair = f"{word} {words[i + 1]}"
-                            if pair in known:
-                                total[pair] += 1
-            yield pa.RecordBatch.from_arrays(
+def occurrences(docs: DataFrame, wanted: DataFrame, text: str = "text", flush: int = FLUSH) -> DataFrame:
+    """``(pattern, total)``: how often each wanted pattern's words stand in the corpus, before anything.
+
+    One pass over the documents, however many patterns are wanted. Tasks count what passes a
+    filter of ``BITS`` bits, which drops no wanted pattern; a join drops the others that pass.
+    """
+    # A pair is looked at when its last word passes.
+    slots = wanted.select(F.explode(F.array("pattern", F.substring_index("pattern", " ", -1))).alias("p")).select(
+        F.pmod(F.crc32("p"), F.lit(BITS)).alias("slot"))
+    bits = np.zeros(BITS // 32, "<u4")
+    for r in slots.groupBy(F.expr("slot div 32").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 32 as int)))").alias("on")).collect():
+        bits[r["at"]] = r["on"]  # BITS / 32 rows at most
+    shared = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
+
+    def count(batches):
+        known, total, seen = shared.value, Counter(), {}
+
+        def passes(pattern: str) -> bool:
+            slot = zlib.crc32(pattern.encode()) % BITS
+            return bool(known[slot >> 3] >> (slot & 7) & 1)
+
+        def counted() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
                 [pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["pattern", "total"])
 
-        return docs.select(text).mapInArrow(count, "pattern string, total long")
-
-    parts, names = [], []
-    for r in wanted.toLocalIterator():
-        names.append(r["pattern"])
-        if len(names) == block:
-            parts.append(pass_over(frozenset(names)))
-            names = []
-    parts.append(pass_over(frozenset(names)))
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.union(part)
-    return every.groupBy("pattern").agg(F.sum("total").alias("total"))
+        for batch in batches:
+            for value in batch.column(0):
+                words = _WORD.findall((value.as_py() or "").lower())
+                if len(seen) > flush:
+                    seen.clear()
+                for word, n in Counter(words).items():
+                    if word not in seen:
+                        seen[word] = passes(word)
+                    if seen[word]:
+                        total[word] += n
+                for pair, n in Counter(f"{a} {b}" for a, b in zip(words, words[1:]) if seen[b]).items():  # noqa: B905
+                    if passes(pair):
+                        total[pair] += n
+                if len(total) > flush:
+                    yield counted()
+                    total.clear()
+        yield counted()
+
+    every = docs.select(text).mapInArrow(count, "pattern string, total long").groupBy("pattern").agg(F.sum("total").alias("total"))
+    return every.join(wanted.select("pattern"), "pattern", "left_semi")
 
 
 def bootstrap(edges: DataFrame, totals: DataFrame, trust: float = TRUST, support: int = SUPPORT) -> DataFrame:

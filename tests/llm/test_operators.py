@@ -279,6 +279,17 @@ def test_personal_reaches_what_only_discoveries_point_to(spark):
     assert {t for i, t in rows if got[i]} == {t for t in texts if "@" not in t and not t.startswith("lone")}
 
 
+def test_personal_counts_in_one_pass(spark):
+    texts = ["One two, one TWO three", None, "", "two three one two", "zwölf two"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    wanted = spark.createDataFrame([(p,) for p in ("two", "one two", "zwölf two", "absent", "three one")], "pattern string")
+    got = personal.occurrences(docs, wanted.union(spark.range(250_000).select(F.concat(F.lit("x"), "id"))))
+    assert {r["pattern"]: r["total"] for r in got.collect()} == {"two": 5, "one two": 3, "zwölf two": 1, "three one": 1}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    alone = personal.occurrences(docs, wanted.where("pattern = 'three one'"), flush=1)
+    assert {r["pattern"]: r["total"] for r in alone.collect()} == {"three one": 1}
+
+
 def test_pipeline(spark, tmp_path, odd):
     docs = read(spark, SF, "documents")
     columns = docs.columns
