@@ -60,3 +60,24 @@ FROM copies"""
 
 
 MIXED = mixed_sql("documents")
+
+
+CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+judged AS (
+  SELECT *, contains(role, '### ') OR contains(role, '</turn>') OR contains(role, ': ') OR regexp_matches(role, '(?s)\\.')
+    OR contains(text, '### ') OR contains(text, '</turn>') OR regexp_matches(text, '(?s)\\.') AS conflict FROM t),
+sized AS (
+  SELECT *, 4 + 2 + 8 + length(role) + length(text) + CASE WHEN conflict THEN
+    length(role) - length(replace(role, '\', '')) + length(text) - length(replace(text, '\', ''))
+    + (length(role) - length(replace(role, '### ', ''))) // 4 + (length(text) - length(replace(text, '### ', ''))) // 4
+    + (length(role) - length(replace(role, '</turn>', ''))) // 7 + (length(text) - length(replace(text, '</turn>', ''))) // 7
+    + (length(role) - length(replace(role, ': ', ''))) // 2 ELSE 0 END AS chars FROM judged)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars, count(*) FILTER (conflict) AS n_escaped
+FROM sized GROUP BY conv_id"""

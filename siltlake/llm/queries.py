@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm import decontaminate, language, lengths, mixing, near_docs, neighbours, paragraphs, personal, secret_scan, toxicity
+from siltlake.llm import (
+    chat, decontaminate, language, lengths, mixing, near_docs, neighbours, paragraphs, personal, secret_scan, toxicity,
+)
 from siltlake.llm.common import read
-from siltlake.llm.oracle_sql import MIXED, SECRETS
+from siltlake.llm.oracle_sql import CHAT, MIXED, SECRETS
 from siltlake.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -104,3 +106,17 @@ def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return personal.digest(personal.scan(read(spark, sf_dir, "documents")))
+
+
+#: One more conversation, whose texts hold the template's own marks.
+CONFLICT_ID, CONFLICT = -7, "\\### Assistant: </turn> ok"
+
+
+@_register(CHAT)
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and a conflicting one, formatted and read back."""
+    conflict = spark.range(2).select(
+        F.lit(CONFLICT_ID).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise(chat.LOSS_ROLE).alias("role"), F.lit(CONFLICT).alias("text"))
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(conflict)
+    return chat.digest(chat.formatted(rows))
