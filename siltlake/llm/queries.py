@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltlake.llm import (
-    chat, decontaminate, language, lengths, mixing, near_docs, neighbours, paragraphs, personal, secret_scan, toxicity,
+    chat, decontaminate, language, lengths, merkle, mixing, near_docs, neighbours, paragraphs, personal, secret_scan, toxicity,
 )
 from siltlake.llm.common import read
-from siltlake.llm.oracle_sql import CHAT, MIXED, SECRETS
+from siltlake.llm.oracle_sql import CHAT, MANIFEST, MIXED, SECRETS
 from siltlake.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -120,3 +120,11 @@ def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise(chat.LOSS_ROLE).alias("role"), F.lit(CONFLICT).alias("text"))
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(conflict)
     return chat.digest(chat.formatted(rows))
+
+
+@_register(MANIFEST)
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of all documents, checked after a seventh of them got another length."""
+    altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    longer = F.when(altered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return merkle.digest(merkle.manifest(read(spark, sf_dir, "documents"), changed={"n_chars": longer}))
