@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltlake.llm import (
-    chat, decontaminate, language, lengths, merkle, mixing, near_docs, neighbours, paragraphs, personal, secret_scan, toxicity,
+    chat, decontaminate, language, lengths, merkle, mixing, near_docs, neighbours, paragraphs, personal, runs, secret_scan,
+    toxicity,
 )
 from siltlake.llm.common import read
 from siltlake.llm.oracle_sql import CHAT, MANIFEST, MIXED, SECRETS
@@ -128,3 +129,10 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     longer = F.when(altered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
     return merkle.digest(merkle.manifest(read(spark, sf_dir, "documents"), changed={"n_chars": longer}))
+
+
+@_register()
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all documents, a tenth of which repeat a part of themselves."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return runs.digest(runs.find(runs.planted(docs)))
