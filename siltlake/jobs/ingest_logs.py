@@ -13,21 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import SparkSession
 
 from siltlake.session import build_session
-from siltlake.streaming.config import ensure_table, table_of
-from siltlake.streaming.ingest import (
-    TASKS_PER_PARTITION, Started, read_configs, run_ingest, stream_source, supervise,
-)
+from siltlake.streaming.catalog import publish
+from siltlake.streaming.ingest import Started, read_configs, run_ingest, stream_source, supervise
 
 
 def ingest(
     spark: SparkSession, folder: str, out: str, checkpoints: str, once: bool = False, max_offsets: int | None = None,
-    tasks_per_partition: int | None = TASKS_PER_PARTITION, report: Callable[[Started], object] | None = None, **source,
+    report: Callable[[Started], object] | None = None, **source,
 ) -> list[Started]:
-    """Create the configs' tables, start their queries and wait; returns how each one went."""
+    """Create the configs' tables, start a query per topic and wait; returns how each one went."""
     cfgs, unread = read_configs(folder)
     started = run_ingest(
         spark, cfgs, lambda cfg: stream_source(spark, cfg, max_offsets=max_offsets, **source), out, checkpoints,
-        once=once, prepare=lambda cfg: ensure_table(spark, cfg, f"{out}/{table_of(cfg)}"), tasks_per_partition=tasks_per_partition,
+        once=once, after=lambda cfg, base: publish(spark, cfg, base),
     )
     return supervise(spark, [*unread, *started], report)
 
@@ -40,11 +38,10 @@ def main() -> None:
     args.add_argument("--checkpoints", required=True)
     args.add_argument("--once", action="store_true", help="stop when all present messages are read")
     args.add_argument("--max-offsets", type=int, help="messages per topic and micro-batch")
-    args.add_argument("--tasks-per-partition", type=int, default=TASKS_PER_PARTITION, help="writers per table partition and micro-batch")
     given = args.parse_args()
     done = ingest(
         build_session("ingest-logs"), given.configs, given.out, given.checkpoints, given.once, given.max_offsets,
-        given.tasks_per_partition, report=lambda s: print(f"{s.name} failed: {s.error}", file=sys.stderr, flush=True),
+        report=lambda s: print(f"{s.name} failed: {s.error}", file=sys.stderr, flush=True),
         servers=given.servers,
     )
     for s in done:

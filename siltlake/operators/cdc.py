@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.operators.changelog import OP, UPSERT, live, load, newest_rows, resolve, scan, state
+from siltlake.operators.changelog import (
+    OP, UPSERT, VERSION, drops_after, gone, live, load, newest_rows, resolve, scan, state, state_rows,
+)
 
 # Commits that change no row.
 SILENT = ("rewrite", "add column", "rename column", "drop column")
@@ -20,7 +23,8 @@ def changes(spark: SparkSession, base: str, v1: int, v2: int, as_newest: bool =
 
     ``change`` is insert, update or delete; the images are the structs ``before`` and
     ``after`` under each version's own columns, or with ``as_newest`` both under those of the
-    later version. A key that was touched but ends with the same values is no change.
+    later version. A key that was touched but ends with the same values is no change. In a table
+    without a key rows come by appends and go by dropped ranges only.
 
     Unless the table was replaced in between, only keys that the log between the versions
     names can differ. Their new images are the newest of those log rows, and the older state
@@ -35,15 +39,26 @@ def changes(spark: SparkSession, base: str, v1: int, v2: int, as_newest: bool =
         c for c in live(chain) if low < c.version <= high and c.data is not None and c.operation not in SILENT
     ]
     old, replaced = state(spark, base, chain, a), any(c.kind == "base" for c in between)
+    drops = [(c.version, d) for c in live(chain) if low < c.version <= high for d in c.drops]
+    lost = reduce(lambda x, y: x | y, [gone(d, a.physical_schema) for _, d in drops], F.lit(False))
+    names = {(n if replaced else p): n for n, p, _ in a.columns}
+    if not a.key and not replaced:
+        out = _changes_of_log(spark, base, chain, a, b, between, lost, names if as_newest else None)
+        return out if v1 <= v2 else _reversed(out)
     if replaced:
+        if not a.key:
+            raise ValueError("rows of a replaced table without a key cannot be told apart")
         new = state(spark, base, chain, b)
     else:
         logged = scan(spark, base, between, b.physical_schema)
-        touched = logged.select(*b.key).distinct()
-        old = old.join(touched.toDF(*a.key_names), a.key_names, "left_semi")
+        touched = logged.select(*b.key)
         newest = newest_rows(logged, b.key, between).where(F.col(OP) == UPSERT)
+        if drops:
+            touched = touched.union(state_rows(spark, base, chain, a).where(lost).select(*a.key))
+            for version, d in drops:
+                newest = newest.where(~(gone(d, b.physical_schema) & (F.col(VERSION) < version)))
+        old = old.join(touched.distinct().toDF(*a.key_names), a.key_names, "left_semi")
         new = newest.select(*[F.col(f"`{p}`").alias(n) for n, p, _ in b.columns])
-    names = {(n if replaced else p): n for n, p, _ in a.columns}
     image = F.struct("*")
     if as_newest:
         image = F.struct(*[
@@ -70,6 +85,18 @@ def changes(spark: SparkSession, base: str, v1: int, v2: int, as_newest: bool =
     return found if v1 <= v2 else _reversed(found)
 
 
+def _changes_of_log(spark, base, chain, a, b, between, lost: Column, names: Mapping[str, str] | None) -> DataFrame:
+    """Changes of a table without a key: rows that came and are still there, and rows that were dropped."""
+    came = scan(spark, base, between, b.physical_schema, drops=lambda c: drops_after(chain, c, b))
+    after = F.struct(*[F.col(f"`{p}`").alias(n) for n, p, _ in b.columns])
+    was = [(n, p, t) for n, p, t in (a.columns if names is None else b.columns)]
+    have = {p for _, p, _ in a.columns}
+    before = F.struct(*[(F.col(f"`{p}`") if p in have else F.lit(None)).cast(t).alias(n) for n, p, t in was])
+    went = state_rows(spark, base, chain, a).where(lost).select(F.lit("delete").alias("change"), before.alias("before"))
+    return went.unionByName(came.select(F.lit("insert").alias("change"), after.alias("after")), allowMissingColumns=True).select(
+        "change", "before", "after")
+
+
 def _reversed(changed: DataFrame) -> DataFrame:
     turned = F.when(F.col("change") == "insert", "delete").when(F.col("change") == "delete", "insert").otherwise("update")
     return changed.select(turned.alias("change"), F.col("after").alias("before"), F.col("before").alias("after"))

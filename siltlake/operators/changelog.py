@@ -18,13 +18,20 @@ so filters and column pruning reach the scan of the base, a small delta is broad
 only the deltas are ever folded per key. Columns have a stable physical name in the files
 and a per-version logical name, so renaming or dropping one rewrites nothing. There is one
 writer at a time.
+
+Some commits write no data of their own or stand for others'. A ``merged`` list names
+versions whose rows a later commit holds in fewer files: from then on they are read there.
+``drops`` are ranges or values of a column that are gone from all earlier commits; on a
+partition column they prune directories. ``writer`` and ``batch`` name the micro-batch a
+commit came from, so that one that is replayed is known. A table without a key takes appends only.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
@@ -44,7 +51,8 @@ LOG_FIELDS = (T.StructField(OP, T.StringType()), T.StructField(VERSION, T.LongTy
 COMMIT_SCHEMA = (
     "_version long, committed_at timestamp_ntz, operation string, kind string, data string, "
     "upserts long, deletes long, key array<string>, partition_by array<string>, "
-    "columns array<struct<name: string, physical: string, type: string>>, floor long, seq long"
+    "columns array<struct<name: string, physical: string, type: string>>, floor long, seq long, "
+    "writer string, batch long, merged array<long>, drops array<struct<column: string, op: string, value: string>>"
 )
 
 
@@ -68,6 +76,10 @@ class Commit:
     columns: tuple[tuple[str, str, str], ...]  # (logical name, physical name, type)
     floor: int  # versions below are expired
     seq: int  # a later record of the same version replaces an earlier one
+    writer: str | None = None
+    batch: int | None = None
+    merged: tuple[int, ...] = ()
+    drops: tuple[tuple[str, str, str], ...] = ()  # (physical name, "<" or "=", value as text)
 
     @property
     def adopted(self) -> bool:
@@ -108,23 +120,55 @@ def now() -> dt.datetime:
 
 
 def load(spark: SparkSession, base: str) -> list[Commit]:
-    """Commits in version order, expired ones too; a few hundred bytes each."""
-    try:
-        rows = spark.read.schema(COMMIT_SCHEMA).parquet(f"{base}/commits").collect()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
+    """Commits in version order, expired ones too where their data is still read; a few hundred bytes each."""
+    found = _commit_rows(spark, base)
     newest = {
         r[VERSION]: Commit(
             r[VERSION], r.committed_at, r.operation, r.kind, r.data, r.upserts, r.deletes,
             tuple(r.key), tuple(r.partition_by), tuple(tuple(c) for c in r.columns), r.floor, r.seq,
+            r.writer, r.batch, tuple(r.merged or ()), tuple(tuple(d) for d in r.drops or ()),
         )
-        for r in sorted(rows, key=lambda r: r.seq)
+        for r in sorted(found.collect() if found else (), key=lambda r: r.seq)
     }
     return [newest[v] for v in sorted(newest)]
 
 
+def _commit_rows(spark: SparkSession, base: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(COMMIT_SCHEMA).parquet(f"{base}/commits")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def fold_commits(spark: SparkSession, base: str) -> None:
+    """Put the commits into one file; those that are expired and whose data nothing reads go.
+
+    The new file is complete before the old ones are removed, and a commit that stands in both is
+    the same one, so a job lost in between changes nothing.
+    """
+    rows = spark.read.schema(COMMIT_SCHEMA).parquet(f"{base}/commits")
+    before = [r.file_path for r in rows.select("_metadata.file_path").distinct().collect()]
+    chain = load(spark, base)
+    read, last = needed(chain), {c.writer: c.version for c in chain}
+    floor = max(c.floor for c in chain)
+    # A writer's last batch may still be replayed, and a drop counts as long as older rows are read.
+    known = [c for c in chain if c.version >= floor or c.data in read or c.writer and last[c.writer] == c.version]
+    known = sorted({*known, *(c for c in chain if c.drops and any(k.version < c.version and k.data for k in known))}, key=lambda c: c.version)
+    # Tuples of the row's shape; at most a few hundred bytes per commit that still counts.
+    spark.createDataFrame([_row(c) for c in known], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/commits")
+    for path in before:
+        delete_path(spark, path)
+
+
+def _row(c: Commit) -> tuple:
+    return (
+        c.version, c.at, c.operation, c.kind, c.data, c.upserts, c.deletes, list(c.key), list(c.partition_by), list(c.columns),
+        c.floor, c.seq, c.writer, c.batch, list(c.merged), list(c.drops),
+    )
+
+
 def live(chain: Sequence[Commit]) -> list[Commit]:
     """Commits that have not been expired."""
     if not chain:
@@ -158,16 +202,17 @@ def record(spark: SparkSession, base: str, commit: Commit) -> Commit:
     def texts(values: Sequence[str]) -> Column:
         return F.array(*map(F.lit, values)).cast("array<string>")
 
-    columns = [
-        F.struct(F.lit(n).alias("name"), F.lit(p).alias("physical"), F.lit(t).alias("type"))
-        for n, p, t in commit.columns
-    ]
+    def structs(rows: Sequence[tuple[str, ...]], *names: str) -> Column:
+        return F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows])
+
     cells = {
         VERSION: F.lit(commit.version), "committed_at": F.lit(commit.at.isoformat(sep=" ")),
         "operation": F.lit(commit.operation), "kind": F.lit(commit.kind), "data": F.lit(commit.data),
         "upserts": F.lit(commit.upserts), "deletes": F.lit(commit.deletes), "key": texts(commit.key),
-        "partition_by": texts(commit.partition_by), "columns": F.array(*columns),
-        "floor": F.lit(commit.floor), "seq": F.lit(commit.seq),
+        "partition_by": texts(commit.partition_by), "columns": structs(commit.columns, "name", "physical", "type"),
+        "floor": F.lit(commit.floor), "seq": F.lit(commit.seq), "writer": F.lit(commit.writer), "batch": F.lit(commit.batch),
+        "merged": F.array(*map(F.lit, commit.merged)),
+        "drops": structs(commit.drops, "column", "op", "value"),
     }
     row = spark.range(0, 1, 1, 1).select(
         *[cells[f.name].cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(COMMIT_SCHEMA).fields]
@@ -179,12 +224,18 @@ def record(spark: SparkSession, base: str, commit: Commit) -> Commit:
 def successor(chain: Sequence[Commit], operation: str, kind: str, at: dt.datetime | None, **changes) -> Commit:
     """The next commit after ``chain``; times never run backwards."""
     last = chain[-1]
+    fields = {"data": None, "upserts": 0, "deletes": 0, "writer": None, "batch": None, "merged": (), "drops": (), **changes}
     return replace(
         last, version=last.version + 1, at=max(at or now(), last.at), operation=operation,
-        kind=kind, data=None, upserts=0, deletes=0, seq=max(c.seq for c in chain) + 1, **changes,
+        kind=kind, seq=max(c.seq for c in chain) + 1, **fields,
     )
 
 
+def committed(chain: Sequence[Commit], writer: str, batch: int) -> Commit | None:
+    """The commit that a micro-batch of a writer has left, if it has."""
+    return next((c for c in chain if c.writer == writer and c.batch == batch), None)
+
+
 # --- data ------------------------------------------------------------------------------
 
 
@@ -192,19 +243,50 @@ def location(base: str, commit: Commit) -> str:
     return commit.data if commit.adopted else f"{base}/{commit.data}"
 
 
+Drops = tuple[tuple[str, str, str], ...]
+
+
+def drops_after(chain: Sequence[Commit], commit: Commit, head: Commit) -> Drops:
+    """What later commits up to ``head`` took away from the rows of ``commit``; of ranges the widest."""
+    found: dict[tuple[str, str], list[str]] = {}
+    for c in chain:
+        if commit.version < c.version <= head.version:
+            for column, op, value in c.drops:
+                found.setdefault((column, op), []).append(value)
+    types = {p: t for _, p, t in head.columns}
+
+    def rank(column: str):
+        numeric = isinstance(_type(types.get(column, "string")), T.NumericType)
+        return decimal.Decimal if numeric else str
+
+    return tuple(sorted(
+        (column, op, value) for (column, op), values in found.items()
+        for value in ([max(values, key=rank(column))] if op == "<" else set(values))
+    ))
+
+
+def gone(drop: tuple[str, str, str], schema: T.StructType) -> Column:
+    """Whether a row is dropped; NULL is in no range and equals nothing."""
+    column, op, value = drop
+    cell, bound = F.col(f"`{column}`"), F.lit(value).cast(schema[column].dataType)
+    return cell.isNotNull() & ((cell < bound) if op == "<" else (cell == bound))
+
+
 def scan(
-    spark: SparkSession, base: str, commits: Sequence[Commit], schema: T.StructType, extra: Sequence[str] = ()
+    spark: SparkSession, base: str, commits: Sequence[Commit], schema: T.StructType, extra: Sequence[str] = (),
+    drops: Callable[[Commit], Drops] = lambda c: (),
 ) -> DataFrame:
     """Log rows of some commits, as physical columns plus ``_op`` and ``_version``.
 
     The schema is given, not inferred: no file is opened to plan the scan, and a column
-    that older files lack reads as NULL. Commits that share a layout are one scan.
+    that older files lack reads as NULL. Commits that share a layout and have lost the same
+    ranges, which ``drops`` tells, are one scan.
     """
     groups: dict[tuple, list[Commit]] = {}
     for c in commits:
-        groups.setdefault((c.partition_by, c.version if c.adopted else None), []).append(c)
+        groups.setdefault((c.partition_by, c.version if c.adopted else None, drops(c)), []).append(c)
     scans = []
-    for (_, adopted), members in groups.items():
+    for (_, adopted, lost), members in groups.items():
         reader = spark.read.schema(T.StructType([*schema.fields, *LOG_FIELDS]))
         if adopted is None:
             # Directories of one layout are partitions of the log, not roots of their own.
@@ -212,6 +294,8 @@ def scan(
         rows = reader.parquet(*[location(base, c) for c in members])
         if adopted is not None:
             rows = rows.withColumns({OP: F.lit(UPSERT), VERSION: F.lit(adopted).cast("long")})
+        for drop in lost:
+            rows = rows.where(~gone(drop, schema))
         scans.append(rows.select(*[f"`{n}`" for n in schema.names], OP, VERSION, *extra))
     if not scans:
         return spark.createDataFrame([], T.StructType([*schema.fields, *LOG_FIELDS]))
@@ -223,17 +307,46 @@ def scan(
 
 def members(chain: Sequence[Commit], head: Commit) -> tuple[list[Commit], list[Commit]]:
     """Commits whose data makes up the state at ``head``: (base and fresh, deltas)."""
-    upto = [c for c in chain if c.version <= head.version and c.data is not None]
+    upto = [c for c in chain if c.version <= head.version]
     start = max((i for i, c in enumerate(upto) if c.kind == "base"), default=0)
-    part = upto[start:]
+    merged = {v for c in upto for v in c.merged}
+    part = [c for c in upto[start:] if c.data is not None and c.version not in merged]
     return [c for c in part if c.kind != "delta"], [c for c in part if c.kind == "delta"]
 
 
-def state(spark: SparkSession, base: str, chain: Sequence[Commit], head: Commit) -> DataFrame:
-    """The table at ``head``, in logical names."""
+def needed(chain: Sequence[Commit]) -> set[str]:
+    """Directories that some live version reads.
+
+    A commit's data is read until a later version starts anew or holds its rows; live versions
+    are the ones from the floor on, without a gap.
+    """
+    floor = max((c.floor for c in chain), default=0)
+    bases = [c.version for c in chain if c.kind == "base"]
+    merged = {v: c.version for c in reversed(chain) for v in c.merged}
+    out = set()
+    for c in chain:
+        ends = [v for v in (*bases, merged.get(c.version, 0)) if v > c.version]
+        if c.data is not None and not any(v <= floor for v in ends):
+            out.add(c.data)
+    return out
+
+
+def state(
+    spark: SparkSession, base: str, chain: Sequence[Commit], head: Commit, only: Collection[int] | None = None
+) -> DataFrame:
+    """The table at ``head``, in logical names; with ``only``, what it has from the plain rows of these versions."""
+    rows = state_rows(spark, base, chain, head, only)
+    return rows.select(*[F.col(f"`{p}`").alias(n) for n, p, _ in head.columns])
+
+
+def state_rows(
+    spark: SparkSession, base: str, chain: Sequence[Commit], head: Commit, only: Collection[int] | None = None
+) -> DataFrame:
+    """``state`` as log rows: physical columns, ``_op`` and the version each row was written in."""
     plain, deltas = members(chain, head)
     schema, key = head.physical_schema, list(head.key)
-    rows = scan(spark, base, plain, schema)
+    rows = scan(
+        spark, base, [c for c in plain if only is None or c.version in only], schema, drops=lambda c: drops_after(chain, c, head))
     if deltas:
         changed = scan(spark, base, deltas, schema)
         newest, touched = newest_rows(changed, key, deltas), changed.select(*key, VERSION)
@@ -243,8 +356,14 @@ def state(spark: SparkSession, base: str, chain: Sequence[Commit], head: Commit)
         same = F.col(f"t.{VERSION}") > F.col(f"r.{VERSION}")
         for k in key:
             same = same & (F.col(f"r.`{k}`") == F.col(f"t.`{k}`"))
-        rows = r.join(t, same, "left_anti").unionByName(newest.where(F.col(OP) == UPSERT))
-    return rows.select(*[F.col(f"`{p}`").alias(n) for n, p, _ in head.columns])
+        rows = r.join(t, same, "left_anti")
+        if only is None:
+            newest = newest.where(F.col(OP) == UPSERT)
+            for c in chain:
+                for drop in c.drops if c.version <= head.version else ():
+                    newest = newest.where(~(gone(drop, schema) & (F.col(VERSION) < c.version)))
+            rows = rows.unionByName(newest)
+    return rows
 
 
 def newest_rows(changed: DataFrame, key: Sequence[str], commits: Sequence[Commit]) -> DataFrame:
@@ -263,10 +382,11 @@ def write_log(
     """Write one commit's rows to a directory of their own and return its name.
 
     A name is never used twice, so what a failed attempt leaves behind can be neither read
-    nor overwritten; ``orphans`` finds it. ``placed`` rows keep the layout they come with.
+    nor overwritten; ``orphans`` finds it. ``placed`` rows keep the layout they come with, and
+    rows that have a version keep it.
     """
     data = f"log/{DIRECTORY}={version:08d}-{uuid.uuid4().hex[:12]}"
-    rows = df.withColumn(VERSION, F.lit(version).cast("long"))
+    rows = df if VERSION in df.columns else df.withColumn(VERSION, F.lit(version).cast("long"))
     writer = (rows if placed else laid_out(rows, partition_by)).write.mode("errorifexists").option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -340,18 +460,16 @@ def read_version(
 
 
 def snapshots(spark: SparkSession, base: str) -> DataFrame:
-    """One row per live version: id, parent, time, operation and row counts."""
-    chain = load(spark, base)
-    alive = {c.version for c in live(chain)}
-    rows = [
-        (c.version, parent, c.at, c.operation, c.upserts, c.deletes)
-        for c, parent in zip(chain, [None, *[p.version for p in chain]])
-        if c.version in alive
-    ]
-    return spark.createDataFrame(
-        rows,
-        "snapshot_id long, parent_id long, committed_at timestamp_ntz, operation string, "
-        "upserts long, deletes long",
+    """One row per live version: id, parent, time, operation and row counts; the commits are read when it is."""
+    found = _commit_rows(spark, base)
+    if found is None:
+        raise NoSuchVersion("the table has no commits")
+    fields = ("committed_at", "operation", "upserts", "deletes")
+    newest = found.groupBy(F.col(VERSION).alias("snapshot_id")).agg(*[F.max_by(c, "seq").alias(c) for c in fields])
+    # Versions are numbered without a gap.
+    parent = F.when(F.col("snapshot_id") > 1, F.col("snapshot_id") - 1)
+    return newest.where(F.col("snapshot_id") >= found.agg(F.max("floor")).scalar()).select(
+        "snapshot_id", parent.alias("parent_id"), *fields
     )
 
 
@@ -367,8 +485,7 @@ def files(spark: SparkSession, base: str) -> DataFrame:
     """Data files behind the current version: path, size, log rows and version."""
     chain = load(spark, base)
     head = resolve(chain)
-    plain, deltas = members(chain, head)
-    return _with_files(spark, base, [*plain, *deltas], ()).groupBy("file_path", "file_bytes").agg(
+    return _with_files(spark, base, chain, head, ()).groupBy("file_path", "file_bytes").agg(
         F.count("*").alias("rows"), F.max(VERSION).alias("version")
     )
 
@@ -377,10 +494,9 @@ def partitions(spark: SparkSession, base: str, col: str) -> DataFrame:
     """Rows of the current version per value of ``col``, with the files that hold them."""
     chain = load(spark, base)
     head = resolve(chain)
-    plain, deltas = members(chain, head)
     rows = state(spark, base, chain, head).groupBy(col).agg(F.count("*").alias("rows"))
     held = (
-        _with_files(spark, base, [*plain, *deltas], [head.physical(col)])
+        _with_files(spark, base, chain, head, [head.physical(col)])
         .groupBy(F.col(head.physical(col)).alias("_value"), "file_path").agg(F.first("file_bytes").alias("b"))
         .groupBy("_value").agg(F.count("*").alias("files"), F.sum("b").alias("bytes"))
     )
@@ -390,9 +506,13 @@ def partitions(spark: SparkSession, base: str, col: str) -> DataFrame:
     )
 
 
-def _with_files(spark: SparkSession, base: str, commits: Sequence[Commit], columns: Sequence[str]) -> DataFrame:
-    """Log rows with the file they come from; only the named columns are read."""
+def _with_files(
+    spark: SparkSession, base: str, chain: Sequence[Commit], head: Commit, columns: Sequence[str]
+) -> DataFrame:
+    """Log rows behind a version with the file they come from; only the named columns are read."""
+    plain, deltas = members(chain, head)
     kept = ["_metadata.file_path", "_metadata.file_size"]
-    return scan(spark, base, commits, commits[-1].physical_schema, kept).select(
-        *columns, VERSION, "file_path", F.col("file_size").alias("file_bytes")
-    )
+    # A delta counts as a whole: its rows also hide older ones.
+    lost = lambda c: () if c.kind == "delta" else drops_after(chain, c, head)
+    found = scan(spark, base, [*plain, *deltas], head.physical_schema, kept, lost)
+    return found.select(*columns, VERSION, "file_path", F.col("file_size").alias("file_bytes"))

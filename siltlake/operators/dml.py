@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from siltlake.functions.sizing import settled
 from siltlake.operators.changelog import (
-    DELETE, OP, RESERVED, UPSERT, Commit, commit_rows, load, now, record, require_key, resolve,
+    DELETE, OP, RESERVED, UPSERT, Commit, commit_rows, committed, load, now, record, require_key, resolve,
     state, successor, tombstones, upserts,
 )
 from siltlake.sinks.parquet import write_table
@@ -22,7 +22,7 @@ def _first(df_schema: T.StructType, operation: str, key, partition_by, at) -> Co
     for i, n in enumerate(df_schema.names):
         _require_free(n, df_schema.names[:i])
     unknown = [c for c in [*key, *partition_by] if c not in df_schema.names]
-    if unknown or not key:
+    if unknown:
         raise ValueError(f"key and partition columns must exist, unknown: {unknown}")
     columns = tuple((f.name, f.name, f.dataType.simpleString()) for f in df_schema.fields)
     return Commit(1, at or now(), operation, "base", None, 0, 0, tuple(key), tuple(partition_by), columns, 1, 1)
@@ -41,12 +41,35 @@ def _after(chain: Sequence[Commit], first: Commit) -> Commit:
 def create_or_replace(
     df: DataFrame, base: str, key: Sequence[str], partition_by: Sequence[str] = (), at: dt.datetime | None = None
 ) -> Commit:
-    """Create the table, or replace rows, schema, key and partitioning in a new version."""
+    """Create the table, or replace rows, schema, key and partitioning in a new version.
+
+    Without a key the table takes appends only, and rows may repeat.
+    """
     spark = df.sparkSession
     draft = _after(load(spark, base), _first(df.schema, "create", key, partition_by, at))
-    return commit_rows(
-        spark, base, draft, upserts(df, draft), lambda written: require_key(written, draft.key)
-    )
+    check = (lambda written: require_key(written, draft.key)) if key else None
+    return commit_rows(spark, base, draft, upserts(df, draft), check)
+
+
+def create_log(
+    spark: SparkSession, base: str, schema: T.StructType, partition_by: Sequence[str] = (), at: dt.datetime | None = None
+) -> Commit:
+    """An empty table without a key; one that exists gains the columns it lacks and stays otherwise.
+
+    A column that exists with another type, or another partitioning, is an error.
+    """
+    chain = load(spark, base)
+    if not chain:
+        return record(spark, base, _first(schema, "create", (), partition_by, at))
+    head = resolve(chain)
+    have = {n: t for n, _, t in head.columns}
+    other = [f.name for f in schema.fields if have.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()]
+    if other or [head.logical(p) for p in head.partition_by] != list(partition_by):
+        raise ValueError(f"the table has other types or partitions: {other or list(head.partition_by)}")
+    for f in schema.fields:
+        if f.name not in have:
+            add_column(spark, base, f.name, f.dataType.simpleString(), at)
+    return resolve(load(spark, base))
 
 
 def adopt(
@@ -77,20 +100,30 @@ def dual_write(
     return create_or_replace(plain, base, key, partition_by, at)
 
 
-def append(df: DataFrame, base: str, at: dt.datetime | None = None) -> Commit:
+def append(
+    df: DataFrame, base: str, at: dt.datetime | None = None, writer: str | None = None, batch: int | None = None,
+) -> Commit:
     """Add rows; a row whose key the table already holds replaces the old one.
 
     When all keys are new, which is checked by a semi-join on the key columns, the commit is
     marked ``fresh`` and readers take its rows as they are. The check looks only at rows in
-    the new keys' range, so ever-growing keys touch little of the table.
+    the new keys' range, so ever-growing keys touch little of the table. Rows of a table without
+    a key are always new.
+
+    A ``batch`` that its ``writer`` has already committed is not appended again: the commit it
+    left is returned.
     """
     spark = df.sparkSession
     chain = load(spark, base)
-    draft = successor(chain, "append", "delta", at)
+    if writer is not None and (done := committed(chain, writer, batch)):
+        return done
+    draft = successor(chain, "append", "delta", at, writer=writer, batch=batch)
     extra = [c for c in df.columns if c not in draft.schema.names]
     if extra:
         raise ValueError(f"columns the table does not have: {extra}")
     head = resolve(chain)
+    if not head.key:
+        return commit_rows(spark, base, replace(draft, kind="fresh"), upserts(df, draft))
 
     def kind(written: DataFrame) -> str:
         require_key(written, draft.key)
@@ -104,13 +137,37 @@ def append(df: DataFrame, base: str, at: dt.datetime | None = None) -> Commit:
     return commit_rows(spark, base, draft, upserts(df, draft), kind)
 
 
+def _keyed(head: Commit) -> Commit:
+    if not head.key:
+        raise ValueError("a table without a key takes appends only")
+    return head
+
+
+def drop_range(
+    spark: SparkSession, base: str, column: str, op: str, value: object, at: dt.datetime | None = None,
+    operation: str = "drop range",
+) -> Commit:
+    """Take away the rows whose ``column`` is less than (``<``) or equal to (``=``) ``value``; no data is written.
+
+    The commit holds the range, and readers of it and of later versions leave out what earlier
+    commits have in it: as partition filters where the table is partitioned by the column. Rows
+    where it is NULL stay. ``maintenance.expire`` removes the files.
+    """
+    if op not in ("<", "="):
+        raise ValueError("a range is < or =")
+    chain = load(spark, base)
+    head = resolve(chain)
+    physical = head.physical(column)
+    return record(spark, base, successor(chain, operation, "drop", at, drops=((physical, op, str(value)),)))
+
+
 def update(
     spark: SparkSession, base: str, where: Column | str, set: Mapping[str, Column | str],
     at: dt.datetime | None = None,
 ) -> Commit:
     """UPDATE ... SET ... WHERE: new images of the matching rows; right sides see the old row."""
     chain = load(spark, base)
-    head = resolve(chain)
+    head = _keyed(resolve(chain))
     moved = [c for c in set if c in head.key_names]
     if moved:
         raise ValueError(f"key columns identify rows and cannot be set: {moved}")
@@ -125,7 +182,7 @@ def update(
 def delete(spark: SparkSession, base: str, where: Column | str, at: dt.datetime | None = None) -> Commit:
     """DELETE WHERE: tombstones for the matching rows; a NULL predicate keeps the row."""
     chain = load(spark, base)
-    head = resolve(chain)
+    head = _keyed(resolve(chain))
     hit = state(spark, base, chain, head).where(where)
     return commit_rows(spark, base, successor(chain, "delete", "delta", at), tombstones(hit, head))
 
@@ -150,7 +207,7 @@ def merge(
     them itself, so that the target is scanned in place. The source is computed once.
     """
     chain = load(spark, base)
-    head = resolve(chain)
+    head = _keyed(resolve(chain))
     if sorted(on) != sorted(head.key_names):
         raise ValueError(f"merge on the table's key {head.key_names}")
     values = [c for c in source.columns if c not in on] or list(on)[:1]

@@ -15,11 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltlake.functions.envelope import envelope
-from siltlake.operators.maintenance import retain
+from siltlake.operators.changelog import load, read_version
+from siltlake.operators.maintenance import apply_retention, retain
+from siltlake.operators.quality import row_counts
 from siltlake.plans.registry import register
 from siltlake.session import scratch
 from siltlake.sources.tables import read_table
 from siltlake.streaming import config, ingest
+from siltlake.streaming.catalog import publish
 
 CONFIG_DIR = Path(__file__).parent.parent / "configs"
 
@@ -190,6 +193,12 @@ def dead_letter_reasons(spark, sf):
 @register(f"""SELECT event_date, event_type, count(*) AS n FROM ({_USER_EVENTS}) GROUP BY 1, 2""")
 def ingest_after_restart(spark, sf):
     """The ingest run twice over one checkpoint, with messages arriving in between."""
+    cfg, out = _ingested_twice(spark, sf)
+    return ingest.read_ingested(spark, cfg, out).groupBy("event_date", "event_type").agg(F.count("*").alias("n"))
+
+
+def _ingested_twice(spark, sf) -> tuple[config.Config, str]:
+    """Clicks arrive after the first run: version 1 is the empty table, 2 has the others, 3 all."""
     cfg = configs()["user_events"]
     replay, out, checkpoints = scratch(spark, "replay"), scratch(spark, "ingest"), scratch(spark, "ckpt")
     sent = messages(read_table(spark, "events", sf).where(~F.col("event_type").isin("error", "click")))
@@ -197,7 +206,40 @@ def ingest_after_restart(spark, sf):
     for part in (sent, late):
         part.select("value").write.mode("append").parquet(f"{replay}/{config.topic_of(cfg)}")
         _ingest(spark, replay, [cfg], out, checkpoints)
-    return ingest.read_ingested(spark, cfg, out).groupBy("event_date", "event_type").agg(F.count("*").alias("n"))
+    return cfg, out
+
+
+@register(f"SELECT * FROM ({_USER_EVENTS}) WHERE event_type <> 'click'")
+def ingested_version_by_number(spark, sf):
+    """An ingested table as it was after the first run."""
+    cfg, out = _ingested_twice(spark, sf)
+    return _plain(ingest.read_ingested(spark, cfg, out, version=2))
+
+
+@register(f"""SELECT 'before the late ones' AS at, count(*) AS n FROM ({_USER_EVENTS}) WHERE event_type <> 'click'
+    UNION ALL SELECT 'now', count(*) FROM ({_USER_EVENTS})""")
+def ingested_version_by_time(spark, sf):
+    """The same table at the time its first batch was committed, and now."""
+    cfg, out = _ingested_twice(spark, sf)
+    first = load(spark, f"{out}/{config.table_of(cfg)}")[1]
+    return row_counts({
+        "before the late ones": ingest.read_ingested(spark, cfg, out, as_of=first.at),
+        "now": ingest.read_ingested(spark, cfg, out),
+    }).select(F.col("table").alias("at"), F.col("rows").alias("n"))
+
+
+@register(f"""SELECT 'before' AS state, count(*) AS n FROM ({_API_METRICS}) UNION ALL
+    SELECT 'after', count(*) FROM ({_API_METRICS}) WHERE metric_date > (SELECT max(metric_date) FROM ({_API_METRICS})) - 15""")
+def ingested_retention(spark, sf):
+    """Retention by a config's days, applied to its table: the version before still shows all rows."""
+    cfg = configs()["api_metrics"]
+    out = _ingested(spark, sf, "api_metrics")
+    base = f"{out}/{config.table_of(cfg)}"
+    held = load(spark, base)[-1].version
+    apply_retention(spark, base, config.partition_of(cfg)[0], config.retention_of(cfg) // 2)
+    return row_counts({
+        "before": ingest.read_ingested(spark, cfg, out, version=held), "after": ingest.read_ingested(spark, cfg, out),
+    }).select(F.col("table").alias("state"), F.col("rows").alias("n"))
 
 
 @register(f"""SELECT event_type, count(*) AS n, count(*) AS stamped, 1 AS one_date
@@ -206,7 +248,7 @@ def stamped_ingest(spark, sf):
     """Ingestion time and date are set on every row and agree with each other."""
     cfg = configs()["user_activity"]
     out = _ingested(spark, sf, "user_activity", stamped=True)
-    rows = spark.read.parquet(f"{out}/{config.table_of(cfg)}")
+    rows = read_version(spark, f"{out}/{config.table_of(cfg)}")
     agree = F.to_date("_ingestion_timestamp") == F.col("_ingestion_date")
     return rows.groupBy("event_type").agg(
         F.count("*").alias("n"), F.count_if(agree).alias("stamped"),
@@ -236,14 +278,14 @@ def isolated_configs(spark, sf):
 
 @register(f"SELECT event_type, count(*) AS n, min(\"timestamp\") AS first FROM ({_USER_EVENTS}) GROUP BY 1")
 def configured_table(spark, sf):
-    """The config's namespace and table, created in the catalog and filled by the ingest."""
+    """The config's namespace and table, shown in the catalog after each commit of the ingest."""
     cfg, out = configs()["user_events"], scratch(spark, "ingest")
     # A namespace of its own keeps runs in one session apart.
     cfg = {**cfg, "warehouse": {**cfg["warehouse"], "table_name": f"logs_{uuid.uuid4().hex[:8]}.user_events"}}
-    table = config.ensure_table(spark, cfg, f"{out}/{config.table_of(cfg)}")
-    _ingest(spark, _replay(spark, sf), [cfg], out, scratch(spark, "ckpt"))
-    spark.catalog.refreshTable(table)
-    rows = _plain(spark.table(table))
+    _ingest(
+        spark, _replay(spark, sf), [cfg], out, scratch(spark, "ckpt"), after=lambda c, base: publish(spark, c, base)
+    )
+    rows = _plain(spark.table(config.target_of(cfg).full_name))
     return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.min("timestamp").alias("first"))
 
 

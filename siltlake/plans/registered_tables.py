@@ -440,6 +440,55 @@ def retained_events(spark, sf):
     return maintenance.retain(days, "_day", 7, days.agg(F.max("_day")).scalar()).drop("_day")
 
 
+_MONTHS = "SELECT *, CAST(date_trunc('month', o_orderdate) AS DATE) AS o_month FROM orders"
+_LATE = f"SELECT * FROM ({_MONTHS}) WHERE o_month > (SELECT max(o_month) FROM ({_MONTHS})) - 730"
+
+
+@register(f"""SELECT 1::BIGINT AS version, count(*) AS n, min(o_month) AS oldest FROM ({_MONTHS})
+    UNION ALL SELECT 3, count(*), min(o_month) FROM ({_LATE}) WHERE NOT (o_orderstatus = 'O' AND o_orderpriority = '5-LOW')""")
+def retention_applied(spark, sf):
+    """Orders of the last two years: the months before are gone from the version that applied it, not from earlier ones."""
+    base = scratch(spark, "orders")
+    months = F.trunc(F.col("o_orderdate").cast("date"), "month")
+    dml.create_or_replace(read_table(spark, "orders", sf).withColumn("o_month", months), base, ["o_orderkey"], ["o_month"], at=AT[0])
+    dml.delete(spark, base, "o_orderstatus = 'O' AND o_orderpriority = '5-LOW'", at=AT[1])
+    maintenance.apply_retention(spark, base, "o_month", 730, at=AT[2])
+    parts = [
+        log.read_version(spark, base, version=v).agg(F.count("*").alias("n"), F.min("o_month").alias("oldest"))
+        .select(F.lit(v).cast("long").alias("version"), "n", "oldest") for v in (1, 3)]
+    return parts[0].unionByName(parts[1])
+
+
+@register(f"SELECT * FROM ({_LATE})")
+def expired_retention(spark, sf):
+    """The same without the delete, after the older versions and the files of the dropped months are removed."""
+    base = scratch(spark, "orders")
+    months = F.trunc(F.col("o_orderdate").cast("date"), "month")
+    dml.create_or_replace(read_table(spark, "orders", sf).withColumn("o_month", months), base, ["o_orderkey"], ["o_month"], at=AT[0])
+    maintenance.apply_retention(spark, base, "o_month", 730, at=AT[1])
+    maintenance.expire(spark, base, AT[1])
+    return log.read_version(spark, base)
+
+
+@register("""SELECT 'rows' AS what, count(*) AS n FROM orders UNION ALL SELECT 'order keys', sum(o_orderkey)::BIGINT FROM orders
+    UNION ALL SELECT 'directories', 2 UNION ALL SELECT 'directories kept', 1""")
+def rewritten_small_files(spark, sf):
+    """A first load of a good size and four small appends, which are put together; the load stays where it is."""
+    orders, base = read_table(spark, "orders", sf), scratch(spark, "orders")
+    lot = F.col("o_orderkey") % 20
+    dml.create_or_replace(orders.where(lot >= 4).coalesce(1), base, ["o_orderkey"], at=AT[0])
+    for i in range(4):
+        dml.append(orders.where(lot == i).coalesce(1), base, at=AT[i + 1])
+    size = log.files(spark, base).agg(F.max("file_bytes")).first()[0]
+    first = log.load(spark, base)[0].data
+    maintenance.rewrite(spark, base, target_mb=size / 1024 / 1024, at=AT[5])
+    chain = log.load(spark, base)
+    now = [c.data for c in log.members(chain, chain[-1])[0]]
+    rows = log.read_version(spark, base).agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("order keys"))
+    cells = {"rows": F.col("rows"), "order keys": F.col("order keys"), "directories": F.lit(len(now)), "directories kept": F.lit(now.count(first))}
+    return rows.select(F.inline(F.array(*[F.struct(F.lit(k).alias("what"), v.cast("long").alias("n")) for k, v in cells.items()])))
+
+
 # --- merge, changes, quality, maintained aggregates, text files -------------------------
 
 _SPEND = """(SELECT o_custkey, round(sum(o_totalprice), 2) AS spend FROM orders

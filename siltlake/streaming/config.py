@@ -8,7 +8,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 Config = Mapping
@@ -50,6 +49,10 @@ def required_of(cfg: Config) -> list[str]:
     return [f["name"] for f in cfg["fields"] if f.get("required")]
 
 
+def quoted(*parts: str) -> str:
+    return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
+
+
 @dataclass(frozen=True)
 class Target:
     """Where the rows of a log type land."""
@@ -62,7 +65,7 @@ class Target:
 
     @property
     def full_name(self) -> str:
-        return ".".join(f"`{part.replace('`', '``')}`" for part in (self.database, self.table))
+        return quoted(self.database, self.table)
 
 
 def target_of(cfg: Config, database: str = "analytics_logs") -> Target:
@@ -96,20 +99,3 @@ def sort_of(cfg: Config) -> list[str]:
 
 def retention_of(cfg: Config) -> int | None:
     return target_of(cfg).retention_days
-
-
-def ensure_table(spark: SparkSession, cfg: Config, location: str) -> str:
-    """Register the config's Parquet table over ``location`` unless it exists; returns its name.
-
-    Files that already lie there stay: a session with an empty catalog finds them again.
-    """
-    target = target_of(cfg)
-    if not spark.catalog.tableExists(target.full_name):
-        quoted = location.replace("\\", "\\\\").replace("'", "\\'")
-        clauses = [f"create table {target.full_name} ({schema_of(cfg).toDDL()}) using parquet"]
-        if target.partition_by:
-            clauses.append("partitioned by (" + ", ".join(f"`{c}`" for c in target.partition_by) + ")")
-        clauses.append(f"options (compression 'snappy') location '{quoted}'")
-        spark.sql("create database if not exists `" + target.database.replace("`", "``") + "`")
-        spark.sql(" ".join(clauses))
-    return target.full_name

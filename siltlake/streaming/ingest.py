@@ -1,33 +1,39 @@
-"""Enveloped JSON logs into partitioned tables: decode, route, dead letters, supervise.
+"""Enveloped JSON logs into versioned tables: one query per topic, restart, supervise.
 
-Each table has a file-sink query of its own, and each topic one more for the messages that
-fit no table. File sinks commit per micro-batch, so a restart from the checkpoint adds
-nothing twice. A topic is read once per table: the header filter parses just the type of
-other tables' messages.
+A topic's query reads and parses every message once and appends a commit per micro-batch to
+each table that gets rows, and to the dead letters. Commits name the batch they came from, so
+a restart from the checkpoint adds nothing twice, and every batch is a version that can be read.
+``start_sink`` writes a single stream to plain files instead.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from pathlib import Path
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from siltlake.functions.envelope import parse
+from siltlake.operators import dml
+from siltlake.operators.changelog import VERSION, committed, fold_commits, load, read_version, resolve, state_rows
+from siltlake.sinks.parquet import write_table
 from siltlake.streaming.config import (
-    Config, config_files, enabled, load_config, partition_of, required_of, schema_of, sort_of,
-    table_of, topic_of,
+    Config, config_files, enabled, load_config, partition_of, schema_of, sort_of, table_of, topic_of,
+)
+from siltlake.streaming.routing import (  # noqa: F401
+    DEAD_LETTERS, PARKED, complete, dead_letters, decode, destination, fan_out, route, route_one, rows_of, schema_of_routed,
 )
-from siltlake.sinks.parquet import write_table
 
-DEAD_LETTERS = "dead_letters"
+#: Columns of stamped rows.
+STAMPS = T.StructType().add("_ingestion_timestamp", "timestamp").add("_ingestion_date", "date")
+#: Micro-batches after which a table's commits are put into one file.
+FOLD_EVERY = 100
 #: Files that a micro-batch adds to a table partition at most.
 TASKS_PER_PARTITION = 4
 
@@ -63,81 +69,6 @@ def stream_source(
     return reader.load()
 
 
-def decode(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Message bytes to the typed fields of ``data``, one row per message."""
-    return df.select(parse(F.col("value"), schema).alias("e")).select("e.data.*")
-
-
-def _type(value: Column) -> Column:
-    """The message's log type; only the header is materialised."""
-    return F.from_json(value.cast("string"), "_log_type string")["_log_type"]
-
-
-def _missing(e: Column, cfg: Config) -> Column:
-    """What a parsed message of this type lacks: its data or the first required field."""
-    return F.coalesce(
-        F.when(e["data"].isNull(), "missing data"),
-        *[F.when(e["data"][n].isNull(), F.lit(f"missing {n}")) for n in required_of(cfg)],
-        F.lit(None).cast("string"),
-    )
-
-
-# A predicate on the fields of a parsed message would be pushed below the parse, which then
-# runs once per field. Inside a lambda the parsed message is a variable: it is computed once.
-
-
-def route_one(df: DataFrame, cfg: Config, stamped: bool = False) -> DataFrame:
-    """The complete messages of one log type, as rows of its table.
-
-    ``stamped`` adds ``_ingestion_timestamp`` and ``_ingestion_date``, fixed per micro-batch.
-    """
-    parsed = F.array(parse(F.col("value"), schema_of(cfg)))
-    rows = (
-        df.where(_type(F.col("value")) == cfg["log_type"])
-        .select(F.inline(F.filter(parsed, lambda e: _missing(e, cfg).isNull())))
-        .select("data.*")
-    )
-    if stamped:
-        rows = rows.withColumns(
-            {"_ingestion_timestamp": F.current_timestamp(), "_ingestion_date": F.current_date()}
-        )
-    return rows
-
-
-def route(df: DataFrame, cfgs: Iterable[Config]) -> dict[str, DataFrame]:
-    """The rows of each table from the messages of a shared topic."""
-    return {table_of(c): route_one(df, c) for c in cfgs}
-
-
-def dead_letters(df: DataFrame, cfgs: Sequence[Config], parked: Iterable[str] = ()) -> DataFrame:
-    """Messages of a topic that no table takes: ``(value, reason, topic)``.
-
-    Together with ``route`` this is a partition of the input: every message goes to exactly
-    one place. Those of the ``parked`` types, whose configs are disabled, wait in the topic:
-    once enabled, a config reads it from the start.
-    """
-    text = F.col("value").cast("string")
-
-    def reason(log_type: Column) -> Column:
-        out = F.when(text.isNull() | (text == ""), "empty").when(log_type.isNull(), "no envelope")
-        for c in cfgs:
-            # Only messages of this type are parsed under its schema.
-            parsed = F.array(parse(F.col("value"), schema_of(c)))
-            lacks = F.element_at(F.transform(parsed, lambda e: _missing(e, c)), 1)
-            out = out.when(log_type == c["log_type"], lacks)
-        for name in parked:
-            out = out.when(log_type == name, F.lit(None).cast("string"))
-        return out.otherwise(F.concat(F.lit("unknown type "), log_type))
-
-    letter = F.transform(
-        F.array(_type(F.col("value"))), lambda t: F.struct(text.alias("value"), reason(t).alias("reason"))
-    )
-    return (
-        df.select(F.inline(F.filter(letter, lambda r: r["reason"].isNotNull())))
-        .withColumn("topic", F.lit(topic_of(cfgs[0])))
-    )
-
-
 def start_sink(
     df: DataFrame,
     path: str,
@@ -196,6 +127,110 @@ def read_configs(folder: str | Path) -> tuple[list[Config], list[Started]]:
     return good, bad
 
 
+class TopicWriter:
+    """Takes the micro-batches of one topic to the tables of its configs, in one read and parse.
+
+    A batch is routed once and staged below the checkpoints; every table that gets rows of it
+    then makes one commit, named by query and batch. A batch that is replayed after a failure
+    is skipped by the tables that have it, so each message is in a table once.
+
+    A table that cannot be written does not hold up the others: its messages are parked, as are
+    those of disabled configs, and ``redeliver`` brings them in when the config runs again.
+    """
+
+    def __init__(
+        self, spark: SparkSession, topic: str, out: str, staging: str, stamped: bool = False,
+        after: Callable[[Config, str], object] | None = None,
+    ) -> None:
+        self.spark, self.topic, self.out, self.staging, self.stamped, self.after = spark, topic, out, staging, stamped, after
+        self.running: list[tuple[Config, Started]] = []
+        self.parked: list[str] = []
+
+    def base(self, cfg: Config) -> str:
+        return f"{self.out}/{table_of(cfg)}"
+
+    def path(self, kind: str) -> str:
+        return f"{self.out}/{kind}/{self.topic}"
+
+    def open(self, cfg: Config) -> None:
+        """Create or widen the config's table."""
+        schema = schema_of(cfg)
+        if self.stamped:
+            schema = T.StructType([*schema.fields, *STAMPS.fields])
+        if table_of(cfg) in (DEAD_LETTERS, PARKED):
+            raise ValueError(f"{table_of(cfg)} is where the ingest keeps what no table takes")
+        if any(c["log_type"] == cfg["log_type"] for c, _ in self.running):
+            raise ValueError(f"another config of {self.topic} takes {cfg['log_type']}")
+        dml.create_log(self.spark, self.base(cfg), schema, partition_of(cfg))
+
+    def open_letters(self) -> None:
+        dml.create_log(self.spark, self.path(DEAD_LETTERS), T.StructType.fromDDL("value string, reason string, topic string"))
+        dml.create_log(self.spark, self.path(PARKED), T.StructType.fromDDL("log_type string, value string"))
+
+    def write(self, batch: DataFrame, number: int) -> None:
+        """One micro-batch; the function that ``foreachBatch`` calls."""
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        self._deliver(batch, query, number)
+
+    def _deliver(self, batch: DataFrame, writer: str, number: int, only: Config | None = None) -> None:
+        cfgs = [c for c, s in self.running if not s.error] if only is None else [only]
+        off = [*self.parked, *[c["log_type"] for c, s in self.running if s.error]] if only is None else []
+        fan_out(batch, cfgs, off).write.mode("overwrite").partitionBy("_to").parquet(self.staging)
+        routed = self.spark.read.schema(schema_of_routed(cfgs)).parquet(self.staging)
+        present = {r["_to"] for r in routed.select("_to").distinct().collect()}  # the log types of one topic
+        for cfg in cfgs:
+            if destination(cfg) in present and not self._set_aside(cfg, writer, number):
+                self._append(cfg, rows_of(routed, cfg, cfgs), batch, writer, number, only is not None)
+        if DEAD_LETTERS in present:
+            letters = routed.where(F.col("_to") == DEAD_LETTERS).select("value", "reason", F.lit(self.topic).alias("topic"))
+            dml.append(letters, self.path(DEAD_LETTERS), writer=writer, batch=number)
+        if PARKED in present:
+            waiting = routed.where(F.col("_to") == PARKED).select("log_type", "value")
+            dml.append(waiting, self.path(PARKED), writer=writer, batch=number)
+
+    def _append(self, cfg: Config, rows: DataFrame, batch: DataFrame, writer: str, number: int, must: bool) -> None:
+        """Commit a config's rows of a batch, or park its messages where that fails."""
+        if self.stamped:
+            rows = rows.withColumns({"_ingestion_timestamp": F.current_timestamp(), "_ingestion_date": F.current_date()})
+        try:
+            dml.append(rows, self.base(cfg), writer=self._own(cfg, writer), batch=number)
+        except Exception as e:
+            if must:
+                raise
+            mine = batch.where(complete(cfg)).select(F.lit(cfg["log_type"]).alias("log_type"), F.col("value").cast("string").alias("value"))
+            dml.append(mine, self.path(PARKED), writer=self._own(cfg, writer), batch=number)
+            next(s for c, s in self.running if c is cfg).error = f"{type(e).__name__}: {e}"
+            return
+        if number % FOLD_EVERY == FOLD_EVERY - 1:
+            fold_commits(self.spark, self.base(cfg))
+        if self.after is not None:
+            self.after(cfg, self.base(cfg))
+
+    def _own(self, cfg: Config, writer: str) -> str:
+        return f"{writer}:{cfg['log_type']}"
+
+    def _set_aside(self, cfg: Config, writer: str, number: int) -> bool:
+        """Whether an earlier attempt at this batch has parked the config's messages, which are then redelivered."""
+        return committed(load(self.spark, self.path(PARKED)), self._own(cfg, writer), number) is not None
+
+    def redeliver(self, cfg: Config) -> None:
+        """Bring in messages of the config's type that wait: parked ones and dead letters of an unknown type.
+
+        The commit of the table names the newest version of what waited, so a job lost on the way
+        repeats nothing; then the messages are dropped from where they waited.
+        """
+        for kind, column, value in (
+            (PARKED, "log_type", cfg["log_type"]), (DEAD_LETTERS, "reason", f"unknown type {cfg['log_type']}")
+        ):
+            place = self.path(kind)
+            chain = load(self.spark, place)
+            waiting = state_rows(self.spark, place, chain, resolve(chain)).where(F.col(column) == value)
+            newest = waiting.agg(F.max(VERSION)).first()[0]
+            if newest is not None:
+                self._deliver(waiting.select("value"), f"{kind}:{self.topic}", newest, cfg)
+                dml.drop_range(self.spark, place, column, "=", value, operation="redelivered")
+
+
 def run_ingest(
     spark: SparkSession,
     cfgs: Iterable[Config],
@@ -205,43 +240,66 @@ def run_ingest(
     once: bool = True,
     stamped: bool = False,
     prepare: Callable[[Config], object] | None = None,
-    **sink,
+    trigger: str = "1 minute",
+    after: Callable[[Config, str], object] | None = None,
 ) -> list[Started]:
-    """Start one query per enabled config and one dead-letter query per topic.
+    """Start one query per topic, which reads and parses it once for all its enabled configs.
 
-    ``prepare`` runs before a config's query. A config that fails there or at its start is
-    reported in its entry and does not keep the others from running.
+    Tables are versioned logs below ``out``; ``prepare`` runs before a config's table is opened,
+    ``after`` gets config and table once it is open
+    and after each commit. A config that fails at its start is reported
+    in its entry and does not keep the others from running, as is one whose table fails later. Messages of both, and of disabled configs, wait in ``parked``.
+    ``stamped`` adds ``_ingestion_timestamp`` and ``_ingestion_date``, fixed per micro-batch.
     """
-    started, topics, parked = [], defaultdict(list), defaultdict(list)
+    started, topics, owners = [], {}, {}
     for cfg in cfgs:
         entry = Started(cfg.get("name", "?"))
         started.append(entry)
         try:
+            topic = topic_of(cfg)
+            if topic not in topics:
+                topics[topic] = (cfg, TopicWriter(spark, topic, out, f"{checkpoints}/{topic}.staged", stamped, after))
+            writer = topics[topic][1]
             if not enabled(cfg):
                 entry.error = DISABLED
-                parked[topic_of(cfg)].append(cfg["log_type"])
+                writer.parked.append(cfg["log_type"])
                 continue
-            schema_of(cfg)
-            topics[topic_of(cfg)].append(cfg)
-            table = table_of(cfg)
-            if prepare is not None:
-                prepare(cfg)
-            entry.query = start_sink(
-                route_one(source(cfg), cfg, stamped), f"{out}/{table}", f"{checkpoints}/{table}",
-                partition_of(cfg), once=once, **sink,
-            )
+            try:
+                if prepare is not None:
+                    prepare(cfg)
+                if owners.setdefault(table_of(cfg), topic) != topic:
+                    raise ValueError(f"{table_of(cfg)} is written from {owners[table_of(cfg)]}; a table has one writer")
+                writer.open(cfg)
+                if after is not None:
+                    after(cfg, writer.base(cfg))
+                writer.running.append((cfg, entry))
+            except Exception:
+                writer.parked.append(cfg["log_type"])
+                raise
         except Exception as e:
             entry.error = f"{type(e).__name__}: {e}"
-    for topic, members in topics.items():
+    for topic, (cfg, writer) in topics.items():
         entry = Started(f"{DEAD_LETTERS}.{topic}")
-        started.append(entry)
+        mine = [s for _, s in writer.running]
         try:
-            entry.query = start_sink(
-                dead_letters(source(members[0]), members, parked[topic]), f"{out}/{DEAD_LETTERS}/{topic}",
-                f"{checkpoints}/{DEAD_LETTERS}.{topic}", once=once,
+            stream = source(cfg)
+            writer.open_letters()
+            for c, s in writer.running:
+                try:
+                    writer.redeliver(c)
+                except Exception as e:
+                    s.error = f"{type(e).__name__}: {e}"
+            trig = {"availableNow": True} if once else {"processingTime": trigger}
+            entry.query = (
+                stream.writeStream.foreachBatch(writer.write)
+                .option("checkpointLocation", f"{checkpoints}/{topic}").trigger(**trig).start()
             )
+            for s in mine:
+                s.query = entry.query
         except Exception as e:
-            entry.error = f"{type(e).__name__}: {e}"
+            for s in [entry, *mine]:
+                s.error = s.error or f"{type(e).__name__}: {e}"
+        started.append(entry)
     return started
 
 
@@ -253,21 +311,23 @@ def supervise(
     A failure is seen, and handed to ``report``, when it happens, whichever query it is, not
     once earlier ones end; those that did not start come first.
     """
-    if report is not None:
+    told: set[int] = set()
+
+    def tell() -> None:
         for s in started:
-            if s.failed:
-                report(s)
+            if s.failed and id(s) not in told:
+                told.add(id(s))
+                if report is not None:
+                    report(s)
+
     waiting = [s for s in started if s.query is not None]
+    tell()
     while waiting:
-        active = []
         for s in waiting:
-            if s.query.isActive:
-                active.append(s)
-            elif s.query.exception() is not None:
+            if not s.query.isActive and s.query.exception() is not None and not s.error:
                 s.error = str(s.query.exception())
-                if report is not None:
-                    report(s)
-        waiting = active
+        waiting = [s for s in waiting if s.query.isActive]
+        tell()
         if waiting:
             try:
                 spark.streams.awaitAnyTermination(5)
@@ -277,17 +337,16 @@ def supervise(
     return list(started)
 
 
-def read_ingested(spark: SparkSession, cfg: Config, out: str) -> DataFrame:
-    """A table that the ingest wrote, under its declared types."""
-    return spark.read.schema(schema_of(cfg)).parquet(f"{out}/{table_of(cfg)}")
+def read_ingested(
+    spark: SparkSession, cfg: Config, out: str, version: int | None = None, as_of: dt.datetime | None = None
+) -> DataFrame:
+    """A table that the ingest wrote, under its declared columns: now, or at a version or time."""
+    return read_version(spark, f"{out}/{table_of(cfg)}", version, as_of).select(*[f"`{n}`" for n in schema_of(cfg).names])
 
 
 def read_dead_letters(spark: SparkSession, topics: Iterable[str], out: str) -> DataFrame:
-    """Dead letters of several topics; each topic's query has an output of its own."""
-    schema = "value string, reason string, topic string"
-    return reduce(
-        DataFrame.unionByName, [spark.read.schema(schema).parquet(f"{out}/{DEAD_LETTERS}/{t}") for t in topics]
-    )
+    """Dead letters of several topics, without those whose type has been taken in since."""
+    return reduce(DataFrame.unionByName, [read_version(spark, f"{out}/{DEAD_LETTERS}/{t}") for t in topics])
 
 
 def compact(spark: SparkSession, cfg: Config, out: str, target: str) -> DataFrame:

@@ -36,5 +36,7 @@ def test_ingest_job(spark, tmp_path):
         "broken.json": False, "UserActivity": False, "UserEvents": True, f"dead_letters.{TOPIC}": True,
     }
     assert sorted(told) == ["UserActivity", "broken.json"]
-    spark.catalog.refreshTable("job_logs.user_events")
     assert spark.table("job_logs.user_events").count() == len(GOOD)
+    plan = spark.table("job_logs.user_events").where("event_type = 'click'")._jdf.queryExecution().executedPlan().toString()
+    kept = plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "isnotnull(_dir" in kept and "isnotnull(event_type" in kept
