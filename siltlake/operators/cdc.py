@@ -111,17 +111,17 @@ def aggregate(rows: DataFrame, group: Mapping[str, Column], sums: Mapping[str, C
 
     An amount that the type would change fails the job. A group without an amount sums to NULL.
     """
-    return _partial(rows, group, sums, exact).select(*group, "n", *sums)
+    return partial(rows, group, sums, exact).select(*group, "n", *sums)
 
 
-def _partial(rows: DataFrame, group: Mapping[str, Column], sums: Mapping[str, Column], exact: str) -> DataFrame:
+def partial(rows: DataFrame, group: Mapping[str, Column], sums: Mapping[str, Column], exact: str) -> DataFrame:
     """``aggregate`` with the number of amounts behind each sum, as it is stored."""
     return rows.groupBy(*[c.alias(n) for n, c in group.items()]).agg(
         F.count("*").alias("n"), *[c.alias(n) for n, c in _sums(sums, exact).items()]
     )
 
 
-def _held(name: str) -> str:
+def held(name: str) -> str:
     return f"_held_{name}"
 
 
@@ -133,7 +133,7 @@ def _sums(sums: Mapping[str, Column], exact: str) -> dict[str, Column]:
             F.when(amount.isNull() | (value == amount), value)
             .otherwise(F.raise_error(F.lit(f"an amount of {name} does not fit {exact}")).cast(exact))
         )
-        out[_held(name)] = F.count(amount)
+        out[held(name)] = F.count(amount)
     return out
 
 
@@ -147,9 +147,9 @@ def refresh(
     amount is NULL. Changed rows are added up per group first, so a group that changed a lot is
     not gathered row by row.
     """
-    plus = _partial(changed.where(F.col("after").isNotNull()).select("after.*"), group, sums, exact)
-    minus = _partial(changed.where(F.col("before").isNotNull()).select("before.*"), group, sums, exact)
-    names = ["n", *sums, *map(_held, sums)]
+    plus = partial(changed.where(F.col("after").isNotNull()).select("after.*"), group, sums, exact)
+    minus = partial(changed.where(F.col("before").isNotNull()).select("before.*"), group, sums, exact)
+    names = ["n", *sums, *map(held, sums)]
     signed = view.unionByName(plus).unionByName(
         minus.select(*group, *[(-F.col(n)).alias(n) for n in names])
     )
@@ -159,7 +159,7 @@ def refresh(
         .where(F.col("n") > 0)
     )
     return total.select(
-        *group, "n", *[F.when(F.col(_held(s)) > 0, F.col(s)).alias(s) for s in sums], *map(_held, sums)
+        *group, "n", *[F.when(F.col(held(s)) > 0, F.col(s)).alias(s) for s in sums], *map(held, sums)
     )
 
 
@@ -303,4 +303,4 @@ class MaintainedAggregate:
         return self.spark.read.parquet(f"{self.path}/{self._current()[1]}")
 
     def read(self) -> DataFrame:
-        return self._stored().drop(*map(_held, self.sums))
+        return self._stored().drop(*map(held, self.sums))

@@ -154,7 +154,7 @@ def fold_commits(spark: SparkSession, base: str) -> None:
     read, last = needed(chain), {c.writer: c.version for c in chain}
     floor = max(c.floor for c in chain)
     # A writer's last batch may still be replayed, and a drop counts as long as older rows are read.
-    known = [c for c in chain if c.version >= floor or c.data in read or c.writer and last[c.writer] == c.version]
+    known = [c for c in chain if c.version >= floor or c.data in read or c.batch is not None and last[c.writer] == c.version]
     known = sorted({*known, *(c for c in chain if c.drops and any(k.version < c.version and k.data for k in known))}, key=lambda c: c.version)
     # Tuples of the row's shape; at most a few hundred bytes per commit that still counts.
     spark.createDataFrame([_row(c) for c in known], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/commits")

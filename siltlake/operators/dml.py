@@ -39,14 +39,15 @@ def _after(chain: Sequence[Commit], first: Commit) -> Commit:
 
 
 def create_or_replace(
-    df: DataFrame, base: str, key: Sequence[str], partition_by: Sequence[str] = (), at: dt.datetime | None = None
+    df: DataFrame, base: str, key: Sequence[str], partition_by: Sequence[str] = (), at: dt.datetime | None = None,
+    writer: str | None = None,
 ) -> Commit:
     """Create the table, or replace rows, schema, key and partitioning in a new version.
 
     Without a key the table takes appends only, and rows may repeat.
     """
     spark = df.sparkSession
-    draft = _after(load(spark, base), _first(df.schema, "create", key, partition_by, at))
+    draft = replace(_after(load(spark, base), _first(df.schema, "create", key, partition_by, at)), writer=writer)
     check = (lambda written: require_key(written, draft.key)) if key else None
     return commit_rows(spark, base, draft, upserts(df, draft), check)
 
@@ -196,6 +197,7 @@ def merge(
     matched_delete: Column | None = None,
     insert: Mapping[str, Column] | None = None,
     at: dt.datetime | None = None,
+    writer: str | None = None,
 ) -> Commit:
     """MERGE INTO on the table's key; expressions name the target ``t`` and the source ``s``.
 
@@ -252,7 +254,7 @@ def merge(
         cells.append(F.when(hit, old).otherwise(new).cast(ddl).alias(physical))
     rows = joined.select(*cells, action.alias(OP)).where(F.col(OP).isNotNull())
     return commit_rows(
-        spark, base, successor(chain, "merge", "delta", at), rows,
+        spark, base, successor(chain, "merge", "delta", at, writer=writer), rows,
         lambda written: require_no_null(written, head.key),
     )
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from siltlake.operators import cdc, dml, maintenance, quality
 from siltlake.operators import changelog as log
+from siltlake.operators.views import MaintainedJoin
 from siltlake.plans import analytics
 from siltlake.plans.registry import register
 from siltlake.session import scratch
@@ -625,6 +626,61 @@ def maintained_order_dates(spark, sf):
     return view.refresh()
 
 
+_SALES = """(SELECT l_orderkey AS order_id, l_partkey AS product_id, o_custkey AS customer_id, round(sum(l_extendedprice), 2) AS amount
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)"""
+_MOVED = "CASE WHEN p_type = 'ECONOMY' AND p_size % 2 = 0 THEN 'SMALL' ELSE p_type END"
+
+
+@register(f"""SELECT {_MOVED} AS category, count(*) AS n, CAST(sum(CAST(amount AS DECIMAL(18, 2))) AS DOUBLE) AS revenue,
+    count(DISTINCT customer_id) AS unique_customers FROM {_SALES} JOIN part ON product_id = p_partkey
+    WHERE p_name NOT LIKE '%ring%' AND customer_id % 3 <> 1 GROUP BY 1""")
+def maintained_category_reach(spark, sf):
+    """Revenue and customers by category, kept over a join: products move and go, customers' sales are deleted."""
+    lines, orders = read_table(spark, "lineitem", sf), read_table(spark, "orders", sf)
+    sales = (
+        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+        .groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), F.col("o_custkey").alias("customer_id"))
+        .agg(F.round(F.sum("l_extendedprice"), 2).alias("amount"))
+    )
+    left, right = scratch(spark, "sales"), _parts(spark, sf)
+    dml.create_or_replace(sales, left, ["order_id", "product_id"], at=AT[0])
+    view = MaintainedJoin(
+        spark, left, right, scratch(spark, "reach"), {"product_id": "p_partkey"}, {"category": F.col("r.p_type")},
+        {"revenue": F.col("l.amount")}, {"unique_customers": F.col("l.customer_id")}, "decimal(18,2)",
+    )
+    view.refresh()
+    dml.update(spark, right, "p_type = 'ECONOMY' AND p_size % 2 = 0", {"p_type": F.lit("SMALL")}, at=AT[1])
+    dml.delete(spark, left, "customer_id % 3 = 1", at=AT[1])
+    view.refresh()
+    _drop_rings(spark, right)
+    return view.refresh().withColumn("revenue", F.col("revenue").cast("double"))
+
+
+@register("""SELECT n_name AS state, count(*) AS order_count, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total_revenue,
+    count(DISTINCT o_custkey) AS customer_count FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON n_nationkey =
+      CASE WHEN c_custkey % 10 = 3 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END
+    WHERE o_orderstatus <> 'P' GROUP BY 1""")
+def maintained_state_revenue(spark, sf):
+    """Revenue and buyers by state, kept over a join: a tenth of the customers move, pending orders are cancelled."""
+    customers = read_table(spark, "customer", sf).select("c_custkey", "c_nationkey")
+    nations = read_table(spark, "nation", sf).select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("state"))
+    left, right = _orders_by_status(spark, sf), scratch(spark, "customer")
+    dml.create_or_replace(customers.join(nations, "c_nationkey"), right, ["c_custkey"], at=AT[0])
+    view = MaintainedJoin(
+        spark, left, right, scratch(spark, "states"), {"o_custkey": "c_custkey"}, {"state": F.col("r.state")},
+        {"total_revenue": F.col("l.o_totalprice")}, {"customer_count": F.col("r.c_custkey")}, "decimal(18,2)",
+    )
+    view.refresh()
+    moved = customers.where("c_custkey % 10 = 3").select("c_custkey", ((F.col("c_nationkey") + 1) % 25).alias("c_nationkey"))
+    dml.merge(
+        spark, right, moved.join(nations, "c_nationkey"), ["c_custkey"],
+        matched_update={"state": F.col("s.state"), "c_nationkey": F.col("s.c_nationkey")}, at=AT[1],
+    )
+    dml.delete(spark, left, "o_orderstatus = 'P'", at=AT[1])
+    rows = view.refresh()
+    return rows.select("state", F.col("n").alias("order_count"), F.col("total_revenue").cast("double").alias("total_revenue"), "customer_count")
+
+
 _TEXT_SCHEMA = (
     T.StructType().add("o_orderkey", "long").add("o_custkey", "long").add("o_orderstatus", "string")
     .add("o_totalprice", "double").add("o_orderpriority", "string")
