@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltlake.functions.sizing import settled
 from siltlake.sources.tables import STAR_TABLES, read_table
 
 
@@ -71,6 +72,62 @@ def reconcile(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
+#: Buckets that a bucket of checksums is divided into, and rows of one that are compared as they are.
+FAN, LEAF_ROWS = 4096, 10_000
+
+
+def reconcile_digests(a: DataFrame, b: DataFrame, fan: int = FAN, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """``reconcile`` for tables that mostly agree: only checksums and the rows of unequal buckets are moved.
+
+    Rows fall into ``fan`` buckets by a hash of all their values. A bucket's checksum is the number
+    of its rows and sums of two hashes of them, which depend on no order and count repeats;
+    those of both tables cancel before they are shuffled. Buckets that differ are divided again,
+    until one holds about ``leaf_rows`` rows, and only rows of buckets that still differ are compared.
+    A level reads both tables once more. Where more than half of the buckets differ there is
+    nothing to leave out, and all rows of these are compared at once.
+
+    Two different sets of rows have the same checksum with a chance of 2**-64 or so.
+    """
+    if sorted(a.columns) != sorted(b.columns):
+        raise ValueError("the tables have different columns")
+    # One type per column, as a union has, so that equal values have equal hashes.
+    types = {f.name: f.dataType for f in a.unionByName(b).schema.fields}
+    sides = [df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in a.columns]) for df in (a, b)]
+    rows, depth, found = max(1, a.count()), 1, None
+    while True:
+        found = settled(_unequal(sides, fan, depth, found))
+        differ = found.count()
+        if not differ or differ > fan**depth / 2 or rows / fan**depth <= leaf_rows:
+            break
+        depth += 1
+    first, _ = _hashes(a.columns)
+    left, right = (df.join(found, F.pmod(first, F.lit(fan**depth)) == found["_bucket"], "left_semi") for df in sides)
+    return reconcile(left, right)
+
+
+def _hashes(columns: Sequence[str]) -> tuple[Column, Column]:
+    """Two hashes of a row. A hash leaves nulls out, so each has to be told which values are null."""
+    cells = [F.col(f"`{c}`") for c in columns]
+    known = [c.isNotNull() for c in cells]
+    return F.xxhash64(*cells, *known), F.xxhash64(F.lit("second"), *known, *cells)
+
+
+def _unequal(sides: Sequence[DataFrame], fan: int, depth: int, within: DataFrame | None) -> DataFrame:
+    """Buckets of a level whose checksums differ, of those whose parents do."""
+    parts = []
+    for df, sign in zip(sides, (1, -1)):
+        first, second = _hashes(df.columns)
+        hashed = df.select(first.alias("h"), second.alias("g"), F.pmod(first, F.lit(fan**depth)).alias("_bucket"))
+        if within is not None:
+            hashed = hashed.join(within, F.pmod("h", F.lit(fan ** (depth - 1))) == within["_bucket"], "left_semi")
+        halves = [F.shiftrightunsigned(c, 32) for c in ("h", "g")] + [F.col(c).bitwiseAND(0xFFFFFFFF) for c in ("h", "g")]
+        parts.append(hashed.select(
+            "_bucket", F.lit(sign).cast("long").alias("n"), *[(sign * c).alias(f"s{i}") for i, c in enumerate(halves)]))
+    names = ("n", "s0", "s1", "s2", "s3")
+    sums = parts[0].unionByName(parts[1]).groupBy("_bucket").agg(*[F.sum(n).alias(n) for n in names])
+    return sums.where(" or ".join(f"{n} <> 0" for n in names)).select("_bucket")
+
+
 def profile(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
     """``(table, column, type, rows, nulls, distinct)`` for every column.
 

@@ -189,17 +189,30 @@ def dual_written(spark, sf):
     )
 
 
-@register("""SELECT p_partkey, p_type, p_retailprice, 'left' AS side, 1 AS copies FROM part WHERE p_type = 'ECONOMY'
+@register("""SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, 'left' AS side, 1 AS copies
+    FROM part WHERE p_type = 'ECONOMY'
     UNION ALL
-    SELECT p_partkey, p_type, p_retailprice * 1.1::DOUBLE, 'right', 1 FROM part WHERE p_type = 'ECONOMY'""")
+    SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice * 1.1::DOUBLE, 'right', 1 FROM part WHERE p_type = 'ECONOMY'""")
 def reconciled_tables(spark, sf):
-    """Plain files against the versioned table, after a price change in the latter."""
+    """Plain files against the versioned table in all columns, after a price change in the latter."""
     base = _parts(spark, sf)
     _raise_economy(spark, base)
-    columns = ["p_partkey", "p_type", "p_retailprice"]
-    return quality.reconcile(
-        read_table(spark, "part", sf).select(*columns), log.read_version(spark, base).select(*columns)
-    )
+    return quality.reconcile_digests(read_table(spark, "part", sf), log.read_version(spark, base))
+
+
+@register("""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 'right' AS side, 1 AS copies
+    FROM orders WHERE o_orderkey % 1000 = 7
+    UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 'left', 1
+    FROM orders WHERE o_orderkey % 1000 = 13
+    UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, NULL, 'right', 1
+    FROM orders WHERE o_orderkey % 1000 = 13 AND o_orderpriority IS NOT NULL""")
+def reconciled_digests(spark, sf):
+    """Orders against a copy in which some rows are repeated and some have lost their priority, in buckets of checksums."""
+    orders = read_table(spark, "orders", sf)
+    faulty = F.when(F.col("o_orderkey") % 1000 != 13, F.col("o_orderpriority"))
+    copy = orders.withColumn("o_orderpriority", faulty).unionByName(orders.where(F.col("o_orderkey") % 1000 == 7))
+    path = scratch(spark, "copy")
+    return quality.reconcile_digests(orders, sinks.write_table(copy, path), fan=256, leaf_rows=10)
 
 
 # --- versioned tables ------------------------------------------------------------------
