@@ -23,7 +23,10 @@ Some commits write no data of their own or stand for others'. A ``merged`` list
 versions whose rows a later commit holds in fewer files: from then on they are read there.
 ``drops`` are ranges or values of a column that are gone from all earlier commits; on a
 partition column they prune directories. ``writer`` and ``batch`` name the micro-batch a
-commit came from, so that one that is replayed is known. A table without a key takes appends only.
+commit came from, so that one that is replayed is known. ``hidden`` columns are derived from
+others, stand in the files for their partitions only, and are in no result: ranges and values
+asked of their source are turned into ranges and values of them. A table without a key takes
+appends only.
 """
 
 from __future__ import annotations
@@ -31,8 +34,9 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import uuid
-from collections.abc import Callable, Collection, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,7 +56,8 @@ COMMIT_SCHEMA = (
     "_version long, committed_at timestamp_ntz, operation string, kind string, data string, "
     "upserts long, deletes long, key array<string>, partition_by array<string>, "
     "columns array<struct<name: string, physical: string, type: string>>, floor long, seq long, "
-    "writer string, batch long, merged array<long>, drops array<struct<column: string, op: string, value: string>>"
+    "writer string, batch long, merged array<long>, drops array<struct<column: string, op: string, value: string>>, "
+    "hidden array<struct<name: string, source: string, transform: string, size: int>>"
 )
 
 
@@ -80,6 +85,7 @@ class Commit:
     batch: int | None = None
     merged: tuple[int, ...] = ()
     drops: tuple[tuple[str, str, str], ...] = ()  # (physical name, "<" or "=", value as text)
+    hidden: tuple[tuple[str, str, str, int], ...] = ()  # (name, physical source, transform, buckets)
 
     @property
     def adopted(self) -> bool:
@@ -126,7 +132,7 @@ def load(spark: SparkSession, base: str) -> list[Commit]:
         r[VERSION]: Commit(
             r[VERSION], r.committed_at, r.operation, r.kind, r.data, r.upserts, r.deletes,
             tuple(r.key), tuple(r.partition_by), tuple(tuple(c) for c in r.columns), r.floor, r.seq,
-            r.writer, r.batch, tuple(r.merged or ()), tuple(tuple(d) for d in r.drops or ()),
+            r.writer, r.batch, tuple(r.merged or ()), tuple(tuple(d) for d in r.drops or ()), tuple(tuple(h) for h in r.hidden or ()),
         )
         for r in sorted(found.collect() if found else (), key=lambda r: r.seq)
     }
@@ -165,7 +171,7 @@ def fold_commits(spark: SparkSession, base: str) -> None:
 def _row(c: Commit) -> tuple:
     return (
         c.version, c.at, c.operation, c.kind, c.data, c.upserts, c.deletes, list(c.key), list(c.partition_by), list(c.columns),
-        c.floor, c.seq, c.writer, c.batch, list(c.merged), list(c.drops),
+        c.floor, c.seq, c.writer, c.batch, list(c.merged), list(c.drops), list(c.hidden),
     )
 
 
@@ -202,7 +208,7 @@ def record(spark: SparkSession, base: str, commit: Commit) -> Commit:
     def texts(values: Sequence[str]) -> Column:
         return F.array(*map(F.lit, values)).cast("array<string>")
 
-    def structs(rows: Sequence[tuple[str, ...]], *names: str) -> Column:
+    def structs(rows: Sequence[tuple], *names: str) -> Column:
         return F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows])
 
     cells = {
@@ -213,6 +219,7 @@ def record(spark: SparkSession, base: str, commit: Commit) -> Commit:
         "floor": F.lit(commit.floor), "seq": F.lit(commit.seq), "writer": F.lit(commit.writer), "batch": F.lit(commit.batch),
         "merged": F.array(*map(F.lit, commit.merged)),
         "drops": structs(commit.drops, "column", "op", "value"),
+        "hidden": structs(commit.hidden, "name", "source", "transform", "size"),
     }
     row = spark.range(0, 1, 1, 1).select(
         *[cells[f.name].cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(COMMIT_SCHEMA).fields]
@@ -243,6 +250,47 @@ def location(base: str, commit: Commit) -> str:
     return commit.data if commit.adopted else f"{base}/{commit.data}"
 
 
+# --- hidden partitions -------------------------------------------------------------------
+
+#: The transforms, the type of what they give, and whether they keep the order of values.
+TRANSFORMS = {"day": ("date", True), "month": ("date", True), "bucket": ("int", False)}
+
+
+def derived(transform: str, size: int, value: Column) -> Column:
+    if transform == "day":
+        return value.cast("date")
+    if transform == "month":
+        return F.trunc(value.cast("date"), "month")
+    return F.when(value.isNotNull(), F.pmod(F.xxhash64(value), F.lit(size)).cast("int"))
+
+
+def with_hidden(rows: DataFrame, hidden: Sequence[tuple[str, str, str, int]]) -> DataFrame:
+    return rows.withColumns({
+        n: derived(transform, size, F.col(f"`{source}`")) for n, source, transform, size in hidden if n not in rows.columns})
+
+
+@dataclass(frozen=True)
+class Asked:
+    """Values of one column that a reader wants: ``low <= column < high``, or just ``value``."""
+
+    column: str
+    low: object = None
+    high: object = None
+    value: object = None
+
+    def rows(self, cell: Column, type: T.DataType) -> Column:
+        tests = [(self.low, lambda v: cell >= v), (self.high, lambda v: cell < v), (self.value, lambda v: cell == v)]
+        return reduce(lambda a, b: a & b, [t(F.lit(v).cast(type)) for v, t in tests if v is not None], F.lit(True))
+
+    def partitions(self, cell: Column, transform: str, size: int, type: T.DataType) -> Column:
+        """What holds of the derived column in every row wanted; the last value of a range may lie in the next partition."""
+        at = lambda v: derived(transform, size, F.lit(v).cast(type))
+        tests = [(self.value, lambda v: cell == at(v))]
+        if TRANSFORMS[transform][1]:
+            tests += [(self.low, lambda v: cell >= at(v)), (self.high, lambda v: cell <= at(v))]
+        return reduce(lambda a, b: a & b, [t(v) for v, t in tests if v is not None], F.lit(True))
+
+
 Drops = tuple[tuple[str, str, str], ...]
 
 
@@ -274,20 +322,22 @@ def gone(drop: tuple[str, str, str], schema: T.StructType) -> Column:
 
 def scan(
     spark: SparkSession, base: str, commits: Sequence[Commit], schema: T.StructType, extra: Sequence[str] = (),
-    drops: Callable[[Commit], Drops] = lambda c: (),
+    drops: Callable[[Commit], Drops] = lambda c: (), asked: Sequence[Asked] = (),
 ) -> DataFrame:
     """Log rows of some commits, as physical columns plus ``_op`` and ``_version``.
 
     The schema is given, not inferred: no file is opened to plan the scan, and a column
     that older files lack reads as NULL. Commits that share a layout and have lost the same
-    ranges, which ``drops`` tells, are one scan.
+    ranges, which ``drops`` tells, are one scan. Of what is ``asked`` of physical columns, the
+    rows that have it are returned.
     """
     groups: dict[tuple, list[Commit]] = {}
     for c in commits:
-        groups.setdefault((c.partition_by, c.version if c.adopted else None, drops(c)), []).append(c)
+        groups.setdefault((c.partition_by, c.version if c.adopted else None, drops(c), c.hidden), []).append(c)
     scans = []
-    for (_, adopted, lost), members in groups.items():
-        reader = spark.read.schema(T.StructType([*schema.fields, *LOG_FIELDS]))
+    for (_, adopted, lost, hidden), members in groups.items():
+        places = [T.StructField(n, _type(TRANSFORMS[transform][0])) for n, _, transform, _ in hidden]
+        reader = spark.read.schema(T.StructType([*schema.fields, *places, *LOG_FIELDS]))
         if adopted is None:
             # Directories of one layout are partitions of the log, not roots of their own.
             reader = reader.option("basePath", f"{base}/log")
@@ -296,6 +346,11 @@ def scan(
             rows = rows.withColumns({OP: F.lit(UPSERT), VERSION: F.lit(adopted).cast("long")})
         for drop in lost:
             rows = rows.where(~gone(drop, schema))
+        for a in asked:
+            rows = rows.where(a.rows(F.col(f"`{a.column}`"), schema[a.column].dataType))
+            for n, source, transform, size in hidden:
+                if source == a.column:
+                    rows = rows.where(a.partitions(F.col(n), transform, size, schema[source].dataType))
         scans.append(rows.select(*[f"`{n}`" for n in schema.names], OP, VERSION, *extra))
     if not scans:
         return spark.createDataFrame([], T.StructType([*schema.fields, *LOG_FIELDS]))
@@ -332,21 +387,24 @@ def needed(chain: Sequence[Commit]) -> set[str]:
 
 
 def state(
-    spark: SparkSession, base: str, chain: Sequence[Commit], head: Commit, only: Collection[int] | None = None
+    spark: SparkSession, base: str, chain: Sequence[Commit], head: Commit, only: Collection[int] | None = None,
+    asked: Sequence[Asked] = (),
 ) -> DataFrame:
     """The table at ``head``, in logical names; with ``only``, what it has from the plain rows of these versions."""
-    rows = state_rows(spark, base, chain, head, only)
+    rows = state_rows(spark, base, chain, head, only, [replace(a, column=head.physical(a.column)) for a in asked])
     return rows.select(*[F.col(f"`{p}`").alias(n) for n, p, _ in head.columns])
 
 
 def state_rows(
-    spark: SparkSession, base: str, chain: Sequence[Commit], head: Commit, only: Collection[int] | None = None
+    spark: SparkSession, base: str, chain: Sequence[Commit], head: Commit, only: Collection[int] | None = None,
+    asked: Sequence[Asked] = (),
 ) -> DataFrame:
     """``state`` as log rows: physical columns, ``_op`` and the version each row was written in."""
     plain, deltas = members(chain, head)
     schema, key = head.physical_schema, list(head.key)
     rows = scan(
-        spark, base, [c for c in plain if only is None or c.version in only], schema, drops=lambda c: drops_after(chain, c, head))
+        spark, base, [c for c in plain if only is None or c.version in only], schema,
+        drops=lambda c: drops_after(chain, c, head), asked=asked)
     if deltas:
         changed = scan(spark, base, deltas, schema)
         newest, touched = newest_rows(changed, key, deltas), changed.select(*key, VERSION)
@@ -359,6 +417,8 @@ def state_rows(
         rows = r.join(t, same, "left_anti")
         if only is None:
             newest = newest.where(F.col(OP) == UPSERT)
+            for a in asked:
+                newest = newest.where(a.rows(F.col(f"`{a.column}`"), schema[a.column].dataType))
             for c in chain:
                 for drop in c.drops if c.version <= head.version else ():
                     newest = newest.where(~(gone(drop, schema) & (F.col(VERSION) < c.version)))
@@ -377,7 +437,8 @@ def newest_rows(changed: DataFrame, key: Sequence[str], commits: Sequence[Commit
 
 
 def write_log(
-    df: DataFrame, base: str, version: int, partition_by: Sequence[str], placed: bool = False
+    df: DataFrame, base: str, version: int, partition_by: Sequence[str], placed: bool = False,
+    hidden: Sequence[tuple[str, str, str, int]] = (),
 ) -> str:
     """Write one commit's rows to a directory of their own and return its name.
 
@@ -386,7 +447,7 @@ def write_log(
     rows that have a version keep it.
     """
     data = f"log/{DIRECTORY}={version:08d}-{uuid.uuid4().hex[:12]}"
-    rows = df if VERSION in df.columns else df.withColumn(VERSION, F.lit(version).cast("long"))
+    rows = with_hidden(df if VERSION in df.columns else df.withColumn(VERSION, F.lit(version).cast("long")), hidden)
     writer = (rows if placed else laid_out(rows, partition_by)).write.mode("errorifexists").option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -406,7 +467,7 @@ def commit_rows(
     ``check`` gets a scan of the written rows, so the input is computed once; it may return
     the kind of commit, or raise, and then no commit is made.
     """
-    draft = replace(draft, data=write_log(rows, base, draft.version, draft.partition_by))
+    draft = replace(draft, data=write_log(rows, base, draft.version, draft.partition_by, hidden=draft.hidden))
     written = scan(spark, base, [draft], draft.physical_schema)
     if check is not None:
         try:
@@ -437,8 +498,8 @@ def upserts(df: DataFrame, head: Commit) -> DataFrame:
 
 
 def tombstones(df: DataFrame, head: Commit) -> DataFrame:
-    """Delete rows: only key and partition columns are kept."""
-    keep = {*head.key, *head.partition_by}
+    """Delete rows: only key and partition columns are kept, and those that partitions derive from."""
+    keep = {*head.key, *head.partition_by, *[source for _, source, _, _ in head.hidden]}
     return df.select(
         *[
             (F.col(f"`{n}`") if p in keep else F.lit(None).cast(_type(t))).alias(p)
@@ -452,11 +513,18 @@ def tombstones(df: DataFrame, head: Commit) -> DataFrame:
 
 
 def read_version(
-    spark: SparkSession, base: str, version: int | None = None, as_of: dt.datetime | None = None
+    spark: SparkSession, base: str, version: int | None = None, as_of: dt.datetime | None = None,
+    between: Mapping[str, tuple[object, object]] = {}, equal: Mapping[str, object] = {},
 ) -> DataFrame:
-    """The current table, or the table at a version or time (UTC)."""
+    """The current table, or the table at a version or time (UTC).
+
+    ``between`` wants ``low <= column < high``, where None is no bound, and ``equal`` one value. On a
+    column that hidden partitions derive from, both also prune directories; a plain ``where`` on
+    the result gives the same rows from all of them.
+    """
     chain = load(spark, base)
-    return state(spark, base, chain, resolve(chain, version, as_of))
+    asked = [Asked(c, low, high) for c, (low, high) in between.items()] + [Asked(c, value=v) for c, v in equal.items()]
+    return state(spark, base, chain, resolve(chain, version, as_of), asked=asked)
 
 
 def snapshots(spark: SparkSession, base: str) -> DataFrame:

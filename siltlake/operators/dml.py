@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
@@ -12,20 +13,42 @@ from pyspark.sql import types as T
 
 from siltlake.functions.sizing import settled
 from siltlake.operators.changelog import (
-    DELETE, OP, RESERVED, UPSERT, Commit, commit_rows, committed, load, now, record, require_key, resolve,
+    DELETE, OP, RESERVED, TRANSFORMS, UPSERT, Commit, commit_rows, committed, load, now, record, require_key, resolve,
     state, successor, tombstones, upserts,
 )
 from siltlake.sinks.parquet import write_table
 
 
+_DERIVED = re.compile(r"(\w+)\(\s*(?:(\d+)\s*,\s*)?(.+?)\s*\)")
+
+
 def _first(df_schema: T.StructType, operation: str, key, partition_by, at) -> Commit:
     for i, n in enumerate(df_schema.names):
         _require_free(n, df_schema.names[:i])
-    unknown = [c for c in [*key, *partition_by] if c not in df_schema.names]
-    if unknown:
+    places, hidden = [], []
+    for place in partition_by:
+        made = _DERIVED.fullmatch(place) if place not in df_schema.names else None
+        if made:
+            transform, size, source = made.groups()
+            if transform not in TRANSFORMS or (transform == "bucket") != bool(size) or size == "0":
+                raise ValueError(f"{place} is no day(c), month(c) or bucket(n, c)")
+            place = f"_{transform}_{source}"
+            hidden.append((place, source, transform, int(size or 0)))
+        places.append(place)
+    derived_from = [source for _, source, _, _ in hidden]
+    unknown = [c for c in [*key, *places, *derived_from] if c not in df_schema.names and c not in [h[0] for h in hidden]]
+    if unknown or {h[0] for h in hidden} & set(df_schema.names):
         raise ValueError(f"key and partition columns must exist, unknown: {unknown}")
     columns = tuple((f.name, f.name, f.dataType.simpleString()) for f in df_schema.fields)
-    return Commit(1, at or now(), operation, "base", None, 0, 0, tuple(key), tuple(partition_by), columns, 1, 1)
+    return Commit(
+        1, at or now(), operation, "base", None, 0, 0, tuple(key), tuple(places), columns, 1, 1, hidden=tuple(hidden))
+
+
+def partitioning(commit: Commit) -> list[str]:
+    """Partitions as they are declared, under the columns' current names."""
+    made = {
+        n: f"{transform}({f'{size}, ' if size else ''}{commit.logical(source)})" for n, source, transform, size in commit.hidden}
+    return [made.get(p) or commit.logical(p) for p in commit.partition_by]
 
 
 def _after(chain: Sequence[Commit], first: Commit) -> Commit:
@@ -44,7 +67,9 @@ def create_or_replace(
 ) -> Commit:
     """Create the table, or replace rows, schema, key and partitioning in a new version.
 
-    Without a key the table takes appends only, and rows may repeat.
+    Partitions are columns, or ``day(c)``, ``month(c)`` and ``bucket(n, c)``, which are derived from a
+    column, hidden in the files, and pruned by what readers ask of it. Without a key the table takes
+    appends only, and rows may repeat.
     """
     spark = df.sparkSession
     draft = replace(_after(load(spark, base), _first(df.schema, "create", key, partition_by, at)), writer=writer)
@@ -65,7 +90,7 @@ def create_log(
     head = resolve(chain)
     have = {n: t for n, _, t in head.columns}
     other = [f.name for f in schema.fields if have.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()]
-    if other or [head.logical(p) for p in head.partition_by] != list(partition_by):
+    if other or partitioning(head) != list(partition_by):
         raise ValueError(f"the table has other types or partitions: {other or list(head.partition_by)}")
     for f in schema.fields:
         if f.name not in have:
@@ -85,6 +110,8 @@ def adopt(
     found = spark.read.parquet(path)
     require_key(found, key)
     draft = _first(found.schema, "adopt", key, partition_by, at)
+    if draft.hidden:
+        raise ValueError("files that lie where they are have no hidden partitions")
     return record(spark, base, replace(draft, data=path, upserts=found.count()))
 
 
@@ -306,6 +333,6 @@ def rename_column(spark: SparkSession, base: str, old: str, new: str, at: dt.dat
 def drop_column(spark: SparkSession, base: str, name: str, at: dt.datetime | None = None) -> Commit:
     """DROP COLUMN: hidden from this version on; earlier versions still show it."""
     head = resolve(load(spark, base))
-    if head.physical(name) in (*head.key, *head.partition_by):
+    if head.physical(name) in (*head.key, *head.partition_by, *[source for _, source, _, _ in head.hidden]):
         raise ValueError(f"{name} is a key or partition column")
     return _reshape(spark, base, "drop column", [c for c in head.columns if c[0] != name], at)

@@ -15,7 +15,7 @@ from siltlake.functions.sizing import settled
 from siltlake.operators import dml
 from siltlake.operators.changelog import (
     DIRECTORY, OP, UPSERT, VERSION, Commit, drops_after, fold_commits, live, load, location, members, needed, newest_rows,
-    record, resolve, scan, state, state_rows, successor, upserts, write_log,
+    record, resolve, scan, state, state_rows, successor, upserts, with_hidden, write_log,
 )
 from siltlake.session import delete_path
 
@@ -40,7 +40,7 @@ def expire(spark: SparkSession, base: str, older_than: dt.datetime) -> Commit:
     if members(chain, first)[1]:
         rows = upserts(state(spark, base, chain, first), first)
         folded = replace(
-            folded, kind="base", data=write_log(rows, base, first.version, first.partition_by)
+            folded, kind="base", data=write_log(rows, base, first.version, first.partition_by, hidden=first.hidden)
         )
     record(spark, base, folded)
     chain = load(spark, base)
@@ -123,14 +123,14 @@ def rewrite(
         held = whole.where(F.col("version").isin(chosen)).agg(F.sum("bytes")).first()[0] or 0
         order = [*head.partition_by]
         order += [p for p in map(head.physical, sort_by or head.key_names) if p not in order]
-        rows = _placed(rows, math.ceil(held / target), order)
+        rows = _placed(with_hidden(rows, head.hidden), math.ceil(held / target), order)
         data = write_log(rows, base, draft.version, draft.partition_by, placed=True)
         head = record(spark, base, replace(draft, data=data))
     if len(deltas) > 1 and not fold:
         chain = load(spark, base)
         draft = successor(chain, "rewrite", "delta", at, merged=tuple(c.version for c in deltas))
         newest = newest_rows(scan(spark, base, deltas, head.physical_schema), head.key, deltas)
-        head = record(spark, base, replace(draft, data=write_log(newest, base, draft.version, draft.partition_by)))
+        head = record(spark, base, replace(draft, data=write_log(newest, base, draft.version, draft.partition_by, hidden=draft.hidden)))
     return head
 
 

@@ -406,6 +406,26 @@ def adopted_table(spark, sf):
     return log.read_version(spark, base)
 
 
+@register("""SELECT event_id, ts, user_id, event_type, value, props FROM events
+    WHERE ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00' AND event_type <> 'view'
+    UNION ALL SELECT event_id, ts + INTERVAL 5 DAY, user_id, event_type, value, props FROM events
+    WHERE event_type = 'view' AND ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-10 00:00:00'""")
+def hidden_partitions(spark, sf):
+    """A range of a timestamp of a versioned table, partitioned by its day, after views have moved five days on."""
+    base = scratch(spark, "events")
+    dml.create_or_replace(read_table(spark, "events", sf), base, ["event_id"], ["day(ts)"], at=AT[0])
+    dml.update(spark, base, "event_type = 'view'", {"ts": F.col("ts") + F.expr("interval 5 days")}, at=AT[1])
+    return log.read_version(spark, base, between={"ts": (dt.datetime(2024, 1, 10, 6), dt.datetime(2024, 1, 15))})
+
+
+@register("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey = 7")
+def hidden_buckets(spark, sf):
+    """One customer's orders from a table in 16 buckets of customers."""
+    base = scratch(spark, "orders")
+    dml.create_or_replace(read_table(spark, "orders", sf), base, ["o_orderkey"], ["bucket(16, o_custkey)"], at=AT[0])
+    return log.read_version(spark, base, equal={"o_custkey": 7}).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 # --- maintenance -----------------------------------------------------------------------
 
 
