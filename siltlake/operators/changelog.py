@@ -264,6 +264,10 @@ def derived(transform: str, size: int, value: Column) -> Column:
     return F.when(value.isNotNull(), F.pmod(F.xxhash64(value), F.lit(size)).cast("int"))
 
 
+def hidden_fields(hidden: Sequence[tuple[str, str, str, int]]) -> list[T.StructField]:
+    return [T.StructField(n, _type(TRANSFORMS[transform][0])) for n, _, transform, _ in hidden]
+
+
 def with_hidden(rows: DataFrame, hidden: Sequence[tuple[str, str, str, int]]) -> DataFrame:
     return rows.withColumns({
         n: derived(transform, size, F.col(f"`{source}`")) for n, source, transform, size in hidden if n not in rows.columns})
@@ -336,8 +340,7 @@ def scan(
         groups.setdefault((c.partition_by, c.version if c.adopted else None, drops(c), c.hidden), []).append(c)
     scans = []
     for (_, adopted, lost, hidden), members in groups.items():
-        places = [T.StructField(n, _type(TRANSFORMS[transform][0])) for n, _, transform, _ in hidden]
-        reader = spark.read.schema(T.StructType([*schema.fields, *places, *LOG_FIELDS]))
+        reader = spark.read.schema(T.StructType([*schema.fields, *hidden_fields(hidden), *LOG_FIELDS]))
         if adopted is None:
             # Directories of one layout are partitions of the log, not roots of their own.
             reader = reader.option("basePath", f"{base}/log")

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from dataclasses import replace
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from siltlake.session import delete_path
 
 
 def expire(spark: SparkSession, base: str, older_than: dt.datetime) -> Commit:
-    """Forget versions made before ``older_than``, but never the current one.
+    """Forget versions made before ``older_than``, but never the current one nor what a cursor still has to read.
 
     The oldest version that stays becomes a base if changes of rows lie before it: its state is
     written to a new directory, and one commit row moves the table over to it. Where only rows
@@ -31,7 +32,8 @@ def expire(spark: SparkSession, base: str, older_than: dt.datetime) -> Commit:
     """
     chain = load(spark, base)
     alive = live(chain)
-    kept = [c for c in alive if c.at >= older_than] or alive[-1:]
+    wanted = _cursors(spark, base)
+    kept = [c for c in alive if c.at >= older_than or c.version >= wanted] or alive[-1:]
     first = kept[0]
     if first is alive[0]:
         return first
@@ -52,6 +54,19 @@ def expire(spark: SparkSession, base: str, older_than: dt.datetime) -> Commit:
     return folded
 
 
+def _cursors(spark: SparkSession, base: str) -> float:
+    """The least version that a cursor of the table stands at."""
+    try:
+        rows = spark.read.schema("low long, high long, done boolean").option("recursiveFileLookup", "true").parquet(f"{base}/cursors")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return math.inf
+        raise
+    # Between two writes a cursor has a row too many; the lesser version is the safe one.
+    least = rows.agg(F.min(F.when(F.col("done"), F.col("high")).otherwise(F.col("low")))).first()[0]
+    return math.inf if least is None else least
+
+
 def _remove_dropped(spark: SparkSession, base: str, chain: Sequence[Commit], first: Commit) -> None:
     """Delete partition directories that lie in ranges which the oldest live version has already lost."""
     read = needed(chain)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltlake.operators import cdc, dml, maintenance, quality
+from siltlake.operators import cdc, dml, feed, maintenance, quality
 from siltlake.operators import changelog as log
 from siltlake.operators.views import MaintainedJoin
 from siltlake.plans import analytics
@@ -586,6 +586,21 @@ def changed_rows_of_added_column(spark, sf):
     )
 
 
+@register(_KEPT)
+def replicated_table(spark, sf):
+    """A replica fed by a cursor, which is started anew for every step; versions are rewritten and expired in between."""
+    base, replica = _parts(spark, sf), scratch(spark, "replica")
+    dml.create_or_replace(log.read_version(spark, base), replica, ["p_partkey"])
+    checkpoint, handle = scratch(spark, "ckpt"), feed.replicate(spark, replica, ["p_partkey"])
+    feed.Cursor(spark, base, "replica").open()
+    steps = (lambda: _raise_economy(spark, base), lambda: maintenance.rewrite(spark, base, at=AT[1]), lambda: _drop_rings(spark, base))
+    for step in steps:
+        step()
+        maintenance.expire(spark, base, AT[8])
+        feed.follow(feed.Cursor(spark, base, "replica"), handle, checkpoint).awaitTermination()
+    return log.read_version(spark, replica)
+
+
 @register("""SELECT 'quantity in range' AS rule, count(*) FILTER (WHERE NOT (l_quantity BETWEEN 1 AND 40)) AS failed_rows
     FROM lineitem
     UNION ALL SELECT 'ship date known', count(*) FILTER (WHERE l_shipdate IS NULL) FROM lineitem

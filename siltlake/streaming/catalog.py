@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from siltlake.operators.changelog import DIRECTORY, LOG_FIELDS, Commit, Drops, drops_after, load, members, resolve
+from siltlake.operators.changelog import DIRECTORY, LOG_FIELDS, Commit, Drops, drops_after, hidden_fields, load, members, resolve
 from siltlake.streaming.config import Config, quoted, target_of
 
 
@@ -43,7 +43,7 @@ def publish(spark: SparkSession, cfg: Config, base: str) -> str:
 
 
 def _create(spark: SparkSession, name: str, head: Commit, location: str) -> None:
-    schema = T.StructType([*head.physical_schema.fields, *LOG_FIELDS]).add(DIRECTORY, "string")
+    schema = T.StructType([*head.physical_schema.fields, *hidden_fields(head.hidden), *LOG_FIELDS]).add(DIRECTORY, "string")
     places = ", ".join(quoted(c) for c in (DIRECTORY, *head.partition_by))
     spark.sql(f"create table {name} ({schema.toDDL()}) using parquet partitioned by ({places}) location {_text(location)}")
 
