@@ -4,8 +4,9 @@ Inputs use the e-commerce column names: customers ``(customer_id, first_name, la
 city, state)``, products ``(product_id, name, category, price)`` and orders ``(order_id,
 customer_id, product_id, quantity, total_amount, status, order_date)``; extra columns are
 pruned. Joins follow a pre-aggregation on the join key wherever the question allows it, so
-a key with many orders is summed up before it is shuffled. Top-k reports are one lazy plan each:
-join, then keep the first rows of every task. Join strategies are left to Spark, which knows the
+a key with many orders is summed up before it is shuffled. Top-k reports are one lazy plan each: a
+subquery over the sort column finds the k-th value, and only rows that reach it meet the wide
+tables. Join strategies are left to Spark, which knows the
 sizes at run time. Ties are broken by further columns to make results definite.
 """
 
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltlake.functions.envelope import full_name, money_avg, money_sum, month_of
@@ -168,6 +169,18 @@ def revenue_by_state(customers: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def _reaches(rows: DataFrame, sort: str, k: int, *keys: tuple[str, DataFrame]) -> Column:
+    """Whether a row's sort value is one of the ``k`` greatest among rows that meet all ``keys``; ties are.
+
+    Only the sort and key columns are read for it. With fewer than ``k`` values every row does.
+    """
+    for key, table in keys:
+        rows = rows.join(table.select(key), key, "left_semi")
+    top = rows.select(sort).orderBy(F.desc(sort)).limit(k)
+    least = top.agg(F.when(F.count(sort) == k, F.min(sort)).alias("least")).scalar()
+    return least.isNull() | (F.col(sort) >= least)
+
+
 def latest_orders(
     customers: DataFrame, products: DataFrame, orders: DataFrame, status: str, k: int = 20, expand: Expand | None = None
 ) -> DataFrame:
@@ -177,9 +190,11 @@ def latest_orders(
     alone does not.
     """
 
+    expand = expand or (lambda rows: rows)
     rows = orders.where(F.col("status") == status)
+    keys = (("customer_id", customers), ("product_id", products))
     return (
-        (expand(rows) if expand else rows)
+        expand(rows.where(_reaches(expand(rows), "order_date", k, *keys)))
         .join(customers, "customer_id").join(products, "product_id")
         .select(
             full_name(F.col("first_name"), F.col("last_name")).alias("customer_name"),
@@ -196,8 +211,10 @@ def largest_orders(
     """The ``k`` largest orders with customer and product names; ``expand`` adds what
     ``orders`` alone does not have."""
 
+    expand = expand or (lambda rows: rows)
+    keys = (("customer_id", customers), ("product_id", products))
     return (
-        (expand(orders) if expand else orders)
+        expand(orders.where(_reaches(expand(orders), "total_amount", k, *keys)))
         .join(customers, "customer_id").join(products, "product_id")
         .select(
             full_name(F.col("first_name"), F.col("last_name")).alias("customer"),

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltlake.functions.envelope import envelope
+from siltlake.operators.profiles import ProfileStore, discover
 from siltlake.operators.quality import describe_tables, row_counts
 from siltlake.plans import analytics as a
 from siltlake.plans import star
 from siltlake.plans.registry import register
+from siltlake.session import scratch
 from siltlake.sinks.parquet import preview
 from siltlake.sources.tables import STAR_TABLES, read_table, register_views
 
@@ -78,6 +80,31 @@ def _profile_sql():
     return " UNION ALL ".join(parts)
 
 
+#: The other given tables, which no view is registered for.
+_OTHER_COLUMNS = {
+    "documents": "doc_id text lang source n_chars", "embeddings": "vec_id embedding label", "pages": "page_id url html",
+    "benchmark": "item_id text", "labels": "doc_id quality toxic", "conversations": "conv_id turn role text",
+}
+
+
+def _discovered_sql():
+    columns = {t: [c.split(" ")[0] for c in cs.split(", ")] for t, cs in _COLUMNS.items()}
+    columns |= {t: cs.split(" ") for t, cs in _OTHER_COLUMNS.items()}
+    return " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", count(*) AS "rows", count(*) - count({c}) AS nulls, true AS close FROM {t}"""
+        for t, cs in columns.items() for c in cs)
+
+
+@register(_discovered_sql())
+def discovered_profiles(spark, sf):
+    """Every table of the folder, found by listing: stored sketches, whose distinct counts are compared with exact ones."""
+    store = ProfileStore(spark, scratch(spark, "profiles"))
+    store.update(sf)
+    exact = describe_tables(spark, sf, discover(spark, sf)).select("table", "column", F.col("distinct").alias("exact"))
+    close = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.lit(1), F.col("exact") * 0.05)
+    return store.profile(sf).join(exact, ["table", "column"]).select("table", "column", "rows", "nulls", close.alias("close"))
+
+
 @register(_profile_sql())
 def table_profiles(spark, sf):
     return describe_tables(spark, sf)

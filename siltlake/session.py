@@ -53,3 +53,10 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.delete(target, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a directory, through the file system that owns it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in fs.listStatus(target)]
