@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,6 +30,8 @@ MAX_TERMS = 5_000
 G2 = 28.0
 NEAREST = 15
 BLOCK = 64
+#: Texts that are searched for together.
+TOGETHER = 64
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -39,24 +40,32 @@ def terms_of(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in (4, 5, 6) if len(word) >= n)]
 
 
-class TermCounter:
-    """Term counts of texts over a fixed vocabulary; words are resolved once."""
+_LETTERS = "".join(chr(c) if chr(c).isalpha() else " " for c in range(128))
+
 
-    LIMIT = 1_000_000
+def words(text: str | None) -> list[str]:
+    """The runs of letters of a text, lower-cased, in order."""
+    text = (text or "").lower()
+    return text.translate(_LETTERS).split() if text.isascii() else WORD.findall(text)
+
+
+class TermCounter:
+    """Term counts of texts over a fixed vocabulary."""
 
     def __init__(self, vocabulary: dict[str, int]):
-        self.vocabulary, self.seen = vocabulary, {}
+        self.words = {t: i for t, i in vocabulary.items() if not t.endswith("*")}
+        self.begun = [{t[:-1]: i for t, i in vocabulary.items() if t.endswith("*") and len(t) == n + 1} for n in (4, 5, 6)]
+        self.heads = {t.rstrip("*")[:4] for t in vocabulary}  # most words begin like no term
 
     def __call__(self, text: str | None) -> dict[int, int]:
         out: dict[int, int] = {}
-        if len(self.seen) > self.LIMIT:
-            self.seen.clear()
-        for word, n in Counter(WORD.findall((text or "").lower())).items():
-            ids = self.seen.get(word)
-            if ids is None:
-                ids = self.seen[word] = tuple(self.vocabulary[t] for t in terms_of(word) if t in self.vocabulary)
-            for i in ids:
-                out[i] = out.get(i, 0) + n
+        heads, whole, (four, five, six) = self.heads, self.words, self.begun
+        for word in words(text):
+            head = word[:4]
+            if head in heads:
+                for i in (whole.get(word), four.get(head), five.get(word[:5]), six.get(word[:6])):
+                    if i is not None:
+                        out[i] = out.get(i, 0) + 1
         return out
 
 
@@ -73,6 +82,9 @@ class Index:
     ids: list = field(default=None)
     postings: dict = field(default=None)
     blocks: int = 0
+    most: np.ndarray = field(default=None)
+    rows: np.ndarray = field(default=None)
+    row_of: dict = field(default=None)
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         ids = np.array(sorted(counts), np.int64)
@@ -101,39 +113,79 @@ class Index:
         for i, (at, w) in raw.items():
             at, w = np.array(at), np.array(w)
             block, head = np.unique(at // BLOCK, return_index=True)
-            self.postings[i] = (block, np.maximum.reduceat(w, head), np.append(head, len(at)), at, w)
+            self.postings[i] = (block, np.maximum.reduceat(w, head), at, w)
         return self
 
     def nearest(self, counts: dict[int, int], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct vectors that hold the ``k`` nearest examples, all at the k-th similarity, and their cosines."""
-        ids, w = self.vector(counts)
-        bound = np.zeros(self.blocks)
-        lists = [(self.postings[int(i)], q) for i, q in zip(ids, w, strict=True) if int(i) in self.postings]
-        for (block, most, _, _, _), q in lists:
-            bound[block] += q * most
-        found, cosine, kth = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < kth - 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for (block, _, head, at, weight), q in lists:
-                s = int(np.searchsorted(block, b))
-                if s < len(block) and block[s] == b:
-                    span = slice(head[s], head[s + 1])
-                    score[at[span] - b * BLOCK] += q * weight[span]
-            hit = np.flatnonzero(score > 0)
-            found, cosine = np.append(found, hit + b * BLOCK), np.append(cosine, score[hit])
-            order = np.lexsort((found, -cosine))
-            found, cosine = found[order], cosine[order]
-            full = int(np.searchsorted(np.cumsum(self.members[found]), k))
-            if full < len(found):
-                kth = cosine[full]
-                keep = cosine >= kth - 1e-12
-                found, cosine = found[keep], cosine[keep]
-        return found, cosine
-
-    def score(self, counts: dict[int, int], k: int) -> tuple[float, list[dict]]:
-        found, cosine = self.nearest(counts, k) if counts and self.blocks else (np.zeros(0, np.int64), np.zeros(0))
+        return self.search([counts], k)[0]
+
+    def spread(self) -> None:
+        """Lay the index out for products: the greatest weight per term and block, and long lists as rows. Not sent with it."""
+        if self.most is None:
+            n = len(self.members)
+            self.most = np.zeros((len(self.idf), self.blocks))
+            for i, (block, most, _, _) in self.postings.items():
+                self.most[i, block] = most
+            long = [i for i, (_, _, at, _) in self.postings.items() if len(at) > n // 8]
+            self.row_of, self.rows = {i: r for r, i in enumerate(long)}, np.zeros((len(long), n))
+            for r, i in enumerate(long):
+                self.rows[r, self.postings[i][2]] = self.postings[i][3]
+
+    def search(self, batch: list[dict[int, int]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` for several texts at once.
+
+        The blocks are taken in two parts, the one that promises more to the batch first. A text
+        leaves the second part out unless the upper bound of some block there reaches its k-th similarity.
+        """
+        self.spread()
+        vectors = [self.vector(counts) for counts in batch]
+        asked = np.zeros((len(batch), len(self.idf)))
+        for j, (ids, w) in enumerate(vectors):
+            asked[j, ids] = w
+        bound = asked @ self.most
+        weights = asked[:, list(self.row_of)]
+        short = [
+            [(self.postings[int(i)], q) for i, q in zip(ids, w, strict=True) if int(i) in self.postings and int(i) not in self.row_of]
+            for ids, w in vectors]
+        cosine, half = np.zeros((len(batch), len(self.members))), self.blocks // 2
+        parts = [(0, half), (half, self.blocks)]
+        kth = np.zeros(len(batch))
+        for low, high in sorted(parts, key=lambda p: -bound[:, p[0]:p[1]].sum()):
+            best = bound[:, low:high].max(axis=1, initial=0.0)
+            need = np.flatnonzero((best > 0) & (best >= kth - 1e-12))
+            first, last = low * BLOCK, min(high * BLOCK, len(self.members))
+            if not len(need) or first >= last:
+                continue
+            scored = weights[need] @ self.rows[:, first:last]
+            for j, own in zip(need, scored):
+                for (_, _, at, weight), q in short[j]:
+                    a, b = np.searchsorted(at, (first, last))
+                    own[at[a:b] - first] += q * weight[a:b]
+                cosine[j, first:last] = own
+                kth[j] = self._kth(cosine[j], k)
+        out = []
+        for row, least in zip(cosine, kth):
+            found = np.flatnonzero((row > 0) & (row >= least - 1e-12))
+            found = found[np.lexsort((found, -row[found]))]
+            out.append((found, row[found]))
+        return out
+
+    def _kth(self, cosine: np.ndarray, k: int) -> float:
+        """The similarity of the k-th example; 0 if there are fewer. It is held by one of the k nearest vectors."""
+        n = len(cosine)
+        top = np.argpartition(cosine, n - k)[n - k:] if k < n else np.arange(n)
+        top = top[np.argsort(-cosine[top], kind="stable")]
+        at = int(np.searchsorted(np.cumsum(self.members[top]), k))
+        return float(cosine[top[at]]) if at < len(top) else 0.0
+
+    def scores(self, batch: list[dict[int, int]], k: int) -> list[tuple[float, list[dict]]]:
+        """Score and evidence of each text."""
+        if not self.blocks:
+            return [self._voted(np.zeros(0, np.int64), np.zeros(0), k) for _ in batch]
+        return [self._voted(found, cosine, k) for found, cosine in self.search(batch, k)]
+
+    def _voted(self, found: np.ndarray, cosine: np.ndarray, k: int) -> tuple[float, list[dict]]:
         # Examples beyond the k-th stand in for each other: the group at the boundary counts in part.
         share = np.minimum(1.0, k / max(1, int(self.members[found].sum()))) if len(found) else 1.0
         yes, all_ = float((cosine * self.votes[found]).sum() * share), float((cosine * self.weight[found]).sum() * share)
@@ -176,7 +228,7 @@ def fit(
         for batch in batches:
             for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 size[y] += 1
-                for term in {x for w in set(WORD.findall((t or "").lower())) for x in terms_of(w)}:
+                for term in {x for w in set(words(t)) for x in terms_of(w)}:
                     seen.setdefault(term, [0, 0])[y] += 1
         seen[""] = size  # the number of rows
         yield pa.RecordBatch.from_arrays([
@@ -248,17 +300,15 @@ def score(docs: DataFrame, index: Index, text: str = "text", k: int = NEAREST) -
 
     def vote(batches):
         known = shared.value
-        counts, seen = TermCounter(known.vocabulary), {}
+        counts = TermCounter(known.vocabulary)
         for batch in batches:
             out = []
-            for value in batch.column(batch.num_columns - 1):
-                own = counts(value.as_py())
-                key = tuple(sorted(own.items()))
-                if key not in seen:
-                    if len(seen) > 50_000:
-                        seen.clear()
-                    seen[key] = known.score(own, k)
-                out.append(seen[key])
+            for low in range(0, batch.num_rows, TOGETHER):
+                texts = batch.column(batch.num_columns - 1).slice(low, TOGETHER).to_pylist()
+                keys = [tuple(sorted(counts(t).items())) for t in texts]
+                new = list(dict.fromkeys(keys))  # copies are searched for once
+                voted = dict(zip(new, known.scores([dict(key) for key in new], k), strict=True))
+                out += [voted[key] for key in keys]
             yield pa.RecordBatch.from_arrays([
                 *batch.columns[:-1], pa.array([s for s, _ in out], pa.float64()), pa.array([e for _, e in out], kind)],
                 names=schema.names)
