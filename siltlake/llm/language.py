@@ -77,21 +77,42 @@ class Vectors:
 
     def __init__(self, dim: int, seed: int):
         self.dim, self.seed = dim, seed
-        self.letters: dict[int, np.ndarray] = {}
+        self.letters: dict[int, int] = {}
+        self.placed = np.zeros((3, 0, dim), np.float32)  # every letter's vector at each place of a trigram
+        self.rows = np.zeros((0, dim), np.float32)
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.rows = np.zeros(0, np.int64), np.zeros((0, self.dim), np.float32)
+        self.keys, self.at = np.zeros(0, np.int64), np.zeros(0, np.int64)  # ascending trigrams and their rows
 
     def _letter(self, code: int) -> np.ndarray:
-        if code not in self.letters:
-            draw = np.random.Generator(np.random.Philox(key=[self.seed, code]))
-            self.letters[code] = (draw.integers(0, 2, self.dim) * 2 - 1).astype(np.float32)
-        return self.letters[code]
-
-    def _bind(self, gram: int) -> np.ndarray:
-        a, b, c = gram >> 42, (gram >> 21) & 0x1FFFFF, gram & 0x1FFFFF
-        return np.roll(self._letter(a), 2) * np.roll(self._letter(b), 1) * self._letter(c)
+        draw = np.random.Generator(np.random.Philox(key=[self.seed, code]))
+        return (draw.integers(0, 2, self.dim) * 2 - 1).astype(np.float32)
+
+    def _bind(self, grams: np.ndarray) -> np.ndarray:
+        codes = [grams >> 42, (grams >> 21) & 0x1FFFFF, grams & 0x1FFFFF]
+        new = [int(c) for c in np.unique(np.concatenate(codes)) if int(c) not in self.letters]
+        if new:
+            self.letters |= {c: len(self.letters) + i for i, c in enumerate(new)}
+            drawn = np.stack([self._letter(c) for c in new])
+            self.placed = np.concatenate([self.placed, np.stack([np.roll(drawn, k, axis=1) for k in (2, 1, 0)])], axis=1)
+        first, second, third = (self.placed[k][[self.letters[int(c)] for c in codes[k]]] for k in range(3))
+        return first * second * third
+
+    def _known(self, grams: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(grams), bool)
+        return self.keys[np.minimum(np.searchsorted(self.keys, grams), len(self.keys) - 1)] == grams
+
+    def _learn(self, new: np.ndarray) -> None:
+        low, high = len(self.keys), len(self.keys) + len(new)
+        if high > len(self.rows):
+            more = np.zeros((max(high, min(self.LIMIT, 2 * len(self.rows))) - len(self.rows), self.dim), np.float32)
+            self.rows = np.concatenate([self.rows, more])
+        self.rows[low:high] = self._bind(new)
+        keys, at = np.append(self.keys, new), np.append(self.at, np.arange(low, high))
+        order = np.argsort(keys)
+        self.keys, self.at = keys[order], at[order]
 
     def bundle(self, grams: np.ndarray) -> np.ndarray:
         """The sum of the vectors of ascending ``grams``."""
@@ -103,19 +124,24 @@ class Vectors:
         total = np.zeros(self.dim, np.float32)
         for low in range(0, len(distinct), self.LIMIT):
             part = distinct[low:low + self.LIMIT]
-            new = part[~np.isin(part, self.keys, assume_unique=True)]
+            new = part[~self._known(part)]
             if len(new):
                 if len(self.keys) + len(new) > self.LIMIT:
                     self.clear()
                     new = part
-                keys = np.concatenate([self.keys, new])
-                rows = np.concatenate([self.rows, np.stack([self._bind(int(g)) for g in new])])
-                order = np.argsort(keys)
-                self.keys, self.rows = keys[order], rows[order]
-            total += counts[low:low + self.LIMIT] @ self.rows[np.searchsorted(self.keys, part)]
+                self._learn(new)
+            total += counts[low:low + self.LIMIT] @ self.rows[self.at[np.searchsorted(self.keys, part)]]
         return total
 
 
+_vectors: dict[tuple[int, int], Vectors] = {}
+
+
+def vectors_of(dim: int, seed: int) -> Vectors:
+    """The vectors of this process, which its tasks share one after the other."""
+    return _vectors.setdefault((dim, seed), Vectors(dim, seed))
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -145,7 +171,7 @@ def fit(
     chosen = rows.where(draw < share[F.col("lang")])
 
     def bundle(batches):
-        vectors, sums = Vectors(dim, seed), {}
+        vectors, sums = vectors_of(dim, seed), {}
         for batch in batches:
             names = batch.column(1).to_pylist()
             by: dict[str, list[np.ndarray]] = {}
@@ -183,7 +209,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def classify(batches):
         known = shared.value
-        vectors = Vectors(known.dim, known.seed)
+        vectors = vectors_of(known.dim, known.seed)
         for batch in batches:
             names, scores = [], []
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
