@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltlake.functions.envelope import envelope
+from siltlake.functions.sizing import settled
 from siltlake.operators.profiles import ProfileStore, discover
 from siltlake.operators.quality import describe_tables, row_counts
 from siltlake.plans import analytics as a
@@ -100,7 +104,9 @@ def discovered_profiles(spark, sf):
     """Every table of the folder, found by listing: stored sketches, whose distinct counts are compared with exact ones."""
     store = ProfileStore(spark, scratch(spark, "profiles"))
     store.update(sf)
-    exact = describe_tables(spark, sf, discover(spark, sf)).select("table", "column", F.col("distinct").alias("exact"))
+    # Table by table: one plan that groups every column of all tables is more than a small driver holds.
+    parts = [settled(describe_tables(spark, sf, [t]).select("table", "column", F.col("distinct").alias("exact"))) for t in discover(spark, sf)]
+    exact = reduce(DataFrame.unionByName, parts)
     close = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.lit(1), F.col("exact") * 0.05)
     return store.profile(sf).join(exact, ["table", "column"]).select("table", "column", "rows", "nulls", close.alias("close"))
 
