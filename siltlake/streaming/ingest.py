@@ -178,8 +178,10 @@ class TopicWriter:
         fan_out(batch, cfgs, off).write.mode("overwrite").partitionBy("_to").parquet(self.staging)
         routed = self.spark.read.schema(schema_of_routed(cfgs)).parquet(self.staging)
         present = {r["_to"] for r in routed.select("_to").distinct().collect()}  # the log types of one topic
+        # An earlier attempt at this batch may have parked a config's messages, which are then redelivered.
+        aside = load(self.spark, self.path(PARKED))
         for cfg in cfgs:
-            if destination(cfg) in present and not self._set_aside(cfg, writer, number):
+            if destination(cfg) in present and not committed(aside, self._own(cfg, writer), number):
                 self._append(cfg, rows_of(routed, cfg, cfgs), batch, writer, number, only is not None)
         if DEAD_LETTERS in present:
             letters = routed.where(F.col("_to") == DEAD_LETTERS).select("value", "reason", F.lit(self.topic).alias("topic"))
@@ -209,10 +211,6 @@ class TopicWriter:
     def _own(self, cfg: Config, writer: str) -> str:
         return f"{writer}:{cfg['log_type']}"
 
-    def _set_aside(self, cfg: Config, writer: str, number: int) -> bool:
-        """Whether an earlier attempt at this batch has parked the config's messages, which are then redelivered."""
-        return committed(load(self.spark, self.path(PARKED)), self._own(cfg, writer), number) is not None
-
     def redeliver(self, cfg: Config) -> None:
         """Bring in messages of the config's type that wait: parked ones and dead letters of an unknown type.
 
@@ -224,6 +222,8 @@ class TopicWriter:
         ):
             place = self.path(kind)
             chain = load(self.spark, place)
+            if not any(c.data for c in chain):
+                continue
             waiting = state_rows(self.spark, place, chain, resolve(chain)).where(F.col(column) == value)
             newest = waiting.agg(F.max(VERSION)).first()[0]
             if newest is not None:
