@@ -3,16 +3,19 @@
 Members of a bucket are not paired with each other. Every bucket names a leader, the member that
 meets most others in all its buckets, and only pairs of a member with a leader are verified.
 Members take the label of the greatest leader they are linked to, and a bucket whose members all
-have one label is finished; else its leader, whose pairs there are all tested, leaves it. Later
-rounds deal the labels of a bucket to ``SLOTS`` slots, each with a leader of its own. When the
-pairs left between different labels are no more than a few per member, or after ``ROUNDS``, they
-are all verified. So no pair that shares a bucket stays untested unless its members are already
-in one class, and a group of copies costs its size, not its square.
+have one label is finished; else its leader, whose pairs there are all tested, leaves it. In the
+next round every member of a bucket of at most ``SLOTS`` leads; in a larger one the labels are
+dealt to ``SLOTS`` slots, each with a leader of its own.
+
+What is left in larger buckets is bounded before it is paired (``reach``): two texts of different
+labels share no more than the shingles that each has in common with any text of another label.
+Texts that cannot be alike to any other by that leave, and of the others only pairs are made that
+their bounds allow, in the least of the buckets both are in. The bound is exact: a pair that shares
+a bucket stays untested only if it is in one class or cannot be similar enough.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from contextlib import contextmanager
 
 import numpy as np
@@ -23,11 +26,12 @@ from pyspark.sql import functions as F
 from siltlake.llm.common import Saved
 from siltlake.llm.text import counted, mix64, shingles_of, words_of
 
-ROUNDS = 2
-#: Pairs per member that are few enough to verify at once.
-FEW = 32
-#: Leaders of a bucket in later rounds.
+#: Leaders of a bucket in the second round.
 SLOTS = 8
+#: Times that texts are bounded; each time by those that the time before left.
+BOUNDS = 2
+#: Against rounding, where whole counts are compared with a product.
+SLACK = 1e-6
 #: Rows of texts handed to Python at a time; pairs of long texts would fill its memory.
 PAIR_BATCH = 500
 
@@ -119,14 +123,54 @@ def labelled(found: DataFrame, name: str) -> Saved:
     return two
 
 
+def reach(rows: DataFrame, texts: DataFrame, weighted: bool, least: float, size: int, name: str) -> Saved:
+    """``(id, weight, common)`` of those of ``rows(id, class)``, ids once, that may be alike to one of another class.
+
+    ``weight`` counts the shingles of a text and ``common`` those of them that a text of another
+    class has as well, which is the most that two texts of different classes can share.
+    """
+    spark = texts.sparkSession
+
+    def split(batches):
+        for batch in batches:
+            counts = shingle_counts(batch.column(2), size)
+            if counts:
+                each = pa.array(np.repeat(np.arange(len(counts)), [len(items) for items, _ in counts]))
+                n = np.concatenate([times if weighted else np.ones_like(times) for _, times in counts])
+                items = np.concatenate([items for items, _ in counts])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(each), batch.column(1).take(each), pa.array(items.view(np.int64)), pa.array(n.astype(np.int64))],
+                    names=["id", "class", "shingle", "n"])
+
+    with batches_of(spark, PAIR_BATCH):
+        pieces = Saved(rows.join(texts, "id").select("id", "class", "text").mapInArrow(split, "id long, class long, shingle long, n long"), name)
+    out: Saved | None = None
+    for _ in range(BOUNDS):
+        live = pieces.df if out is None else pieces.df.join(out.df.select("id"), "id", "left_semi")
+        # Written before it is joined: Spark can then split a shingle that many texts have.
+        shared = Saved(live.groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select(
+            "shingle", F.lit(True).alias("met")), name)
+        nxt = Saved(
+            live.join(shared.df, "shingle", "left").groupBy("id")
+            .agg(F.sum("n").alias("weight"), F.sum(F.when(F.col("met"), F.col("n")).otherwise(0)).alias("common"))
+            .where(F.col("common") >= least * F.col("weight") - SLACK), name)
+        shared.drop()
+        if out is not None:
+            out.drop()
+        out = nxt
+    pieces.drop()
+    return out
+
+
 def links(
-    buckets: Saved, sketches: DataFrame, texts: DataFrame, similarity: Callable[[Counts, Counts], float] = jaccard, least: float = 0.8, size: int = 5,
-    name: str = "near",
+    buckets: Saved, sketches: DataFrame, texts: DataFrame, weighted: bool = False, least: float = 0.8, size: int = 5, name: str = "near",
 ) -> DataFrame:
     """``(a, b)`` verified links whose components are those of all pairs that share a bucket and are
     at least ``least`` alike. ``sketches(id, sketch)`` and ``texts(id, text)`` hold every id of
-    ``buckets`` once. Pairs whose sketches share too few coordinates are not read any further."""
+    ``buckets`` once. Shingles count as often as they occur if ``weighted``, else once. Pairs whose
+    sketches share too few coordinates are not read any further."""
     spark = texts.sparkSession
+    similarity = weighted_jaccard if weighted else jaccard
 
     def each_once(ids: pa.Array, column: pa.Array) -> list[Counts]:
         _, first, back = np.unique(ids.to_numpy(), return_index=True, return_inverse=True)
@@ -160,43 +204,56 @@ def links(
     degree = Saved(buckets.df.groupBy("id").agg(F.sum("others").alias("degree")).join(sketches.select("id", "sketch"), "id"), name)
     rows = Saved(buckets.df.select("bucket", "id").join(degree.df, "id"), name)
     degree.drop()
-    found: DataFrame | None = None
-    labels: Saved | None = None
-    for turn in range(ROUNDS + 1):
-        at = rows.df.withColumn("class", F.col("id"))
-        if labels is not None:
-            at = rows.df.join(labels.df.select(F.col("node").alias("id"), "label"), "id", "left").select(
-                "bucket", "id", "degree", "sketch", F.coalesce("label", "id").alias("class"))
-            open_ = at.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("bucket")
-            left = Saved(at.join(open_, "bucket", "left_semi"), name)
-            per = left.df.groupBy("bucket", "class").agg(F.count("*").alias("n"))
-            per = per.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-            total = per.agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")).first()
-            rows.drop()
-            labels.drop()
-            rows, at = left, left.df
-            if not total["n"]:
-                break
-            if total["pairs"] <= FEW * total["n"] or turn == ROUNDS:
-                x = at.select("bucket", F.col("id").alias("a"), F.col("class").alias("ca"), F.col("sketch").alias("sa"))
-                y = at.select("bucket", F.col("id").alias("b"), F.struct("degree", "id").alias("head"), F.col("class").alias("cb"), F.col("sketch").alias("sb"))
-                pairs = x.join(y, "bucket").where("ca != cb and a < b").select("a", "b", "head", "sa", "sb")
-                found = found.union(verified(pairs))
-                break
-        slot = F.pmod(F.xxhash64("class"), F.lit(SLOTS if turn else 1)).alias("slot")
-        led = at.groupBy("bucket", slot).agg(
-            F.max(F.struct("degree", "id")).alias("head"), *[F.max_by(c, F.struct("degree", "id")).alias(f"head_{c}") for c in ("class", "sketch")])
-        led = Saved(led.drop("slot"), name)
-        pairs = (
-            at.join(led.df, "bucket").where("class != head_class")
-            .select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b"), "head", "sketch", "head_sketch")
-        )
-        new = verified(pairs)
-        found = new if found is None else found.union(new)
-        rest = Saved(at.drop("class").join(led.df.select("bucket", F.col("head.id").alias("id")), ["bucket", "id"], "left_anti"), name)
+    # First round: one leader per bucket.
+    first = F.max(F.struct("degree", "id")).alias("head")
+    led = Saved(rows.df.groupBy("bucket").agg(first, F.max_by("sketch", F.struct("degree", "id")).alias("head_sketch")), name)
+    found = verified(rows.df.join(led.df, "bucket").where("id != head.id").select(
+        F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b"), "head", "sketch", "head_sketch"))
+    rest = Saved(rows.df.join(led.df.select("bucket", F.col("head.id").alias("id")), ["bucket", "id"], "left_anti"), name)
+    rows.drop()
+    led.drop()
+    labels = labelled(found, name)
+
+    def still_open(rows: Saved, labels: Saved) -> Saved:
+        """Rows of buckets that hold several classes, with ``class`` and the bucket's size ``n``."""
+        at = rows.df.join(labels.df.select(F.col("node").alias("id"), "label"), "id", "left").select(
+            "bucket", "id", "degree", "sketch", F.coalesce("label", "id").alias("class"))
+        several = at.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("bucket", "n")
+        out = Saved(at.join(several, "bucket"), name)
         rows.drop()
-        led.drop()
-        rows = rest
-        labels = labelled(found, name)
+        labels.drop()
+        return out
+
+    # Second round: all members of small buckets lead, in large ones one per slot.
+    rows = still_open(rest, labels)
+    slot = F.pmod(F.xxhash64("class"), F.lit(SLOTS)).alias("slot")
+    large = rows.df.where(F.col("n") > SLOTS)
+    led = large.groupBy("bucket", slot).agg(first, *[F.max_by(c, F.struct("degree", "id")).alias(f"head_{c}") for c in ("class", "sketch")]).drop("slot")
+    led = Saved(led.union(rows.df.where(F.col("n") <= SLOTS).select(
+        "bucket", F.struct("degree", "id").alias("head"), F.col("class").alias("head_class"), F.col("sketch").alias("head_sketch"))), name)
+    found = found.union(verified(
+        rows.df.join(led.df, "bucket").where(f"class != head_class and (n > {SLOTS} or id < head.id)")
+        .select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b"), "head", "sketch", "head_sketch")))
+    rest = Saved(large.drop("class", "n").join(led.df.select("bucket", F.col("head.id").alias("id")), ["bucket", "id"], "left_anti"), name)
+    rows.drop()
+    led.drop()
+    # What is left: pairs of different classes that may share enough, each in one bucket.
+    rows = still_open(rest, labelled(found, name))
+    bounds = reach(rows.df.groupBy("id").agg(F.first("class").alias("class")), texts, weighted, least, size, name)
+    own = Saved(
+        rows.df.join(bounds.df, "id").groupBy("id").agg(
+            F.collect_set("bucket").alias("buckets"), *[F.first(c).alias(c) for c in ("degree", "sketch", "class", "weight", "common")]), name)
+    bounds.drop()
     rows.drop()
+    at = Saved(own.df.select(F.explode("buckets").alias("bucket"), "*"), name)
+    own.drop()
+    x = at.df.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("id", "class", "sketch", "weight", "common", "buckets")])
+    y = at.df.select("bucket", "degree", *[F.col(c).alias(f"{c}_b") for c in ("id", "class", "sketch", "weight", "common", "buckets")])
+    may = (1 + least) * F.least("common_a", "common_b") >= least * (F.col("weight_a") + F.col("weight_b")) - SLACK
+    pairs = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("id_a") < F.col("id_b")) & (F.col("class_a") != F.col("class_b")) & may & (
+        F.array_min(F.array_intersect("buckets_a", "buckets_b")) == x["bucket"]))
+    found = found.union(verified(pairs.select(
+        F.col("id_a").alias("a"), F.col("id_b").alias("b"), F.struct("degree", F.col("id_b").alias("id")).alias("head"),
+        F.col("sketch_a").alias("sa"), F.col("sketch_b").alias("sb"))))
+    at.drop()
     return found.select("a", "b")

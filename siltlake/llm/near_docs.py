@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltlake.llm.common import Saved, components, saved, unused
-from siltlake.llm.near import bands_of, links, members, sketch_of, weighted_jaccard
+from siltlake.llm.near import bands_of, links, members, sketch_of
 from siltlake.llm.text import counted, mix64, shingles_of, words_of
 
 #: 16 bands of 4 coordinates find a pair of similarity 0.8 with probability 0.9998.
@@ -130,7 +130,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     texts = Saved(
         ids.join(wanted, (F.col("id") == F.col("wid")) & F.col("doc_id").eqNullSafe(F.col("first")))
         .select("id", "text").groupBy("id").agg(F.first("text").alias("text")), "darts")
-    comp = saved(components(links(buckets, sigs.df, texts.df, weighted_jaccard, similar, SHINGLE, "darts"), "darts"), "darts")
+    comp = saved(components(links(buckets, sigs.df, texts.df, True, similar, SHINGLE, "darts"), "darts"), "darts")
     for done in (sigs, texts, buckets):
         done.drop()
     sized = ids.groupBy("id").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))

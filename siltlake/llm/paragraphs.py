@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from siltlake.llm.common import Saved, components, saved
-from siltlake.llm.near import bands_of, jaccard, links, members, sketch_of
+from siltlake.llm.near import bands_of, links, members, sketch_of
 from siltlake.llm.text import Words, mix64, shingles_of, words_of
 
 #: 10 bands of 3 minima find a pair of similarity 0.8 with probability 0.9992, of 0.9 with 1 - 5e-6.
@@ -141,7 +141,7 @@ def _line_classes(docs: DataFrame, pieces: DataFrame, similar: float) -> DataFra
         .select("text", F.explode("wanted").alias("w"))
         .select(F.col("w.id").alias("id"), F.substring("text", F.col("w.start") + 1, F.col("w.end") - F.col("w.start")).alias("text"))
         .groupBy("id").agg(F.first("text").alias("text")), "paragraphs")
-    found = saved(components(links(buckets, sigs.df, texts.df, jaccard, similar, SHINGLE, "paragraphs"), "paragraphs"), "paragraphs")
+    found = saved(components(links(buckets, sigs.df, texts.df, False, similar, SHINGLE, "paragraphs"), "paragraphs"), "paragraphs")
     for done in (sigs, buckets, wanted, per_doc, texts):
         done.drop()
     return found
