@@ -5,12 +5,12 @@ meets most others in all its buckets, and only pairs of a member with a leader a
 Members take the label of the greatest leader they are linked to, and a bucket whose members all
 have one label is finished; else its leader, whose pairs there are all tested, leaves it. In the
 next round every member of a bucket of at most ``SLOTS`` leads; in a larger one the labels are
-dealt to ``SLOTS`` slots, each with a leader of its own.
+dealt to ``SLOTS`` slots, each with a leader of its own. What is left then is paired.
 
-What is left in larger buckets is bounded before it is paired (``reach``): two texts of different
-labels share no more than the shingles that each has in common with any text of another label.
-Texts that cannot be alike to any other by that leave, and of the others only pairs are made that
-their bounds allow, in the least of the buckets both are in. The bound is exact: a pair that shares
+From the second round on, members of larger buckets are bounded before they are paired
+(``reach``): two texts of different labels share no more than the shingles that each has in common
+with any text of another label. Texts that cannot be alike to any other by that leave, and of the
+others only pairs are made that their bounds allow; at last in the least of the buckets both are in. The bound is exact: a pair that shares
 a bucket stays untested only if it is in one class or cannot be similar enough.
 """
 
@@ -20,7 +20,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltlake.llm.common import Saved
@@ -28,8 +28,6 @@ from siltlake.llm.text import counted, mix64, shingles_of, words_of
 
 #: Leaders of a bucket in the second round.
 SLOTS = 8
-#: Times that texts are bounded; each time by those that the time before left.
-BOUNDS = 2
 #: Against rounding, where whole counts are compared with a product.
 SLACK = 1e-6
 #: Rows of texts handed to Python at a time; pairs of long texts would fill its memory.
@@ -144,20 +142,14 @@ def reach(rows: DataFrame, texts: DataFrame, weighted: bool, least: float, size:
 
     with batches_of(spark, PAIR_BATCH):
         pieces = Saved(rows.join(texts, "id").select("id", "class", "text").mapInArrow(split, "id long, class long, shingle long, n long"), name)
-    out: Saved | None = None
-    for _ in range(BOUNDS):
-        live = pieces.df if out is None else pieces.df.join(out.df.select("id"), "id", "left_semi")
-        # Written before it is joined: Spark can then split a shingle that many texts have.
-        shared = Saved(live.groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select(
-            "shingle", F.lit(True).alias("met")), name)
-        nxt = Saved(
-            live.join(shared.df, "shingle", "left").groupBy("id")
-            .agg(F.sum("n").alias("weight"), F.sum(F.when(F.col("met"), F.col("n")).otherwise(0)).alias("common"))
-            .where(F.col("common") >= least * F.col("weight") - SLACK), name)
-        shared.drop()
-        if out is not None:
-            out.drop()
-        out = nxt
+    # Written before it is joined: Spark can then split a shingle that many texts have.
+    shared = Saved(pieces.df.groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select(
+        "shingle", F.lit(True).alias("met")), name)
+    out = Saved(
+        pieces.df.join(shared.df, "shingle", "left").groupBy("id")
+        .agg(F.sum("n").alias("weight"), F.sum(F.when(F.col("met"), F.col("n")).otherwise(0)).alias("common"))
+        .where(F.col("common") >= least * F.col("weight") - SLACK), name)
+    shared.drop()
     pieces.drop()
     return out
 
@@ -224,19 +216,32 @@ def links(
         labels.drop()
         return out
 
+    def may(one: str, other: str) -> Column:
+        """Whether the bounds of two texts allow them to be alike."""
+        return (1 + least) * F.least(one.format("common"), other.format("common")) >= least * (
+            F.col(one.format("weight")) + F.col(other.format("weight"))) - SLACK
+
     # Second round: all members of small buckets lead, in large ones one per slot.
     rows = still_open(rest, labels)
-    slot = F.pmod(F.xxhash64("class"), F.lit(SLOTS)).alias("slot")
     large = rows.df.where(F.col("n") > SLOTS)
-    led = large.groupBy("bucket", slot).agg(first, *[F.max_by(c, F.struct("degree", "id")).alias(f"head_{c}") for c in ("class", "sketch")]).drop("slot")
-    led = Saved(led.union(rows.df.where(F.col("n") <= SLOTS).select(
-        "bucket", F.struct("degree", "id").alias("head"), F.col("class").alias("head_class"), F.col("sketch").alias("head_sketch"))), name)
-    found = found.union(verified(
-        rows.df.join(led.df, "bucket").where(f"class != head_class and (n > {SLOTS} or id < head.id)")
-        .select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b"), "head", "sketch", "head_sketch")))
-    rest = Saved(large.drop("class", "n").join(led.df.select("bucket", F.col("head.id").alias("id")), ["bucket", "id"], "left_anti"), name)
-    rows.drop()
-    led.drop()
+    bounds = reach(large.groupBy("id").agg(F.first("class").alias("class")), texts, weighted, least, size, name)
+    large = Saved(large.join(bounds.df, "id"), name)
+    bounds.drop()
+    slot = F.pmod(F.xxhash64("class"), F.lit(SLOTS)).alias("slot")
+    led = Saved(large.df.groupBy("bucket", slot).agg(
+        first, *[F.max_by(c, F.struct("degree", "id")).alias(f"head_{c}") for c in ("class", "sketch", "weight", "common")]).drop("slot"), name)
+    small = rows.df.where(F.col("n") <= SLOTS)
+    heads = small.select(
+        "bucket", F.struct("degree", "id").alias("head"), F.col("class").alias("head_class"), F.col("sketch").alias("head_sketch"))
+    met = large.df.join(led.df, "bucket").where("class != head_class").where(may("{}", "head_{}"))
+    met = met.select("id", "head", "sketch", "head_sketch").union(
+        small.join(heads, "bucket").where("class != head_class and id < head.id").select("id", "head", "sketch", "head_sketch"))
+    found = found.union(verified(met.select(
+        F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b"), "head", "sketch", "head_sketch")))
+    rest = Saved(large.df.select("bucket", "id", "degree", "sketch").join(
+        led.df.select("bucket", F.col("head.id").alias("id")), ["bucket", "id"], "left_anti"), name)
+    for done in (rows, large, led):
+        done.drop()
     # What is left: pairs of different classes that may share enough, each in one bucket.
     rows = still_open(rest, labelled(found, name))
     bounds = reach(rows.df.groupBy("id").agg(F.first("class").alias("class")), texts, weighted, least, size, name)
@@ -249,8 +254,7 @@ def links(
     own.drop()
     x = at.df.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("id", "class", "sketch", "weight", "common", "buckets")])
     y = at.df.select("bucket", "degree", *[F.col(c).alias(f"{c}_b") for c in ("id", "class", "sketch", "weight", "common", "buckets")])
-    may = (1 + least) * F.least("common_a", "common_b") >= least * (F.col("weight_a") + F.col("weight_b")) - SLACK
-    pairs = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("id_a") < F.col("id_b")) & (F.col("class_a") != F.col("class_b")) & may & (
+    pairs = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("id_a") < F.col("id_b")) & (F.col("class_a") != F.col("class_b")) & may("{}_a", "{}_b") & (
         F.array_min(F.array_intersect("buckets_a", "buckets_b")) == x["bucket"]))
     found = found.union(verified(pairs.select(
         F.col("id_a").alias("a"), F.col("id_b").alias("b"), F.struct("degree", F.col("id_b").alias("id")).alias("head"),
