@@ -136,6 +136,21 @@ def test_neighbours_brute(spark):
     assert hits >= 0.9 * 20 * len(got)
 
 
+def test_neighbours_of_unequal_lengths(spark):
+    g = np.random.default_rng(3)
+    plain, spread = g.normal(size=(3000, 3)), g.normal(size=(3000, 8)) * np.exp(g.normal(size=(3000, 1)))
+    plain[-1] = 1e5  # one long vector makes all others look equally far
+    for v in (plain, spread):
+        rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+        got = {}
+        for r in neighbours.nearest(rows, F.col("vec_id") % 20 == 0).collect():
+            got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        for q in range(0, len(v), 20):
+            s = v @ v[q]
+            s[q] = -np.inf
+            assert got[q] == set(np.argsort(-s)[:20].tolist())
+
+
 def test_neighbours_odd(spark):
     rows = [(0, [1.0, 0.0], "a"), (1, [1.0, 0.0], "a"), (2, [0.5, 1.0], "a"), (3, [0.0, 0.0], "a"), (4, None, "a"), (5, [1.0, None], "a"),
             (6, [float("nan"), 1.0], "a"), (None, [1.0, 1.0], "a"), (1, [1.0, 0.0], "a"), (7, [float("inf"), 1.0], "a"), (8, [1.0], "a"), (9, [], "a")]
