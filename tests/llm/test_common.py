@@ -1,10 +1,11 @@
-"""Components against union-find, on chains, stars and shared neighbours."""
+"""Components against union-find, on chains, stars and shared neighbours; the bitmap before joins."""
 
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from siltlake.llm.common import components
+from siltlake.llm.common import components, may_be_in
 
 
 def brute(links):
@@ -33,3 +34,14 @@ def test_components(spark, links):
 
 def test_components_ignore_loops_and_nulls(spark):
     assert components(spark.createDataFrame([(1, 1), (None, 2), (5, 4), (4, 5)], "a long, b long")).count() == 2
+
+
+@pytest.mark.parametrize("most", [1 << 28, 1 << 15])
+def test_bitmap_misses_nothing(spark, most):
+    rows = spark.range(40_000).select("id", F.xxhash64("id").alias("h"), F.lit(1).alias("flag_chunk"))
+    wanted = rows.where("id % 8 = 0").select("h")
+    got = may_be_in(rows, F.col("h"), wanted, "flag", most)
+    assert got.columns == [*rows.columns, "flag"]
+    right, other = got.agg(F.count_if((F.col("id") % 8 == 0) & F.col("flag")), F.count_if((F.col("id") % 8 != 0) & F.col("flag"))).first()
+    assert right == 5000 and other < 35_000 * (0.09 if most > 1 << 15 else 0.2)
+    assert may_be_in(rows, F.col("h"), wanted.limit(0), "flag").where("flag").count() == 0

@@ -79,3 +79,30 @@ def test_bounds_lose_no_link(spark, weighted):
     assert same.df.count() == 0
     none = near.reach(rows.select("id", "class").limit(0), rows.select("id", "text"), weighted, 0.8, 5, "bound")
     assert none.df.count() == 0
+
+
+def shuffled(plan):
+    """Bytes that the exchanges of an executed plan held."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return shuffled(plan.executedPlan())
+    if "QueryStage" in name:
+        return shuffled(plan.plan())
+    kids = plan.children()
+    return (plan.metrics().apply("dataSize").value() if name == "Exchange" else 0) + sum(shuffled(kids.apply(i)) for i in range(kids.size()))
+
+
+def test_texts_that_stay_are_not_shuffled(spark):
+    texts = [" ".join(f"w{i}x{j}" for j in range(400)) for i in range(300)]
+    rows = [*enumerate(texts), (300, texts[7]), (7, texts[7]), (None, texts[8]), (301, None), (302, "...")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")  # as if the sides were too large
+    try:
+        kept = near_docs.one_of_each(docs)
+        got = kept.collect()
+        assert shuffled(kept._jdf.queryExecution().executedPlan()) < 0.2 * sum(len(t or "") for _, t in rows)
+    finally:
+        spark.conf.set(limit, before)
+    assert sorted((r["doc_id"], r["text"] or "") for r in got) == sorted([*enumerate(texts), (301, ""), (302, "...")])
