@@ -504,15 +504,22 @@ def expired_retention(spark, sf):
     return log.read_version(spark, base)
 
 
+#: Rows of a file, about, in the first load of ``rewritten_small_files``.
+ROWS_A_FILE = 500_000
+
+
 @register("""SELECT 'rows' AS what, count(*) AS n FROM orders UNION ALL SELECT 'order keys', sum(o_orderkey)::BIGINT FROM orders
     UNION ALL SELECT 'directories', 2 UNION ALL SELECT 'directories kept', 1""")
 def rewritten_small_files(spark, sf):
-    """A first load of a good size and four small appends, which are put together; the load stays where it is."""
+    """A first load of files of a good size and four small appends, which are put together; the load stays where it is."""
     orders, base = read_table(spark, "orders", sf), scratch(spark, "orders")
     lot = F.col("o_orderkey") % 20
-    dml.create_or_replace(orders.where(lot >= 4).coalesce(1), base, ["o_orderkey"], at=AT[0])
+    # Files hold so many rows, however large the table: a task never writes or sorts all of it.
+    n = max(1, -(-orders.count() // ROWS_A_FILE))
+    spread = lambda rows: rows.repartition(n, "o_orderkey") if n > 1 else rows.coalesce(1)
+    dml.create_or_replace(spread(orders.where(lot >= 4)), base, ["o_orderkey"], at=AT[0])
     for i in range(4):
-        dml.append(orders.where(lot == i).coalesce(1), base, at=AT[i + 1])
+        dml.append(spread(orders.where(lot == i)), base, at=AT[i + 1])
     size = log.files(spark, base).agg(F.max("file_bytes")).first()[0]
     first = log.load(spark, base)[0].data
     maintenance.rewrite(spark, base, target_mb=size / 1024 / 1024, at=AT[5])

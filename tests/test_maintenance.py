@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from siltlake.operators import cdc, dml, maintenance
 from siltlake.operators import changelog as log
+from siltlake.plans import registered_tables
 
 AT = [dt.datetime(2024, 1, d) for d in range(1, 10)]
+SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture
@@ -201,3 +203,12 @@ def test_maintained_aggregate_keeps_small_amounts_nulls_and_names(spark, base, t
     assert got(ends.refresh()) == got(now.groupBy("h").agg(F.count("*"), F.min("m"), F.max("m")))
     with pytest.raises(Exception, match="does not fit"):
         cdc.aggregate(now, view.group, view.sums, "decimal(18,2)").collect()
+
+
+def test_query_of_small_files_spreads_its_rows(spark, base, monkeypatch):
+    monkeypatch.setattr(registered_tables, "scratch", lambda spark, name: base)
+    monkeypatch.setattr(registered_tables, "ROWS_A_FILE", 500, raising=False)
+    got = {r["what"]: r["n"] for r in registered_tables.rewritten_small_files(spark, SF).collect()}
+    rows = [r["rows"] for r in log.files(spark, base).collect()]
+    assert got["rows"] == sum(rows) and got["directories"] == 2 and got["directories kept"] == 1
+    assert len(rows) >= 4 and max(rows) < 0.5 * sum(rows)
