@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -11,12 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltlake.operators.changelog import (
-    OP, UPSERT, VERSION, drops_after, gone, live, load, newest_rows, resolve, scan, state, state_rows,
+    OP, UPSERT, VERSION, Commit, drops_after, gone, live, load, newest_rows, resolve, scan, state, state_rows,
 )
 
 # Commits that change no row.
 SILENT = ("rewrite", "add column", "rename column", "drop column")
 
+SIGN = "_sign"
+
 
 def changes(spark: SparkSession, base: str, v1: int, v2: int, as_newest: bool = False) -> DataFrame:
     """Rows that differ between two versions: ``change``, then old and new images.
@@ -35,12 +37,9 @@ def changes(spark: SparkSession, base: str, v1: int, v2: int, as_newest: bool =
     a, b = resolve(chain, version=low), resolve(chain, version=high)
     if a.key != b.key:
         raise ValueError("the table was replaced under another key")
-    between = [
-        c for c in live(chain) if low < c.version <= high and c.data is not None and c.operation not in SILENT
-    ]
-    old, replaced = state(spark, base, chain, a), any(c.kind == "base" for c in between)
-    drops = [(c.version, d) for c in live(chain) if low < c.version <= high for d in c.drops]
-    lost = reduce(lambda x, y: x | y, [gone(d, a.physical_schema) for _, d in drops], F.lit(False))
+    between, drops = logged_between(chain, low, high)
+    replaced = any(c.kind == "base" for c in between)
+    lost = _lost(a, drops)
     names = {(n if replaced else p): n for n, p, _ in a.columns}
     if not a.key and not replaced:
         out = _changes_of_log(spark, base, chain, a, b, between, lost, names if as_newest else None)
@@ -48,17 +47,9 @@ def changes(spark: SparkSession, base: str, v1: int, v2: int, as_newest: bool =
     if replaced:
         if not a.key:
             raise ValueError("rows of a replaced table without a key cannot be told apart")
-        new = state(spark, base, chain, b)
+        old, new = state(spark, base, chain, a), state(spark, base, chain, b)
     else:
-        logged = scan(spark, base, between, b.physical_schema)
-        touched = logged.select(*b.key)
-        newest = newest_rows(logged, b.key, between).where(F.col(OP) == UPSERT)
-        if drops:
-            touched = touched.union(state_rows(spark, base, chain, a).where(lost).select(*a.key))
-            for version, d in drops:
-                newest = newest.where(~(gone(d, b.physical_schema) & (F.col(VERSION) < version)))
-        old = old.join(touched.distinct().toDF(*a.key_names), a.key_names, "left_semi")
-        new = newest.select(*[F.col(f"`{p}`").alias(n) for n, p, _ in b.columns])
+        old, new = _touched(spark, base, chain, a, b, between, drops)
     image = F.struct("*")
     if as_newest:
         image = F.struct(*[
@@ -85,6 +76,50 @@ def changes(spark: SparkSession, base: str, v1: int, v2: int, as_newest: bool =
     return found if v1 <= v2 else _reversed(found)
 
 
+def logged_between(chain: Sequence[Commit], low: int, high: int) -> tuple[list[Commit], list[tuple[int, tuple[str, str, str]]]]:
+    """Commits after ``low`` up to ``high`` whose rows may change the table, and the ranges dropped there by version."""
+    span = [c for c in live(chain) if low < c.version <= high]
+    return [c for c in span if c.data is not None and c.operation not in SILENT], [(c.version, d) for c in span for d in c.drops]
+
+
+def _lost(a: Commit, drops: Sequence[tuple[int, tuple[str, str, str]]]) -> Column:
+    return reduce(lambda x, y: x | y, [gone(d, a.physical_schema) for _, d in drops], F.lit(False))
+
+
+def _touched(spark, base, chain, a, b, between, drops) -> tuple[DataFrame, DataFrame]:
+    """Old and new images of the keys that the log between two versions of a keyed table names."""
+    logged = scan(spark, base, between, b.physical_schema)
+    touched = logged.select(*b.key)
+    newest = newest_rows(logged, b.key, between).where(F.col(OP) == UPSERT)
+    if drops:
+        touched = touched.union(state_rows(spark, base, chain, a).where(_lost(a, drops)).select(*a.key))
+        for version, d in drops:
+            newest = newest.where(~(gone(d, b.physical_schema) & (F.col(VERSION) < version)))
+    if drops or len(between) > 1:  # one commit has a key once
+        touched = touched.distinct()
+    old = state(spark, base, chain, a).join(touched.toDF(*a.key_names), a.key_names, "left_semi")
+    return old, newest.select(*[F.col(f"`{p}`").alias(n) for n, p, _ in b.columns])
+
+
+def signed_changes(spark: SparkSession, base: str, v1: int, v2: int) -> DataFrame:
+    """What a table has lost and gained from ``v1`` to the later ``v2``: old images with ``_sign`` -1, new ones with 1.
+
+    Columns are those of ``v2``. The images of a key are not held against each other, so a row that
+    was touched and is the same comes with both signs, which cancel in a sum.
+    """
+    chain = load(spark, base)
+    a, b = resolve(chain, version=v1), resolve(chain, version=v2)
+    between, drops = logged_between(chain, v1, v2)
+    if a.key and a.key == b.key and not any(c.kind == "base" for c in between):
+        old, new = _touched(spark, base, chain, a, b, between, drops)
+        names = {p: n for n, p, _ in a.columns}
+        old = old.select(*[(F.col(f"`{names[p]}`") if p in names else F.lit(None)).cast(t).alias(n) for n, p, t in b.columns])
+    else:
+        found = changes(spark, base, v1, v2, as_newest=True)
+        old, new = (found.where(F.col(image).isNotNull()).select(f"{image}.*") for image in ("before", "after"))
+    return old.withColumn(SIGN, F.lit(-1)).unionByName(new.withColumn(SIGN, F.lit(1)))
+
+
 def _changes_of_log(spark, base, chain, a, b, between, lost: Column, names: Mapping[str, str] | None) -> DataFrame:
     """Changes of a table without a key: rows that came and are still there, and rows that were dropped."""
     came = scan(spark, base, between, b.physical_schema, drops=lambda c: drops_after(chain, c, b))
@@ -128,15 +163,17 @@ def held(name: str) -> str:
 def _sums(sums: Mapping[str, Column], exact: str) -> dict[str, Column]:
     out = {}
     for name, amount in sums.items():
-        value = amount.try_cast(exact)
-        out[name] = F.sum(
-            F.when(amount.isNull() | (value == amount), value)
-            .otherwise(F.raise_error(F.lit(f"an amount of {name} does not fit {exact}")).cast(exact))
-        )
+        out[name] = F.sum(fitting(name, amount, amount.try_cast(exact), exact))
         out[held(name)] = F.count(amount)
     return out
 
 
+def fitting(name: str, amount: Column, value: Column, exact: str) -> Column:
+    """``value``, which is the amount in the type ``exact``; one that the type would change fails the job."""
+    return F.when(amount.isNull() | (value == amount), value).otherwise(
+        F.raise_error(F.lit(f"an amount of {name} does not fit {exact}")).cast(exact))
+
+
 def refresh(
     view: DataFrame, changed: DataFrame, group: Mapping[str, Column], sums: Mapping[str, Column], exact: str = EXACT
 ) -> DataFrame:

@@ -400,14 +400,20 @@ def state(
 
 def state_rows(
     spark: SparkSession, base: str, chain: Sequence[Commit], head: Commit, only: Collection[int] | None = None,
-    asked: Sequence[Asked] = (),
+    asked: Sequence[Asked] = (), near: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """``state`` as log rows: physical columns, ``_op`` and the version each row was written in."""
+    """``state`` as log rows: physical columns, ``_op`` and the version each row was written in.
+
+    Rows that ``near`` drops, which judges each by itself, are in no result; plain rows pass it before
+    the touched keys are looked up.
+    """
     plain, deltas = members(chain, head)
     schema, key = head.physical_schema, list(head.key)
     rows = scan(
         spark, base, [c for c in plain if only is None or c.version in only], schema,
         drops=lambda c: drops_after(chain, c, head), asked=asked)
+    if near is not None:
+        rows = near(rows)
     if deltas:
         changed = scan(spark, base, deltas, schema)
         newest, touched = newest_rows(changed, key, deltas), changed.select(*key, VERSION)
@@ -425,7 +431,7 @@ def state_rows(
             for c in chain:
                 for drop in c.drops if c.version <= head.version else ():
                     newest = newest.where(~(gone(drop, schema) & (F.col(VERSION) < c.version)))
-            rows = rows.unionByName(newest)
+            rows = rows.unionByName(newest if near is None else near(newest))
     return rows
 
 
@@ -485,13 +491,13 @@ def commit_rows(
 
 
 def require_key(df: DataFrame, key: Sequence[str]) -> None:
-    """Fail unless ``key`` is non-null and unique; reads the key columns only."""
+    """Fail unless ``key`` is non-null and unique; reads the key columns only, all partitions at once."""
     bad = F.col("n") > 1
     for k in key:
         bad = bad | F.col(f"`{k}`").isNull()
-    found = df.groupBy(*[f"`{k}`" for k in key]).agg(F.count("*").alias("n")).where(bad).head(1)
+    found = df.groupBy(*[f"`{k}`" for k in key]).agg(F.count("*").alias("n")).where(bad).agg(F.first(F.struct("*"))).first()[0]
     if found:
-        raise ValueError(f"key {list(key)} is NULL or repeated, for example {found[0]}")
+        raise ValueError(f"key {list(key)} is NULL or repeated, for example {found}")
 
 
 def upserts(df: DataFrame, head: Commit) -> DataFrame:

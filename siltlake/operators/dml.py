@@ -233,26 +233,17 @@ def merge(
 
     Only rows the source touches can change, so the target is first cut down by a semi-join
     on the source's keys, which are written first: Spark sees their size and broadcasts few of
-    them itself, so that the target is scanned in place. The source is computed once.
+    them itself, so that the target is scanned in place. The source is computed once, and only its
+    keys are grouped to see whether one repeats.
     """
     chain = load(spark, base)
     head = _keyed(resolve(chain))
     if sorted(on) != sorted(head.key_names):
         raise ValueError(f"merge on the table's key {head.key_names}")
-    values = [c for c in source.columns if c not in on] or list(on)[:1]
-    once = source.groupBy(*on).agg(
-        F.count("*").alias("_n"), F.first(F.struct(*values)).alias("_s")
-    ).select(
-        *[
-            F.when(F.col("_n") == 1, F.col(k))
-            .otherwise(F.raise_error(F.lit(f"source repeats a value of {list(on)}")).cast(source.schema[k].dataType))
-            .alias(k)
-            for k in on
-        ],
-        *[F.col(f"_s.{c}").alias(c) for c in values if c not in on],
-    )
-    once = settled(once)
+    once = settled(source)
     keys = once.select(*on)
+    fault = F.raise_error(F.lit(f"source repeats a value of {list(on)}")).cast("long")
+    keys.groupBy(*on).agg(F.count("*").alias("_n")).agg(F.max(F.when(F.col("_n") > 1, fault))).collect()
     target = state(spark, base, chain, head)
     touched = target.join(keys, list(on), "left_semi").withColumn("_hit", F.lit(True))
     s, t = once.alias("s"), touched.alias("t")

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from siltlake.operators import dml, maintenance
+from siltlake.operators import dml, maintenance, views
 from siltlake.operators import changelog as log
 from siltlake.operators.views import MaintainedJoin
 
@@ -104,3 +104,51 @@ def test_renamed_columns(spark, sides, tmp_path):
     joined = log.read_version(spark, sides[0]).join(log.read_version(spark, sides[1]), "item")
     want = joined.groupBy("kind").agg(F.count("*"), F.countDistinct("who"))
     assert got(view.refresh().select("kind", "n", "buyers")) == got(want)
+
+
+def one_distinct(spark, sides, tmp_path):
+    return MaintainedJoin(
+        spark, *sides, str(tmp_path / "view"), {"item": "item"}, {"kind": F.col("r.kind")}, {"amount": F.col("l.amount")},
+        {"buyers": F.col("l.buyer")})
+
+
+@pytest.mark.parametrize("few", [0, 5, 1000])
+def test_refresh_over_hidden_rows(spark, sides, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(views, "FEW", few)
+    view, (left, right) = one_distinct(spark, sides, tmp_path), sides
+    steps = [
+        lambda: None,
+        lambda: (dml.delete(spark, left, "buyer % 3 = 1"), dml.update(spark, right, "item in (1, 2)", {"kind": F.lit("z")})),
+        lambda: dml.delete(spark, right, "item in (1, 6)"),
+        lambda: (dml.update(spark, left, "id < 90", {"item": F.col("item") + 1}), dml.update(spark, left, "id < 30", {"amount": F.lit(2.0)})),
+        lambda: (dml.rename_column(spark, left, "item", "what"), dml.rename_column(spark, left, "what", "item"), dml.update(
+            spark, right, "item = 7", {"kind": F.lit(None).cast("string")}), dml.delete(spark, left, "id % 7 = 2")),
+    ]
+    for step in steps:
+        step()
+        assert got(view.refresh()) == got(recomputed(spark, sides).drop("count(DISTINCT item)"))
+
+
+def test_a_first_build_joins_once_and_a_merge_tells_what_moved(spark, sides, tmp_path, monkeypatch):
+    view, joins, join = one_distinct(spark, sides, tmp_path), [], MaintainedJoin._join
+    monkeypatch.setattr(MaintainedJoin, "_join", lambda self, *a: joins.append(1) or join(self, *a))
+    monkeypatch.setattr(views, "changes", lambda *a: 1 / 0)
+    assert got(view.refresh()) == got(recomputed(spark, sides).drop("count(DISTINCT item)")) and len(joins) == 1
+    dml.delete(spark, sides[0], "buyer in (2, 5)")
+    assert got(view.refresh()) == got(recomputed(spark, sides).drop("count(DISTINCT item)")) and len(joins) == 2
+
+
+def test_rows_that_join_no_change_are_left_before_hidden_ones_are_looked_up(spark, sides, tmp_path):
+    view = one_distinct(spark, sides, tmp_path)
+    dml.delete(spark, sides[0], "buyer = 3")
+    wanted = spark.createDataFrame([(4, "x")], "item long, kind string")
+    rows = log.read_version(spark, sides[0])
+    assert got(view._side(sides[0], 2, wanted, {"item": "item"})) == got(rows.where("item = 4"))
+    assert got(view._side(sides[0], 2)) == got(rows)
+
+
+def test_a_merge_refuses_a_source_that_repeats_a_key(spark, sides):
+    twice = spark.createDataFrame([(2, "x"), (2, "y")], "item long, kind string")
+    with pytest.raises(Exception, match="source repeats a value"):
+        dml.merge(spark, sides[1], twice, ["item"], matched_update={"kind": F.col("s.kind")})
+    assert len(log.load(spark, sides[1])) == 1
